@@ -1,0 +1,83 @@
+"""Compare each query with its SQL counterpart: python tests/oracle.py <sf dir> [names...]."""
+
+from __future__ import annotations
+
+import math
+import sys
+import time
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+
+ROOT = Path(__file__).resolve().parent.parent
+sys.path.insert(0, str(ROOT))
+
+KINDS = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
+    con = duckdb.connect()
+    for path in sorted(Path(sf_dir).glob("*.parquet")):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM read_parquet('{path}')")
+    return con
+
+
+def _plain(value):
+    return None if isinstance(value, float) and math.isnan(value) else value
+
+
+def _counted(columns, rows) -> Counter:
+    order = sorted(range(len(columns)), key=lambda i: columns[i])
+    return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
+
+
+def compare(spark, con, run, sql: str, sf_dir: str) -> tuple[str | None, int]:
+    """What differs (None when nothing does) and the number of rows; values are compared exactly."""
+    df = run(spark, sf_dir)
+    ours = _counted(df.columns, df.collect())
+    result = con.execute(sql)
+    names = [d[0] for d in result.description]
+    theirs = _counted(names, result.fetchall())
+    if sorted(names) != sorted(df.columns):
+        return f"columns {sorted(df.columns)} against {sorted(names)}", sum(ours.values())
+    kinds = {d[0]: str(d[1]) for d in result.description}
+    for name, kind in df.dtypes:
+        if KINDS.get(kind) != kinds[name]:
+            return f"type of {name}: {kind} against {kinds[name]}", sum(ours.values())
+    if ours != theirs:
+        only, other = ours - theirs, theirs - ours
+        return (
+            f"{sum(only.values())} rows only in Spark, {sum(other.values())} only in SQL; "
+            f"e.g. {next(iter(only), None)} against {next(iter(other), None)}"
+        ), sum(ours.values())
+    return None, sum(ours.values())
+
+
+def main(sf_dir: str, names: list[str]) -> int:
+    import __spark_entry__ as entry
+    from tests.conftest import local_session
+
+    spark, con = local_session(), connect(sf_dir)
+    runs, sqls = entry.queries(), entry.oracle_sql()
+    bad = 0
+    for name in names or runs:
+        started = time.time()
+        try:
+            if name in sqls:
+                problem, rows = compare(spark, con, runs[name], sqls[name], sf_dir)
+            else:
+                problem, rows = None, runs[name](spark, sf_dir).count()
+        except Exception as error:  # report and go on with the next query
+            problem, rows = f"{type(error).__name__}: {str(error)[:1500]}", -1
+        bad += problem is not None
+        print(f"{'FAIL' if problem else 'ok':4} {name:28} {rows:8} rows {time.time() - started:6.2f} s {problem or ''}", flush=True)
+    print("failures:", bad)
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    sys.exit(main(sys.argv[1], sys.argv[2:]))
