@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,14 +13,31 @@ from pyspark.sql import functions as F
 BLOCK_DAYS = 366
 
 
-def prefer(primary: DataFrame, fallback: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """All primary rows, plus fallback rows whose key the primary does not have.
+def prefer(
+    sources: Sequence[tuple[DataFrame, Sequence[str]]], keys: Sequence[str], tie_break: Sequence[str] = ()
+) -> DataFrame:
+    """One row per key, from the first source that has the key at all; its newest row there.
 
-    When both sides come from :func:`~hazardmarts.operators.versions.latest_wins` on the same
-    keys they are already partitioned and sorted for the anti join, which then adds no exchange.
+    ``sources`` come in order of preference, each with the (date or time) columns that order its
+    versions, newest first. ``tie_break`` names columns of all sources; order columns are
+    dropped. Ranking the union takes one scan of each source and one exchange, to which each
+    input partition sends at most one row per key; removing the covered keys with an anti join
+    would scan and rank the preferred source a second time.
     """
-    absent = fallback.join(primary.select(*keys), list(keys), "left_anti")
-    return primary.unionByName(absent)
+    width = max(len(order) for _, order in sources)
+    versions = [f"_version_{i}" for i in range(width)]
+    ranked = []
+    for position, (df, order) in enumerate(sources):
+        stamps = [F.col(c).cast("timestamp_ntz") for c in order]
+        stamps += [F.lit(None).cast("timestamp_ntz")] * (width - len(order))
+        columns = {"_preference": F.lit(position), **dict(zip(versions, stamps))}
+        ranked.append(df.withColumns(columns).drop(*order))
+    best = Window.partitionBy(*keys).orderBy(
+        F.col("_preference"), *[F.col(c).desc_nulls_last() for c in (*versions, *tie_break)]
+    )
+    union = reduce(DataFrame.unionByName, ranked)
+    first = union.withColumn("_rank", F.row_number().over(best)).filter("_rank = 1")
+    return first.drop("_rank", "_preference", *versions)
 
 
 def rolling_sums(
@@ -66,10 +84,11 @@ def date_bounds(df: DataFrame, date: str, keys: Sequence[str] = ()) -> DataFrame
 def date_gaps(df: DataFrame, date: str, keys: Sequence[str] = ()) -> DataFrame:
     """Calendar days missing between the first and the last date (of each key).
 
-    The calendar is joined on key and date, so a key with a long history is spread by date.
+    The calendar is joined on key and date, so a key with a long history is spread by date. Its
+    bounds come from the distinct dates, whose exchange both sides of the join then share.
     """
     present = df.select(*keys, F.col(date).alias("date")).distinct()
-    calendar = date_bounds(df, date, keys).select(
+    calendar = date_bounds(present, "date", keys).select(
         *keys, F.explode(F.expr("sequence(first_date, last_date, interval 1 day)")).alias("date")
     )
     return calendar.join(present, [*keys, "date"], "left_anti")

@@ -22,7 +22,7 @@ MODELS = {
     "stg_archive_daily": (staging.stg_archive_daily, ("archive_daily",), False),
     "int_latest_run": (marts.int_latest_run, ("stg_forecast_daily",), False),
     "int_rain_daily_unioned": (
-        marts.int_rain_daily_unioned, ("stg_archive_daily", "stg_forecast_daily"), False,
+        marts.int_rain_daily_unioned, ("archive_daily", "stg_forecast_daily"), False,
     ),
     "int_rain_rolling": (marts.int_rain_rolling, ("int_rain_daily_unioned",), False),
     "fct_warnings_hourly": (marts.fct_warnings_hourly, ("stg_forecast_hourly", "int_latest_run"), True),
@@ -32,7 +32,7 @@ MODELS = {
     ),
     "mart_dashboard": (
         marts.mart_dashboard,
-        ("stg_archive_daily", "stg_forecast_daily", "dim_barangay", "int_warnings_daily", "int_latest_run"),
+        ("archive_daily", "stg_forecast_daily", "dim_barangay", "int_warnings_daily", "int_latest_run"),
         True,
     ),
     "fct_river_grid_daily": (
@@ -43,27 +43,30 @@ MODELS = {
 
 
 def build_models(
-    raw: Mapping[str, DataFrame],
-    dim_barangay: DataFrame,
+    sources: Mapping[str, DataFrame],
     params: Params = Params(),
     run_date: dt.date | None = None,
     names: Collection[str] | None = None,
 ) -> dict[str, DataFrame]:
     """The named models (all by default) and whatever they rest on, as lazy DataFrames.
 
+    ``sources`` holds the four raw tables and ``dim_barangay``.
+
     With ``run_date`` later runs are ignored throughout, so replaying an old date uses that date
     in the marts as well as in the gates; by default the newest run counts.
     """
-    built: dict[str, DataFrame] = {"dim_barangay": dim_barangay}
+    built: dict[str, DataFrame] = {}
 
     def get(name: str) -> DataFrame:
-        if name in raw:
-            return until_run(raw[name], as_of=run_date) if name in RUN_TABLES else raw[name]
         if name not in built:
-            function, inputs, takes_params = MODELS[name]
-            built[name] = function(*map(get, inputs), *([params] if takes_params else []))
+            if name in MODELS:
+                function, inputs, takes_params = MODELS[name]
+                built[name] = function(*map(get, inputs), *([params] if takes_params else []))
+            else:
+                source = sources[name]
+                built[name] = until_run(source, as_of=run_date) if name in RUN_TABLES else source
         return built[name]
 
-    for name in names if names is not None else MODELS:
+    for name in names if names is not None else ("dim_barangay", *MODELS):
         get(name)
     return built

@@ -12,7 +12,7 @@ from hazardmarts.operators.groups import (
 )
 from hazardmarts.operators.joins import balanced_join, fan_out
 from hazardmarts.operators.series import look_back, prefer, rolling_sums
-from hazardmarts.operators.versions import in_run, latest_run, latest_wins
+from hazardmarts.operators.versions import in_run, latest_run
 from hazardmarts.params import Params
 
 ROLLING_DAYS = {"rain_3d_mm": 3, "rain_7d_mm": 7}
@@ -23,29 +23,33 @@ def int_latest_run(stg_forecast_daily: DataFrame) -> DataFrame:
     return latest_run(stg_forecast_daily)
 
 
-def int_rain_daily_unioned(stg_archive_daily: DataFrame, stg_forecast_daily: DataFrame) -> DataFrame:
+def int_rain_daily_unioned(archive_daily: DataFrame, stg_forecast_daily: DataFrame) -> DataFrame:
     """Observed rain, and forecast rain only for the point-days without an observation.
 
-    The forecast value is the newest non-null one, so a day beyond the newest run's reach keeps
-    the value of an older run.
+    Both are the newest non-null version; a day beyond the newest run's reach keeps the value of an
+    older run. Takes the archive with all its versions: the latest valid one is
+    settled by the same ranking that settles the source.
     """
-    observed = stg_archive_daily.select(
-        "grid_id", "date",
-        F.col("precipitation_sum").alias("rain_mm"),
-        F.col("precipitation_hours").alias("rain_hours"),
-        F.lit(None).cast("double").alias("rain_prob_max"),
-        F.lit("observed").alias("source"),
+
+    def rain(df: DataFrame, probability: Column, source: str, *order: str) -> DataFrame:
+        return df.filter("precipitation_sum is not null").select(
+            "grid_id", "date",
+            F.col("precipitation_sum").alias("rain_mm"),
+            F.col("precipitation_hours").alias("rain_hours"),
+            probability.alias("rain_prob_max"),
+            F.lit(source).alias("source"),
+            *order,
+        )
+
+    observed = rain(archive_daily, F.lit(None).cast("double"), "observed", "fetched_at")
+    forecast = rain(
+        stg_forecast_daily, F.col("precipitation_probability_max"), "forecast", "run_date", "fetched_at"
     )
-    valid = stg_forecast_daily.filter("precipitation_sum is not null")
-    ties = ["fetched_at", "precipitation_sum", "precipitation_hours", "precipitation_probability_max"]
-    forecast = latest_wins(valid, ["grid_id", "date"], "run_date", tie_break=ties).select(
-        "grid_id", "date",
-        F.col("precipitation_sum").alias("rain_mm"),
-        F.col("precipitation_hours").alias("rain_hours"),
-        F.col("precipitation_probability_max").alias("rain_prob_max"),
-        F.lit("forecast").alias("source"),
+    return prefer(
+        [(observed, ["fetched_at"]), (forecast, ["run_date", "fetched_at"])],
+        ["grid_id", "date"],
+        tie_break=["rain_mm", "rain_hours", "rain_prob_max"],
     )
-    return prefer(observed, forecast, ["grid_id", "date"])
 
 
 def int_rain_rolling(int_rain_daily_unioned: DataFrame) -> DataFrame:
@@ -104,7 +108,7 @@ def wet_exposure(rain_3d: Column, score: Column) -> Column:
 
 
 def mart_dashboard(
-    stg_archive_daily: DataFrame,
+    archive_daily: DataFrame,
     stg_forecast_daily: DataFrame,
     dim_barangay: DataFrame,
     int_warnings_daily: DataFrame,
@@ -121,7 +125,7 @@ def mart_dashboard(
     reach = params.lookback_days + max(ROLLING_DAYS.values()) - 1
     rolled = int_rain_rolling(
         int_rain_daily_unioned(
-            look_back(stg_archive_daily, "date", run_date, reach),
+            look_back(archive_daily, "date", run_date, reach),
             look_back(stg_forecast_daily, "date", run_date, reach),
         )
     )

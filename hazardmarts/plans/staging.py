@@ -21,7 +21,7 @@ def stg_flood_daily(raw: DataFrame) -> DataFrame:
 
 
 def stg_archive_daily(raw: DataFrame) -> DataFrame:
-    """Nulls are dropped before ranking, so a later null never hides an earlier value."""
+    """The latest valid value. Nulls go before ranking, so a later null never hides a value."""
     valid = raw.filter("precipitation_sum is not null")
     latest = latest_wins(
         valid, ["grid_id", "date"], "fetched_at", tie_break=["precipitation_sum", "precipitation_hours"]

@@ -61,14 +61,13 @@ def declared(params: Params = Params()) -> dict[str, ModelTests]:
 def run_table_tests(tables: Mapping[str, DataFrame], params: Params = Params()) -> DataFrame:
     """(model, test, column_name, failures, passed) for every declared test.
 
-    All row-level tests of a model share one scan and one aggregation; only uniqueness,
-    relationships and the two whole-table tests need plans of their own.
+    The uniqueness and all row-level tests of a model share one pass over it; only relationships
+    and the two whole-table tests need plans of their own.
     """
     results = []
     for model, tests in declared(params).items():
         df = tables[model]
-        results += _row_tests(model, df, tests)
-        results += [_counted(model, "unique", c, checks.duplicates(df, [c])) for c in tests.unique]
+        results.append(_one_pass(model, df, tests))
         results += [
             _counted(model, "relationships", c, checks.orphans(df, c, tables[parent], field))
             for c, parent, field in tests.relationships
@@ -91,24 +90,33 @@ def uncovered_dates(tables: Mapping[str, DataFrame], params: Params = Params())
     )
 
 
-def _row_tests(model: str, df: DataFrame, tests: ModelTests) -> list[DataFrame]:
+def _one_pass(model: str, df: DataFrame, tests: ModelTests) -> DataFrame:
+    """Row-level tests as conditional counts; with a unique column they are first counted per key,
+    so one aggregation on the key serves them all."""
     fails: list[tuple[str, str, Column]] = [("not_null", c, F.col(c).isNull()) for c in tests.not_null]
     fails += [("accepted_values", c, checks.is_unexpected(c, v)) for c, v in tests.accepted_values]
     fails += [("accepted_range", c, checks.is_outside(c, lo, hi)) for c, lo, hi in tests.accepted_range]
-    if not fails:
-        return []
-    counted = df.agg(
-        F.array(
-            *[
-                F.struct(
-                    F.lit(test).alias("test"), F.lit(column).alias("column_name"),
-                    F.count_if(failing).alias("failures"),
-                )
-                for test, column, failing in fails
-            ]
-        ).alias("_outcomes")
-    )
-    return [counted.select(F.lit(model).alias("model"), F.inline("_outcomes"))]
+    counts = [F.count_if(failing) for _, _, failing in fails]
+    if tests.unique:
+        key = tests.unique
+        per_key = df.groupBy(*key).agg(
+            F.count(F.lit(1)).alias("_rows"), *[c.alias(f"_f{i}") for i, c in enumerate(counts)]
+        )
+        repeated = F.col("_rows") > 1
+        for c in key:
+            repeated = repeated & F.col(c).isNotNull()
+        df, counts = per_key, [F.sum(f"_f{i}") for i in range(len(counts))]
+        fails.append(("unique", ", ".join(key), repeated))
+        counts.append(F.count_if(repeated))
+    outcomes = [
+        F.struct(
+            F.lit(test).alias("test"), F.lit(column).alias("column_name"),
+            F.coalesce(count, F.lit(0)).alias("failures"),
+        )
+        for (test, column, _), count in zip(fails, counts, strict=True)
+    ]
+    counted = df.agg(F.array(*outcomes).alias("_outcomes"))
+    return counted.select(F.lit(model).alias("model"), F.inline("_outcomes"))
 
 
 def _counted(model: str, test: str, column: str, failing: DataFrame) -> DataFrame:

@@ -17,8 +17,7 @@ from workload.twin_sql import over
 
 
 def models(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    raw, areas = twin.raw_tables(spark, sf_dir), twin.dim_barangay(spark, sf_dir)
-    return build_models(raw, areas, twin.PARAMS, names=names or None)
+    return build_models(twin.Sources(spark, sf_dir), twin.PARAMS, names=names or None)
 
 
 def model(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -100,9 +99,9 @@ gates AS (
 
 
 def _gates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, m = twin.raw_tables(spark, sf_dir), models(spark, sf_dir, "dim_barangay", "int_latest_run")
+    m = models(spark, sf_dir, "dim_barangay", "int_latest_run", "forecast_daily", "flood_daily")
     active = m["dim_barangay"].select("grid_id").distinct()
-    return gates.run_gates(raw["forecast_daily"], raw["flood_daily"], active, m["int_latest_run"].scalar(), twin.PARAMS)
+    return gates.run_gates(m["forecast_daily"], m["flood_daily"], active, m["int_latest_run"].scalar(), twin.PARAMS)
 
 
 def _over_gates(query_text: str) -> str:
@@ -125,11 +124,9 @@ def gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT 'forecast_daily' AS table_name, grid_id FROM act WHERE grid_id NOT IN (SELECT grid_id FROM f)
 UNION ALL SELECT 'flood_daily', grid_id FROM act WHERE grid_id NOT IN (SELECT grid_id FROM w)"""))
 def coverage_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw, m = twin.raw_tables(spark, sf_dir), models(spark, sf_dir, "dim_barangay", "int_latest_run")
-    return gates.missing_points(
-        raw["forecast_daily"], raw["flood_daily"], m["dim_barangay"].select("grid_id").distinct(),
-        m["int_latest_run"].scalar(),
-    )
+    m = models(spark, sf_dir, "dim_barangay", "int_latest_run", "forecast_daily", "flood_daily")
+    active = m["dim_barangay"].select("grid_id").distinct()
+    return gates.missing_points(m["forecast_daily"], m["flood_daily"], active, m["int_latest_run"].scalar())
 
 
 def _count(model: str, test: str, column: str, relation: str, failing: str) -> str:

@@ -49,7 +49,7 @@ def latest_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH dated AS (SELECT *, CAST(o_orderdate AS DATE) AS date FROM orders)
-SELECT o_custkey, date, arg_max(o_totalprice, (o_orderstatus, o_orderkey)) AS amount,
+SELECT o_custkey, date, max(o_totalprice) AS amount,
        if(any_value(s.has) IS NULL, 'forecast', 'observed') AS source
 FROM dated LEFT JOIN (SELECT DISTINCT o_custkey, date, 1 AS has FROM dated WHERE o_orderstatus = 'F') s USING (o_custkey, date)
 WHERE o_orderstatus = if(s.has IS NULL, 'O', 'F') GROUP BY ALL""")
@@ -58,12 +58,12 @@ def prefer_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = table(spark, sf_dir, "orders").withColumn("date", F.to_date("o_orderdate"))
 
     def side(status: str, source: str) -> DataFrame:
-        rows = dated.filter(F.col("o_orderstatus") == status)
-        return versions.latest_wins(rows, ["o_custkey", "date"], "o_orderkey").select(
-            "o_custkey", "date", F.col("o_totalprice").alias("amount"), F.lit(source).alias("source")
+        return dated.filter(F.col("o_orderstatus") == status).select(
+            "o_custkey", "date", F.col("o_totalprice").alias("amount"), F.lit(source).alias("source"), "o_orderdate"
         )
 
-    return series.prefer(side("F", "observed"), side("O", "forecast"), ["o_custkey", "date"])
+    sides = [(side("F", "observed"), ["o_orderdate"]), (side("O", "forecast"), ["o_orderdate"])]
+    return series.prefer(sides, ["o_custkey", "date"], tie_break=["amount"])
 
 
 @query("""

@@ -8,6 +8,8 @@ double sums do not depend on the order of addition.
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,10 +96,19 @@ def dim_barangay(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {
-        "forecast_daily": forecast_daily(spark, sf_dir),
-        "forecast_hourly": forecast_hourly(spark, sf_dir),
-        "flood_daily": flood_daily(spark, sf_dir),
-        "archive_daily": archive_daily(spark, sf_dir),
-    }
+class Sources(Mapping[str, DataFrame]):
+    """The raw tables and the dimension by name, each opened only when asked for."""
+
+    _readers = {f.__name__: f for f in (forecast_daily, forecast_hourly, flood_daily, archive_daily, dim_barangay)}
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._where = (spark, sf_dir)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        return self._readers[name](*self._where)
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self._readers)
+
+    def __len__(self) -> int:
+        return len(self._readers)
