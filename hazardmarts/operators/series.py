@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hazardmarts.operators.versions import grouping
+
 # Days of one series handled by one window group; about a year keeps groups small and the
 # overlap between neighbours below two percent for a weekly frame.
 BLOCK_DAYS = 366
@@ -32,7 +34,7 @@ def prefer(
         stamps += [F.lit(None).cast("timestamp_ntz")] * (width - len(order))
         columns = {"_preference": F.lit(position), **dict(zip(versions, stamps))}
         ranked.append(df.withColumns(columns).drop(*order))
-    best = Window.partitionBy(*keys).orderBy(
+    best = Window.partitionBy(*grouping(keys)).orderBy(
         F.col("_preference"), *[F.col(c).desc_nulls_last() for c in (*versions, *tie_break)]
     )
     union = reduce(DataFrame.unionByName, ranked)

@@ -38,20 +38,19 @@ def with_nearest_point(
 ) -> DataFrame:
     """Attach the id of the nearest lattice point by great-circle distance.
 
-    Needs no join and no exchange: the candidates follow from the coordinates. In the box grown
-    by one step the nearest column is the rounded one, and the nearest row differs from
-    the rounded one by less than one row (the foot of the perpendicular on a meridian 1.5 steps
-    away moves by at most (1.5 step)^2 / 4 radians), so the 3x3 neighbourhood holds the answer for
-    any step up to tens of degrees. Points further out compare the whole lattice. Ties go
-    to the first point in row-major order.
+    Needs no join and no exchange, because the candidates follow from the coordinates. In any
+    row the nearest column is the one with the least difference in longitude. In a column that
+    differs by ``d``, the distance grows with the gap to the latitude atan2(sin lat, cos lat cos d).
+    In the box grown by one step that latitude differs from the point's own by far less than half
+    a step, so the four surrounding points hold the answer. Anywhere else the surrounding points
+    of that latitude and the ends of rows and columns do. Ties go to the first point in
+    row-major order.
     """
     la, lo = F.col(lat), F.col(lon)
-    near_row = _clamp(F.rint((la - F.lit(lattice.lat_min)) / F.lit(lattice.step)), lattice.n_rows)
-    near_col = _clamp(F.rint((lo - F.lit(lattice.lon_min)) / F.lit(lattice.step)), lattice.n_cols)
-    margin = lattice.step
-    close = la.between(lattice.lat_min - margin, lattice.lat_max + margin) & lo.between(
-        lattice.lon_min - margin, lattice.lon_max + margin
-    )
+
+    def around(position: Column, count: int) -> list[Column]:
+        below = F.floor(position)
+        return [_clamp(below, count), _clamp(below + F.lit(1), count)]
 
     def candidate(row: Column, col: Column) -> Column:
         distance = haversine_km(
@@ -61,31 +60,34 @@ def with_nearest_point(
         )
         return F.struct(distance.alias("km"), row.alias("row"), col.alias("col"))
 
-    neighbours = F.least(
-        *[
-            candidate(
-                _clamp(F.col("_row") + F.lit(dr), lattice.n_rows),
-                _clamp(F.col("_col") + F.lit(dc), lattice.n_cols),
-            )
-            for dr in (-1, 0, 1)
-            for dc in (-1, 0, 1)
-        ]
+    def row_position(latitude: Column) -> Column:
+        return (latitude - F.lit(lattice.lat_min)) / F.lit(lattice.step)
+
+    def closest_row(col: Column) -> list[Column]:
+        gap = F.radians(lo - _coordinate(lattice.lon_min, lattice.step, col))
+        phi = F.radians(la)
+        best = F.degrees(F.atan2(F.sin(phi), F.cos(phi) * F.cos(gap)))
+        return [*around(row_position(best), lattice.n_rows), F.lit(0), F.lit(lattice.n_rows - 1)]
+
+    west_offset = lo - F.lit(lattice.lon_min)
+    near_cols = around(west_offset / F.lit(lattice.step), lattice.n_cols)
+    near = F.least(*[candidate(r, c) for r in around(row_position(la), lattice.n_rows) for c in near_cols])
+
+    ends = [F.lit(0), F.lit(lattice.n_cols - 1)]
+    far_cols = F.array(*around(F.pmod(west_offset, F.lit(360.0)) / F.lit(lattice.step), lattice.n_cols), *ends)
+    far_cells = F.flatten(
+        F.transform(far_cols, lambda c: F.array(*[F.struct(r.alias("r"), c.alias("c")) for r in closest_row(c)]))
     )
-    everywhere = F.array_min(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(lattice.size - 1)),
-            lambda i: candidate(
-                F.floor(i / F.lit(lattice.n_cols)).cast("int"), F.pmod(i, F.lit(lattice.n_cols)).cast("int")
-            ),
-        )
+    far = F.array_min(F.transform(far_cells, lambda cell: candidate(cell["r"], cell["c"])))
+
+    margin = lattice.step
+    close = la.between(lattice.lat_min - margin, lattice.lat_max + margin) & lo.between(
+        lattice.lon_min - margin, lattice.lon_max + margin
     )
     located = la.isNotNull() & lo.isNotNull()
-    return (
-        df.withColumns({"_row": near_row, "_col": near_col})
-        .withColumn("_near", F.when(located, F.when(close, neighbours).otherwise(everywhere)))
-        .withColumn(name, F.when(located, point_id(F.col("_near.row"), F.col("_near.col"))))
-        .drop("_row", "_col", "_near")
-    )
+    found = df.withColumn("_near", F.when(located, F.when(close, near).otherwise(far)))
+    identifier = F.when(F.col("_near").isNotNull(), point_id(F.col("_near.row"), F.col("_near.col")))
+    return found.withColumn(name, identifier).drop("_near")
 
 
 def _clamp(index: Column, count: int) -> Column:

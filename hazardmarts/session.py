@@ -13,6 +13,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Do not record a Python stack trace for every column expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

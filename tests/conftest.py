@@ -10,13 +10,14 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 from hazardmarts import session
 
 
-def local_session(cores: int = 8):
+def local_session(cores: int = 8, **extra: str):
     spark = session.build(
         "hazardmarts-tests",
         master=f"local[{cores}]",
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
+        **extra,
     )
     spark.sparkContext.setLogLevel("ERROR")
     return spark

@@ -1,8 +1,12 @@
-"""Compare each query with its SQL counterpart: python tests/oracle.py <sf dir> [names...]."""
+"""Compare each query with its SQL counterpart: python tests/oracle.py <sf dir> [names...].
+
+ORACLE_BROADCAST sets the broadcast limit; -1 forces the shuffled and salted joins.
+"""
 
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from collections import Counter
@@ -61,7 +65,9 @@ def main(sf_dir: str, names: list[str]) -> int:
     import __spark_entry__ as entry
     from tests.conftest import local_session
 
-    spark, con = local_session(), connect(sf_dir)
+    limit = os.environ.get("ORACLE_BROADCAST", "10MB")
+    spark = local_session(spark__sql__autoBroadcastJoinThreshold=limit)
+    con = connect(sf_dir)
     runs, sqls = entry.queries(), entry.oracle_sql()
     bad = 0
     for name in names or runs:

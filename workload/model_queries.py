@@ -45,24 +45,24 @@ _model("mart_monthly_normal", over("monthly", query="SELECT * FROM monthly"))
 
 
 @query(over("fact", query="""
-SELECT pcode, any_value(city) AS city, count(*) AS days, count(*) FILTER (WHERE source = 'observed') AS observed_days,
+SELECT pcode, city, count(*) AS days, count(*) FILTER (WHERE source = 'observed') AS observed_days,
        count(*) FILTER (WHERE warning_level = 'red') AS red_days, sum(rain_mm) AS rain_mm, max(rain_7d_mm) AS rain_7d_mm,
        CAST(sum(CAST(round(wet_exposure * 1000) AS BIGINT)) AS BIGINT) AS exposure_thousandths,
-       min(row_key) AS first_key, max(row_key) AS last_key
-FROM fact GROUP BY pcode"""))
+       min(date) AS first_date, max(date) AS last_date, sum(length(row_key))::BIGINT AS key_length
+FROM fact GROUP BY pcode, city"""))
 def fct_rain_barangay_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole fact, summed up per area."""
     fact = model(spark, sf_dir, "fct_rain_barangay_daily")
-    return fact.groupBy("pcode").agg(
-        F.first("city").alias("city"),
+    return fact.groupBy("pcode", "city").agg(
         F.count(F.lit(1)).alias("days"),
         F.count_if(F.col("source") == "observed").alias("observed_days"),
         F.count_if(F.col("warning_level") == "red").alias("red_days"),
         F.sum("rain_mm").alias("rain_mm"),
         F.max("rain_7d_mm").alias("rain_7d_mm"),
         F.sum(F.round(F.col("wet_exposure") * 1000).cast("bigint")).alias("exposure_thousandths"),
-        F.min("row_key").alias("first_key"),
-        F.max("row_key").alias("last_key"),
+        F.min("date").alias("first_date"),
+        F.max("date").alias("last_date"),
+        F.sum(F.length("row_key").cast("bigint")).alias("key_length"),
     )
 
 
@@ -207,9 +207,9 @@ def city_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(over("dashboard", query="""
 SELECT date, warning_level, avg(rain_mm) AS rain_mm, max(max_hourly_mm) AS max_hourly_mm FROM dashboard
-WHERE source = 'forecast' AND city IN ('NATION_3', 'NATION_7', 'FRANCE', 'JAPAN') GROUP BY date, warning_level"""))
+WHERE source = 'forecast' AND city IN ('Nation 3', 'Nation 7') GROUP BY date, warning_level"""))
 def city_forecast_chosen(spark: SparkSession, sf_dir: str) -> DataFrame:
-    chosen = ["NATION_3", "NATION_7", "FRANCE", "JAPAN"]
+    chosen = ["Nation 3", "Nation 7"]
     return views.city_forecast(model(spark, sf_dir, "mart_dashboard"), cities=chosen)
 
 

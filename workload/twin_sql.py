@@ -39,7 +39,7 @@ RAW_FLOOD = """raw_flood AS (
   FROM event_rows)"""
 
 DIM = """dim AS (
-  SELECT 'A' || CAST(c_custkey AS VARCHAR) AS pcode, c_name AS name, n_name AS city,
+  SELECT 'A' || CAST(c_custkey AS VARCHAR) AS pcode, c_name AS name, 'Nation ' || c_nationkey AS city,
          c_custkey % 5000 + 100 AS population,
          CASE WHEN c_acctbal >= 0 THEN floor(c_acctbal / 25e0) / 4e0 END AS score,
          CAST(c_custkey % 1710 AS INTEGER) AS rank_ncr,
@@ -48,7 +48,7 @@ DIM = """dim AS (
          CAST(14.35 AS DOUBLE) + (c_custkey % 46) * CAST(0.01 AS DOUBLE) AS lat,
          CAST(120.9 AS DOUBLE) + (c_custkey % 26) * CAST(0.01 AS DOUBLE) AS lon,
          CAST(c_custkey // 15 AS VARCHAR) AS grid_id
-  FROM customer JOIN nation ON c_nationkey = n_nationkey)"""
+  FROM customer)"""
 
 ARCHIVE = """archive AS (
   SELECT grid_id, date, best.r AS precipitation_sum, best.h AS precipitation_hours,
