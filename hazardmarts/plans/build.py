@@ -47,15 +47,17 @@ def build_models(
     params: Params = Params(),
     run_date: dt.date | None = None,
     names: Collection[str] | None = None,
+    written: Mapping[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """The named models (all by default) and whatever they rest on, as lazy DataFrames.
 
-    ``sources`` holds the four raw tables and ``dim_barangay``.
+    ``sources`` holds the four raw tables and ``dim_barangay``; ``written`` the models that are
+    tables already and are read instead of computed.
 
     With ``run_date`` later runs are ignored throughout, so replaying an old date uses that date
     in the marts as well as in the gates; by default the newest run counts.
     """
-    built: dict[str, DataFrame] = {}
+    built: dict[str, DataFrame] = dict(written or {})
 
     def get(name: str) -> DataFrame:
         if name not in built:
