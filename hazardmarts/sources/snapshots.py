@@ -1,7 +1,8 @@
 """Nested JSON snapshots to flat typed rows.
 
 Layout: ``<raw>/<run date>/forecast.json``, ``<raw>/<run date>/flood.json`` and
-``<raw>/archive/<start>_<end>.json``, one document per file.
+``<raw>/archive/<start>_<end>.json``, one document per file. A large run may be split over several
+files (``forecast-0001.json`` ...), since one document is parsed by one task.
 """
 
 from __future__ import annotations
@@ -137,22 +138,20 @@ def read_raw(spark: SparkSession, raw_dir: str, params: Params = Params()) -> di
     the cut is made on the listing. A run directory lacking one of its files still counts.
     """
     runs = run_dates(spark, raw_dir)
-    recent = runs[-params.newest_runs :]
-
-    def landed(days: Sequence[dt.date], name: str) -> list[str]:
-        paths = [f"{raw_dir}/{day.isoformat()}" for day in days]
-        return [f"{p}/{name}" for p in paths if name in files.children(spark, p, directories=False)]
-
-    windows = [
-        f"{raw_dir}/{ARCHIVE}/{name}"
-        for name in files.children(spark, f"{raw_dir}/{ARCHIVE}", directories=False)
-        if name.endswith(".json")
-    ]
-    forecasts = landed(runs, "forecast.json")
-    recent_forecasts = [p for p in forecasts if _iso_date(p.split("/")[-2]) in set(recent)]
+    recent = set(runs[-params.newest_runs :])
+
+    def landed(kind: str) -> dict[str, dt.date]:
+        paths = files.matching(spark, f"{raw_dir}/*/{kind}*.json")
+        dated = {path: _iso_date(path.split("/")[-2]) for path in paths}
+        return {path: day for path, day in dated.items() if day is not None}
+
+    forecasts, floods = landed("forecast"), landed("flood")
+    recent_forecasts = [path for path, day in forecasts.items() if day in recent]
+    recent_floods = [path for path, day in floods.items() if day in recent]
+    windows = files.matching(spark, f"{raw_dir}/{ARCHIVE}/*.json")
     return {
-        "forecast_daily": flatten_forecast_daily(read_documents(spark, "forecast", forecasts)),
+        "forecast_daily": flatten_forecast_daily(read_documents(spark, "forecast", list(forecasts))),
         "forecast_hourly": flatten_forecast_hourly(read_documents(spark, "forecast", recent_forecasts)),
-        "flood_daily": flatten_flood(read_documents(spark, "flood", landed(recent, "flood.json"))),
+        "flood_daily": flatten_flood(read_documents(spark, "flood", recent_floods)),
         "archive_daily": flatten_archive(read_documents(spark, ARCHIVE, windows)),
     }

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from hazardmarts import schemas
@@ -16,11 +18,14 @@ def land(raw: dict[str, DataFrame], out_dir: str) -> None:
         df.write.mode("overwrite").partitionBy(*PARTITIONS.get(name, [])).parquet(f"{out_dir}/{name}")
 
 
-def read_landed(spark: SparkSession, out_dir: str) -> dict[str, DataFrame]:
-    return {
-        name: spark.read.schema(schema).parquet(f"{out_dir}/{name}").select(*schema.fieldNames())
-        for name, schema in schemas.RAW.items()
-    }
+def read_landed(spark: SparkSession, out_dir: str, names: Iterable[str] = tuple(schemas.RAW)) -> dict[str, DataFrame]:
+    """Landed tables under their declared schemas, also when no file was written for one."""
+
+    def read(name: str) -> DataFrame:
+        schema = schemas.RAW[name]
+        return spark.read.schema(schema).parquet(f"{out_dir}/{name}").select(*schema.fieldNames())
+
+    return {name: read(name) for name in names}
 
 
 def row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:

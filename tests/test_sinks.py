@@ -1,0 +1,145 @@
+import csv
+import datetime as dt
+import json
+import re
+from pathlib import Path
+
+import pytest
+
+from hazardmarts import schemas
+from hazardmarts.params import Params
+from hazardmarts.plans import job
+from hazardmarts.sinks import extracts, publish, runlog
+from hazardmarts.sources import snapshots, tables
+from tests import fixtures as fx
+
+
+def _rows(path):
+    """Rows of all part files in their numbered order; each part has the header."""
+    rows = []
+    for part in sorted(Path(path).glob("part-*.csv")):
+        with part.open(newline="", encoding="utf-8") as handle:
+            rows += list(csv.DictReader(handle))
+    return rows
+
+
+def _job(spark, tmp_path, **changes):
+    return job.run(
+        spark, str(tmp_path / "raw"), fx.dimension(spark).filter("pcode <> 'PH4'").fillna(0.0), str(tmp_path / "work"),
+        str(tmp_path / "exports"), str(tmp_path / "runs"), **changes,
+    )
+
+
+def _good(tmp_path):
+    fx.good_run(tmp_path / "raw")
+    days = [(fx.RUN - dt.timedelta(days=40 - i)).isoformat() for i in range(36)]
+    rain = {g: [float(i % 9) for i in range(len(days))] for g in fx.POINTS}
+    fx.write(tmp_path / "raw" / "archive" / f"{days[0]}_{days[-1]}.json", fx.archive(days=days, rain=rain))
+
+
+def test_job_publishes_the_whole_contract(spark, tmp_path):
+    _good(tmp_path)
+    assert _job(spark, tmp_path) == "ok"
+    out = publish.current(spark, str(tmp_path / "exports"))
+    names = {p.name for p in Path(out).iterdir()}
+    assert names == {
+        "dashboard.csv", "dashboard.parquet", "warnings.csv", "river.csv", "monthly_normal.csv", "metadata.json",
+    }
+    dashboard = _rows(f"{out}/dashboard.csv")
+    assert tuple(dashboard[0]) == schemas.DASHBOARD_COLUMNS
+    assert all(re.fullmatch(r"\d{4}-\d{2}-\d{2}", r["date"]) for r in dashboard)
+    order = [(r["date"], r["pcode"]) for r in dashboard]
+    assert order == sorted(order) and len(order) == 3 * 37
+    assert spark.read.parquet(f"{out}/dashboard.parquet").count() == len(order)
+    warnings = _rows(f"{out}/warnings.csv")
+    assert all(re.fullmatch(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}", r["ts"]) for r in warnings)
+    assert {r["is_complete"] for r in _rows(f"{out}/monthly_normal.csv")} <= {"True", "False"}
+    assert {r["cities_served"] for r in _rows(f"{out}/river.csv")} == {"Manila, Quezon City", "Pasig"}
+
+    text = "".join(p.read_text() for p in Path(f"{out}/metadata.json").glob("part-*.json"))
+    metadata = json.loads(text)
+    assert metadata["run_date"] == "2026-09-04" and metadata["dashboard_rows"] == len(order)
+    assert metadata["gates"] == {g: "pass" for g in ("freshness", "coverage", "null_share", "ranges")}
+    assert set(metadata) == {
+        "run_date", "generated_at_utc", "dashboard_rows", "latest_observed_date", "forecast_through",
+        "active_grid_points", "gates", "sources", "note",
+    }
+    assert metadata["latest_observed_date"] == "2026-08-30" and metadata["forecast_through"] == "2026-09-10"
+
+    [log] = runlog.read_runs(spark, str(tmp_path / "runs")).collect()
+    assert (log.status, log.forecast_rows, log.flood_rows, log.archive_rows, log.dashboard_rows) == ("ok", 28, 28, 72, 111)
+    assert log.gates == "freshness=pass;coverage=pass;null_share=pass;ranges=pass"
+
+
+def test_failing_gates_stop_the_job(spark, tmp_path):
+    fx.write_all(tmp_path / "raw")
+    assert _job(spark, tmp_path) == "gate_failed"
+    [log] = runlog.read_runs(spark, str(tmp_path / "runs")).collect()
+    assert log.status == "gate_failed" and "freshness=fail" in log.gates and log.dashboard_rows is None
+    assert not (tmp_path / "exports").exists() and not (tmp_path / "work" / "models").exists()
+
+
+def test_failing_table_tests_stop_the_job(spark, tmp_path):
+    _good(tmp_path)
+    doc = fx.archive("2026-09-03T23:00:00+00:00", ["2026-08-01"], {"g0502": [-700.0]})
+    fx.write(tmp_path / "raw" / "archive" / "2026-08-01_2026-08-01.json", doc)
+    assert _job(spark, tmp_path) == "dbt_failed"
+    [log] = runlog.read_runs(spark, str(tmp_path / "runs")).collect()
+    assert "accepted_range_fct_rain_barangay_daily_rain_3d_mm" in log.gates
+    assert not (tmp_path / "exports").exists()
+
+
+def test_unexpected_errors_are_logged_and_runs_accumulate(spark, tmp_path):
+    assert _job(spark, tmp_path) == "error"
+    fx.write_all(tmp_path / "raw")
+    assert _job(spark, tmp_path, run_date=dt.date(2026, 9, 4)) == "gate_failed"
+    logs = {r.status: r for r in runlog.read_runs(spark, str(tmp_path / "runs")).collect()}
+    assert set(logs) == {"error", "gate_failed"} and logs["error"].run_date is None
+    assert logs["error"].gates.startswith("error(ValueError: no snapshots")
+    with pytest.raises(ValueError):
+        runlog.append_run(spark, str(tmp_path / "runs"), {"status": "fine"})
+
+
+def test_publishing_is_all_or_nothing(spark, tmp_path):
+    exports = str(tmp_path / "exports")
+
+    def write(text):
+        return lambda target: (Path(target).mkdir(parents=True), Path(target, "a.txt").write_text(text))
+
+    assert publish.current(spark, exports) is None
+    publish.publish(spark, exports, write("one"), "v")
+
+    def broken(target):
+        write("two")(target)
+        raise RuntimeError("boom")
+
+    with pytest.raises(RuntimeError, match="boom"):
+        publish.publish(spark, exports, broken, "v")
+    assert Path(publish.current(spark, exports), "a.txt").read_text() == "one"
+    assert len(list((tmp_path / "exports" / "versions").iterdir())) == 1
+    for text in ("three", "four", "five"):
+        publish.publish(spark, exports, write(text), "v")
+        assert Path(publish.current(spark, exports), "a.txt").read_text() == text
+    assert len(list((tmp_path / "exports" / "versions").iterdir())) == 2
+
+
+def test_csv_text_forms(spark, tmp_path):
+    df = spark.sql(
+        "select 0.0005d as a, 12345678.9d as b, true as c, date '2026-09-04' as d, "
+        "timestamp_ntz '2026-09-04 05:00:00' as e, 'say \"hi\", twice' as f, cast(null as double) as g, '' as h"
+    )
+    extracts.write_csv(df, str(tmp_path / "x.csv"))
+    [part] = (tmp_path / "x.csv").glob("part-*.csv")
+    assert part.read_text().splitlines()[1] == '0.0005,12345678.9,True,2026-09-04,2026-09-04T05:00:00,"say ""hi"", twice",,'
+
+
+def test_extract_round_trip(spark, tmp_path):
+    raw = snapshots.read_raw(spark, str(fx.write_all(tmp_path / "raw")))
+    from hazardmarts.plans.build import build_models
+
+    warnings = build_models(raw, Params(), names=["fct_warnings_hourly"])["fct_warnings_hourly"]
+    extracts.write_csv(warnings, str(tmp_path / "w.csv"))
+    back = extracts.read_csv(spark, str(tmp_path / "w.csv"), warnings.schema)
+    assert sorted(back.collect()) == sorted(warnings.collect())
+    tables.register({"w": back})
+    assert spark.sql("select count(*) from w where warning_level = 'red'").first()[0] == 1

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import os
+import tempfile
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,6 +15,9 @@ from hazardmarts.operators.spatial import active_points, lattice_points, with_ne
 from hazardmarts.plans import gates, table_tests, views
 from hazardmarts.plans.build import build_models
 from hazardmarts.plans.dimension import build_dimension
+from hazardmarts.session import shared_dir
+from hazardmarts.sinks import extracts, publish
+from hazardmarts.sources import tables
 from workload import twin
 from workload.registry import query
 from workload.twin_sql import over
@@ -302,3 +309,57 @@ def active_points_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     lattice = twin.PARAMS.lattice
     return active_points(lattice_points(spark, lattice), with_nearest_point(place, lattice))
+
+
+# --- sources and sinks ------------------------------------------------------------------------
+
+
+def _folder(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A folder of this query in the shared folder; repeating the query replaces its content."""
+    base = shared_dir(spark, fallback=os.path.join(tempfile.gettempdir(), "hazardmarts"))
+    return f"{base}/queries/{os.path.basename(sf_dir.rstrip('/'))}/{name}"
+
+
+@query(over("raw_forecast", "raw_flood", query="""
+SELECT 'forecast_daily' AS table_name, run_date, grid_id, date, precipitation_sum AS value, fetched_at FROM raw_forecast
+UNION ALL SELECT 'flood_daily', run_date, grid_id, date, river_discharge, fetched_at FROM raw_flood"""))
+def landed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw tables written by run and read back under their declared schemas."""
+    out = _folder(spark, sf_dir, "landed")
+    names = ("forecast_daily", "flood_daily")
+    tables.land({n: df for n, df in models(spark, sf_dir, *names).items()}, out)
+    read = {n: tables.read_landed(spark, out, [n])[n] for n in names}
+    values = {"forecast_daily": "precipitation_sum", "flood_daily": "river_discharge"}
+    parts = [
+        read[n].select(F.lit(n).alias("table_name"), "run_date", "grid_id", "date", F.col(v).alias("value"), "fetched_at")
+        for n, v in values.items()
+    ]
+    return parts[0].unionByName(parts[1])
+
+
+@query(over("dashboard", query="SELECT * FROM dashboard"))
+def published_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard extract, published as CSV and read back from the current version."""
+    out = _folder(spark, sf_dir, "published")
+    dashboard = model(spark, sf_dir, "mart_dashboard")
+    _, columns, order = extracts.EXTRACTS["dashboard"]
+    publish.publish(
+        spark, out, lambda target: extracts.write_csv(extracts.ordered(dashboard, columns, order), f"{target}/dashboard.csv"), "q"
+    )
+    return extracts.read_csv(spark, f"{publish.current(spark, out)}/dashboard.csv", dashboard.schema)
+
+
+@query(over("raw_forecast", "raw_flood", "run", "dim", "dashboard", query=_GATES + """
+SELECT '2024-01-30' AS run_date, '2024-01-30T06:00:00+00:00' AS generated_at_utc, count(*) AS dashboard_rows,
+       CAST(max(date) FILTER (WHERE source = 'observed') AS VARCHAR) AS latest_observed_date,
+       CAST(max(date) AS VARCHAR) AS forecast_through, count(DISTINCT grid_id) AS active_grid_points,
+       (SELECT string_agg(gate || '=' || if(passed, 'pass', 'fail'), ';' ORDER BY gate) FROM gates) AS gates
+FROM dashboard"""))
+def metadata_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The run's metadata row; the map of gates as sorted text, the fixed texts left out."""
+    generated = dt.datetime(2024, 1, 30, 6, tzinfo=dt.UTC)
+    document = extracts.run_metadata(
+        model(spark, sf_dir, "mart_dashboard"), _gates(spark, sf_dir), dt.date(2024, 1, 30), generated
+    )
+    entries = F.transform(F.array_sort(F.map_entries("gates")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return document.withColumn("gates", F.array_join(entries, ";")).drop("sources", "note")
