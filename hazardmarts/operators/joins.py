@@ -1,4 +1,9 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Fan-out joins that stay balanced when one key holds a large share of the rows.
+
+Lookups, whose right side has one row per key, need nothing of the kind and are plain joins: adaptive
+execution broadcasts a side once its measured size allows it and otherwise splits partitions
+that are too large. A fan-out multiplies rows, which partition sizes do not show.
+"""
 
 from __future__ import annotations
 
@@ -7,8 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one part in HOT_PARTS of the heavy side, so there are
-# fewer than HOT_PARTS hot keys whatever the data size.
+# A key is hot when it holds more than one part in HOT_PARTS of the members, so there are
+# fewer than HOT_PARTS hot keys whatever the data size, and they can be broadcast.
 HOT_PARTS = 1000
 
 
@@ -23,54 +28,30 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= estimated_bytes(df) <= limit
 
 
-def balanced_join(
-    heavy: DataFrame,
-    light: DataFrame,
-    on: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "inner",
-    parts: int = HOT_PARTS,
+def fan_out(
+    facts: DataFrame, members: DataFrame, on: Sequence[str], member: str, parts: int = HOT_PARTS
 ) -> DataFrame:
-    """Equi join (``inner``, or ``left`` keeping the heavy side) robust to hot keys of ``heavy``.
+    """Inner join that repeats each fact for every member of its key (member ids are unique).
 
-    A light side within the broadcast limit is broadcast. Beyond it the rows of each hot key are
-    spread over salts by a hash of ``spread_by`` (columns that tell the rows of one key apart),
-    and the light rows of these keys are repeated once per salt. Salts depend on row content
-    only, so a task that is run again after a lost executor gives the same rows.
+    Members within the broadcast limit are broadcast and the facts stay where they are. Beyond it,
+    the members of each hot key are spread over salts by a hash of their id and the facts of
+    that key are repeated once per salt, so no task gets more than about one part in ``parts``
+    of the members. Salts depend on row content only: a task that is run again after a lost
+    executor gives the same rows.
     """
-    if how not in ("inner", "left"):
-        raise ValueError(f"how must be inner or left, not {how!r}")
     on = list(on)
-    if fits_broadcast(light):
-        return heavy.join(F.broadcast(light), on, how)
-    total = heavy.agg(F.count(F.lit(1))).scalar()
-    hot = (
-        heavy.groupBy(*on)
-        .agg(F.count(F.lit(1)).alias("_rows"))
-        .filter(F.col("_rows") * F.lit(parts) > total)
-        .select(*on, F.ceil(F.col("_rows") * F.lit(float(parts)) / total).alias("_salts"))
-    )
-    salt = F.when(F.col("_salts") > 1, F.pmod(F.xxhash64(*spread_by), F.col("_salts"))).otherwise(F.lit(0))
-    salted_heavy = (
-        heavy.join(F.broadcast(hot), on, "left").withColumn("_salt", salt.cast("bigint")).drop("_salts")
-    )
-    salted_light = (
-        light.join(F.broadcast(hot), on, "left")
-        .withColumn(
-            "_salt",
-            F.explode(F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col("_salts"), F.lit(1)) - 1)),
-        )
+    if fits_broadcast(members):
+        return facts.join(F.broadcast(members), on)
+    per_key = members.groupBy(*on).agg(F.count(F.lit(1)).alias("_members"))
+    total = members.agg(F.count(F.lit(1))).scalar()
+    share = F.col("_members") * F.lit(float(parts)) / total
+    hot = F.broadcast(per_key.filter(share > 1).select(*on, F.ceil(share).alias("_salts")))
+    salt = F.when(F.col("_salts").isNotNull(), F.pmod(F.xxhash64(member), F.col("_salts"))).otherwise(F.lit(0))
+    spread_members = members.join(hot, on, "left").withColumn("_salt", salt.cast("bigint")).drop("_salts")
+    last_salt = (F.coalesce(F.col("_salts"), F.lit(1)) - 1).cast("bigint")
+    repeated_facts = (
+        facts.join(hot, on, "left")
+        .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), last_salt)))
         .drop("_salts")
     )
-    return salted_heavy.join(salted_light, [*on, "_salt"], how).drop("_salt")
-
-
-def fan_out(facts: DataFrame, members: DataFrame, on: Sequence[str], member: str) -> DataFrame:
-    """Inner join that repeats each fact for every member of its key (member ids are unique).
-
-    Members within the broadcast limit are broadcast. Otherwise they are the heavy side: the
-    members of a key that holds many of them are spread over tasks and the few facts repeated.
-    """
-    if fits_broadcast(members):
-        return facts.join(F.broadcast(members), list(on), "inner")
-    return balanced_join(members, facts, on, spread_by=[member])
+    return repeated_facts.join(spread_members, [*on, "_salt"]).drop("_salt")

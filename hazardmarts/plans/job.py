@@ -15,6 +15,7 @@ from hazardmarts.plans.build import build_models
 from hazardmarts.plans.table_tests import run_table_tests
 from hazardmarts.sinks import extracts, publish, runlog
 from hazardmarts.sources import snapshots, tables
+from hazardmarts.sources.landing import land_changes
 
 # Models written as tables; the staging models stay views over the landed Parquet. Writing
 # also cuts lineage: what was written is not recomputed when an executor is lost later on.
@@ -38,12 +39,14 @@ def run(
     run_date: dt.date | None = None,
     params: Params = Params(),
     skip_tests: Sequence[str] = (),
+    full_reload: bool = False,
 ) -> str:
     """Run all stages and return the status written to the log.
 
     The first stage that fails ends the run and leaves the published version as it was.
     ``work_dir`` is a shared folder for landed and model tables. The run date defaults to the
-    newest snapshot. ``skip_tests`` names table tests whose failures are tolerated.
+    newest snapshot. ``skip_tests`` names table tests whose failures are tolerated. Only changed
+    snapshots are read unless ``full_reload`` is set; the landed tables are the same either way.
     """
     started, clock = dt.datetime.now(dt.UTC), time.monotonic()
     row: dict[str, object] = {"started_at_utc": started.isoformat(timespec="seconds")}
@@ -59,7 +62,7 @@ def run(
             raise ValueError(f"no snapshots under {raw_dir}")
         row["run_date"] = day.isoformat()
 
-        tables.land(snapshots.read_raw(spark, raw_dir, params), f"{work_dir}/raw")
+        land_changes(spark, raw_dir, f"{work_dir}/raw", params, full=full_reload)
         raw = tables.read_landed(spark, f"{work_dir}/raw")
         counts = tables.row_counts(raw)
         row.update(

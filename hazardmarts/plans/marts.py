@@ -10,7 +10,7 @@ from hazardmarts.functions import band, past_or_forecast, round_half_away, row_k
 from hazardmarts.operators.groups import (
     daily_peak, distinct_text, monthly_totals, spatial_mean, with_climatology,
 )
-from hazardmarts.operators.joins import balanced_join, fan_out
+from hazardmarts.operators.joins import fan_out
 from hazardmarts.operators.series import look_back, prefer, rolling_sums
 from hazardmarts.operators.versions import in_run, latest_run
 from hazardmarts.params import Params
@@ -84,8 +84,8 @@ def fct_rain_barangay_daily(
 ) -> DataFrame:
     """Area-days: the enriched point-days fanned out to the areas of each point.
 
-    Warnings are attached at point grain, before the fan-out multiplies the rows. The dimension
-    is the heavy side: one point may serve a large share of all areas.
+    Warnings are attached at point grain, before the fan-out multiplies the rows. One point may
+    serve a large share of all areas.
     """
     points = int_rain_rolling.join(int_warnings_daily, ["grid_id", "date"], "left")
     areas = dim_barangay.select(
@@ -142,7 +142,7 @@ def fct_river_grid_daily(
     days = in_run(stg_flood_daily, int_latest_run.scalar()).withColumn(
         "source", past_or_forecast(F.col("date"), F.col("run_date"))
     )
-    return balanced_join(days, served, ["grid_id"], spread_by=["date"]).select(*schemas.RIVER_COLUMNS)
+    return days.join(served, "grid_id").select(*schemas.RIVER_COLUMNS)
 
 
 def mart_monthly_normal(stg_archive_daily: DataFrame, params: Params = Params()) -> DataFrame:

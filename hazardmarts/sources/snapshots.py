@@ -23,7 +23,7 @@ ARCHIVE = "archive"
 
 def run_dates(spark: SparkSession, raw_dir: str) -> list[dt.date]:
     """Dates of the run directories, oldest first; directories not named by a date are skipped."""
-    return sorted(filter(None, (_iso_date(n) for n in files.children(spark, raw_dir, directories=True))))
+    return sorted(filter(None, (iso_date(n) for n in files.children(spark, raw_dir, directories=True))))
 
 
 def latest_run_date(spark: SparkSession, raw_dir: str) -> dt.date | None:
@@ -34,10 +34,10 @@ def archive_last_date(spark: SparkSession, raw_dir: str) -> dt.date | None:
     """Latest window end among the archive files; other names are skipped."""
     names = files.children(spark, f"{raw_dir}/{ARCHIVE}", directories=False)
     stems = [n.removesuffix(".json").split("_") for n in names if n.endswith(".json") and "_" in n]
-    return max(filter(None, (_iso_date(parts[1]) for parts in stems)), default=None)
+    return max(filter(None, (iso_date(parts[1]) for parts in stems)), default=None)
 
 
-def _iso_date(text: str) -> dt.date | None:
+def iso_date(text: str) -> dt.date | None:
     try:
         return dt.date.fromisoformat(text)
     except ValueError:
@@ -54,20 +54,28 @@ def read_documents(spark: SparkSession, kind: str, paths: Sequence[str]) -> Data
 
 
 def flatten(
-    documents: DataFrame, section: str, measures: Sequence[str], clock: str, expected_points: int | None = None
+    documents: DataFrame,
+    section: str,
+    measures: Sequence[str],
+    clock: str,
+    expected_points: int | None = None,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """One row per point and time step of ``response.<section>``.
+    """One row per point and time step of ``response.<section>``; ``keep`` names columns of the
+    documents to carry along.
 
     The arrays of a section must be equally long. The guard is part of the expression that
     makes the rows, so it cannot be pruned away with an unused column.
     """
+    kept = [name for name in keep if name != "run_date"]
     points = documents.select(
-        "run_date", "fetched_at", F.explode(_complete(F.col("points"), expected_points)).alias("point")
+        "run_date", "fetched_at", *kept, F.explode(_complete(F.col("points"), expected_points)).alias("point")
     )
     steps = points.select(
         F.col("run_date"),
         F.col("point.grid_id").alias("grid_id"),
         F.col("fetched_at"),
+        *kept,
         F.inline(_aligned(f"point.response.{section}", measures)),
     )
     kind = "date" if clock == "date" else "timestamp_ntz"
@@ -77,6 +85,7 @@ def flatten(
         strict_cast(F.col("time"), kind).alias(clock),
         *[measure(F.col(name)).alias(name) for name in measures],
         utc_wall_time(F.col("fetched_at")).alias("fetched_at"),
+        *kept,
     )
 
 
@@ -110,24 +119,28 @@ def _blame(section: str, name: str, size: Column, length: Column) -> Column:
     )
 
 
-def flatten_forecast_daily(documents: DataFrame) -> DataFrame:
-    return _typed(flatten(documents, "daily", schemas.FORECAST_DAILY_MEASURES, "date"), "forecast_daily")
+def flatten_forecast_daily(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _table(documents, "forecast_daily", "daily", schemas.FORECAST_DAILY_MEASURES, "date", keep)
 
 
-def flatten_forecast_hourly(documents: DataFrame) -> DataFrame:
-    return _typed(flatten(documents, "hourly", schemas.FORECAST_HOURLY_MEASURES, "ts"), "forecast_hourly")
+def flatten_forecast_hourly(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _table(documents, "forecast_hourly", "hourly", schemas.FORECAST_HOURLY_MEASURES, "ts", keep)
 
 
-def flatten_flood(documents: DataFrame) -> DataFrame:
-    return _typed(flatten(documents, "daily", schemas.FLOOD_MEASURES, "date"), "flood_daily")
+def flatten_flood(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _table(documents, "flood_daily", "daily", schemas.FLOOD_MEASURES, "date", keep)
 
 
-def flatten_archive(documents: DataFrame) -> DataFrame:
-    return _typed(flatten(documents, "daily", schemas.ARCHIVE_MEASURES, "date"), "archive_daily")
+def flatten_archive(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _table(documents, "archive_daily", "daily", schemas.ARCHIVE_MEASURES, "date", keep)
 
 
-def _typed(rows: DataFrame, table: str) -> DataFrame:
-    return rows.select(*schemas.RAW[table].fieldNames())
+def _table(
+    documents: DataFrame, table: str, section: str, measures: Sequence[str], clock: str, keep: Sequence[str]
+) -> DataFrame:
+    columns = schemas.RAW[table].fieldNames()
+    rows = flatten(documents, section, measures, clock, keep=keep)
+    return rows.select(*columns, *[name for name in keep if name not in columns])
 
 
 def read_raw(spark: SparkSession, raw_dir: str, params: Params = Params()) -> dict[str, DataFrame]:
@@ -142,7 +155,7 @@ def read_raw(spark: SparkSession, raw_dir: str, params: Params = Params()) -> di
 
     def landed(kind: str) -> dict[str, dt.date]:
         paths = files.matching(spark, f"{raw_dir}/*/{kind}*.json")
-        dated = {path: _iso_date(path.split("/")[-2]) for path in paths}
+        dated = {path: iso_date(path.split("/")[-2]) for path in paths}
         return {path: day for path, day in dated.items() if day is not None}
 
     forecasts, floods = landed("forecast"), landed("flood")

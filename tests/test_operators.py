@@ -95,38 +95,41 @@ def _hot_tables(spark):
     return spark.createDataFrame(heavy, "k string, n int"), spark.createDataFrame(light, "k string, m int")
 
 
-@pytest.mark.parametrize("limit", ["-1", "10MB", "1GB"])
-@pytest.mark.parametrize("how", ["inner", "left"])
-def test_balanced_join_equals_plain_join(spark, how, limit):
-    heavy, light = _hot_tables(spark)
+@pytest.fixture(params=["-1", "10MB"])
+def broadcast_limit(spark, request):
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+@pytest.mark.parametrize("parts", [2, 20, 1000])
+def test_fan_out_equals_plain_join(spark, tmp_path, broadcast_limit, parts):
+    members, facts = _hot_tables(spark)
+    expected = sorted(facts.join(members, "k").select("k", "n", "m").collect())
+    assert sorted(joins.fan_out(facts, members, ["k"], "n", parts).select("k", "n", "m").collect()) == expected
+    members.write.parquet(str(tmp_path / "members"))
+    small = spark.read.parquet(str(tmp_path / "members"))
+    assert joins.fits_broadcast(small) == (broadcast_limit != "-1")
+    joined = joins.fan_out(facts, small, ["k"], "n", parts)
+    assert ("_salt" in joined._jdf.queryExecution().toString()) == (broadcast_limit == "-1")
+    assert sorted(joined.select("k", "n", "m").collect()) == expected
+
+
+def test_hot_key_is_spread_over_salts(spark):
+    members, facts = _hot_tables(spark)
+    settings_ = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {key: spark.conf.get(key) for key in settings_}
+    for key, value in settings_.items():
+        spark.conf.set(key, value)
     try:
-        got = joins.balanced_join(heavy, light, ["k"], spread_by=["n"], how=how, parts=20)
-        expected = heavy.join(light, "k", how)
-        key = lambda r: tuple(str(v) for v in r)
-        assert got.columns == expected.columns
-        assert sorted(got.collect(), key=key) == sorted(expected.collect(), key=key)
-        fanned = joins.fan_out(light, heavy, ["k"], member="n").select("k", "n", "m")
-        assert sorted(fanned.collect()) == sorted(heavy.join(light, "k").collect())
+        joined = joins.fan_out(facts, members, ["k"], "n", parts=20).withColumn("task", F.spark_partition_id())
+        per_task = {r.task: r["count"] for r in joined.filter("k = 'hot'").groupBy("task").count().collect()}
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    with pytest.raises(ValueError):
-        joins.balanced_join(heavy, light, ["k"], spread_by=["n"], how="full")
-
-
-def test_hot_key_is_spread_over_salts(spark, tmp_path):
-    heavy, light = _hot_tables(spark)
-    heavy.write.parquet(str(tmp_path / "h"))
-    heavy = spark.read.parquet(str(tmp_path / "h"))
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        joined = joins.balanced_join(heavy, light, ["k"], spread_by=["n"], parts=20)
-        plan = joined._jdf.queryExecution().toString()
-        assert "hashpartitioning(k#" in plan and "_salt#" in plan.split("SortMergeJoin")[1]
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(per_task.values()) == 500 * 7
+    assert len(per_task) >= 4 and max(per_task.values()) < 500 * 7 / 2
 
 
 def test_groups(spark):

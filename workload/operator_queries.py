@@ -213,19 +213,21 @@ served AS (
 SELECT l_suppkey, date, if(date < (SELECT max(date) FROM daily) - 7, 'past', 'forecast') AS source, quantity, segments_served
 FROM daily JOIN supplier ON l_suppkey = s_suppkey JOIN served ON s_nationkey = c_nationkey""")
 def served_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").withColumn("date", F.to_date("l_shipdate"))
-    daily = lines.groupBy("l_suppkey", "date").agg(F.sum("l_quantity").alias("quantity"))
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     segments = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "s_nationkey")
     served = groups.distinct_text(segments, ["s_nationkey"], "c_mktsegment", "segments_served")
-    located = joins.balanced_join(daily, supplier, ["l_suppkey"], spread_by=["date"])
-    last = lines.agg(F.max("date")).scalar()
-    return joins.balanced_join(located, served, ["s_nationkey"], spread_by=["l_suppkey", "date"]).select(
+    last = table(spark, sf_dir, "lineitem").agg(F.max(F.to_date("l_shipdate"))).scalar()
+    return _supplier_days(spark, sf_dir).join(supplier, "l_suppkey").join(served, "s_nationkey").select(
         "l_suppkey", "date", past_or_forecast(F.col("date"), F.date_sub(last, 7)).alias("source"),
         "quantity", "segments_served",
     )
 
 
+def _supplier_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = table(spark, sf_dir, "lineitem").withColumn("date", F.to_date("l_shipdate"))
+    return lines.groupBy("l_suppkey", "date").agg(F.sum("l_quantity").alias("quantity"))
+
+
 @query("""
 WITH daily AS (
   SELECT s_nationkey AS nation, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS quantity
@@ -233,13 +235,15 @@ WITH daily AS (
 SELECT c_custkey, CAST(count(*) AS BIGINT) AS days, sum(quantity) AS quantity, max(round(quantity * floor(c_acctbal) / 100e0, 3)) AS top_score
 FROM daily JOIN customer ON c_nationkey = nation GROUP BY c_custkey""")
 def dim_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation-days fanned out to every customer of the nation, summed up per customer."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("date", F.to_date("l_shipdate"))
+    """Nation-days fanned out to every customer of the nation, summed up per customer.
+
+    Lines are summed per supplier and day before the lookup, so a busy supplier is one row a day.
+    """
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     daily = (
-        joins.balanced_join(lines, supplier, ["l_suppkey"], spread_by=["l_orderkey", "l_linenumber"])
+        _supplier_days(spark, sf_dir).join(supplier, "l_suppkey")
         .groupBy("s_nationkey", "date")
-        .agg(F.sum("l_quantity").alias("quantity"))
+        .agg(F.sum("quantity").alias("quantity"))
     )
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_nationkey").alias("s_nationkey"), "c_custkey", "c_acctbal"
