@@ -52,8 +52,8 @@ def rolling_sums(
 ) -> DataFrame:
     """Trailing calendar-day sums: ``days`` maps an output column to its number of days.
 
-    Frames count calendar days, so a gap shortens the sum; null values are skipped. Expects one
-    row per key and date. Each series is cut into blocks of ``block_days``; the last days
+    Frames count calendar days, so a gap shortens the sum; null values are skipped. Sum up to one
+    row per key and date first where there are many. Each series is cut into blocks of ``block_days``; the last days
     of a block are also handed to the next one as overlap and dropped after the window. So one
     long series is spread over tasks, and all frames share one exchange and one sort.
     """
@@ -64,14 +64,14 @@ def rolling_sums(
     spread = (
         df.withColumn("_day", day)
         .withColumn("_home", first)
-        .withColumn("_block", F.explode(F.sequence(first, last)))
+        .withColumn("_block", F.explode_outer(F.sequence(first, last)))
     )
     series = Window.partitionBy(*keys, "_block").orderBy("_day")
     sums = {
         name: F.sum(value).over(series.rangeBetween(-(span - 1), Window.currentRow))
         for name, span in days.items()
     }
-    return spread.withColumns(sums).filter("_block = _home").drop("_day", "_home", "_block")
+    return spread.withColumns(sums).filter("_block <=> _home").drop("_day", "_home", "_block")
 
 
 def look_back(df: DataFrame, date: str, run_date: Column, days: int) -> DataFrame:

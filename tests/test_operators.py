@@ -37,6 +37,16 @@ def test_rolling_sums_against_brute_force(spark, data):
             assert r[name] == (float(sum(seen)) if seen else None)
 
 
+def test_rolling_sums_keep_every_row(spark):
+    rows = [("a", _day(0), 1.0), ("a", _day(0), 2.0), ("a", None, 4.0), (None, _day(1), 8.0)]
+    df = spark.createDataFrame(rows, "k string, date date, v double")
+    got = series.rolling_sums(df, ["k"], "date", "v", {"s": 3}, block_days=1)
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(
+        [("a", _day(0), 1.0, 3.0), ("a", _day(0), 2.0, 3.0), ("a", None, 4.0, 4.0), (None, _day(1), 8.0, 8.0)], key=key
+    )
+
+
 @quick
 @given(st.lists(st.tuples(st.sampled_from("abc"), st.integers(0, 3), st.integers(0, 5)), max_size=40))
 def test_latest_wins_is_the_maximum_and_idempotent(spark, rows):
