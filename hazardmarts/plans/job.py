@@ -17,10 +17,12 @@ from hazardmarts.sinks import extracts, publish, runlog
 from hazardmarts.sources import snapshots, tables
 from hazardmarts.sources.landing import land_changes
 
-# Models written as tables; the staging models stay views over the landed Parquet. Writing
-# also cuts lineage: what was written is not recomputed when an executor is lost later on.
+# Models written as tables; the other staging models stay views over the landed Parquet. The
+# staged archive is written because ranking all its versions is the widest exchange and three
+# readers follow. Writing also cuts lineage: what was written is not recomputed when an
+# executor is lost later on.
 WRITTEN = (
-    "int_rain_daily_unioned", "int_rain_rolling", "fct_warnings_hourly", "int_warnings_daily",
+    "stg_archive_daily", "int_rain_daily_unioned", "int_rain_rolling", "fct_warnings_hourly", "int_warnings_daily",
     "fct_rain_barangay_daily", "mart_dashboard", "fct_river_grid_daily", "mart_monthly_normal",
 )
 

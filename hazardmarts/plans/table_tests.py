@@ -14,6 +14,9 @@ from hazardmarts.operators.series import date_gaps
 from hazardmarts.params import Params
 
 
+DASHBOARD = "mart_dashboard"
+
+
 @dataclass(frozen=True)
 class ModelTests:
     """Tests declared for one model."""
@@ -46,7 +49,7 @@ def declared(params: Params = Params()) -> dict[str, ModelTests]:
             accepted_values=(("source", ("observed", "forecast")),),
             accepted_range=(("rain_3d_mm", 0.0, None),),
         ),
-        "mart_dashboard": ModelTests(
+        DASHBOARD: ModelTests(
             not_null=("wet_exposure",), accepted_values=(("warning_level", levels),)
         ),
         "fct_warnings_hourly": ModelTests(accepted_values=(("warning_level", levels),)),
@@ -61,62 +64,87 @@ def declared(params: Params = Params()) -> dict[str, ModelTests]:
 def run_table_tests(tables: Mapping[str, DataFrame], params: Params = Params()) -> DataFrame:
     """(model, test, column_name, failures, passed) for every declared test.
 
-    The uniqueness and all row-level tests of a model share one pass over it; only relationships
-    and the two whole-table tests need plans of their own.
+    All tests of a model share one pass over it, the two whole-table tests of the dashboard
+    included; only relationships need plans of their own.
     """
     results = []
     for model, tests in declared(params).items():
         df = tables[model]
-        results.append(_one_pass(model, df, tests))
+        results.append(_dashboard_pass(tables, tests, params) if model == DASHBOARD else _one_pass(model, df, tests))
         results += [
             _counted(model, "relationships", c, checks.orphans(df, c, tables[parent], field))
             for c, parent, field in tests.relationships
         ]
-    results.append(
-        _counted("mart_dashboard", "date_continuity", "date", date_gaps(tables["mart_dashboard"], "date"))
-    )
-    results.append(_counted("mart_dashboard", "full_coverage", "date", uncovered_dates(tables, params)))
     return reduce(DataFrame.unionByName, results).withColumn("passed", F.col("failures") == 0)
 
 
+def missing_dates(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Calendar days missing between the dashboard's first and last date."""
+    return date_gaps(tables[DASHBOARD], "date")
+
+
 def uncovered_dates(tables: Mapping[str, DataFrame], params: Params = Params()) -> DataFrame:
     """Dashboard dates, up to one day short of the horizon, that do not hold every area.
 
     The last horizon day rests on a single run that may carry a few nulls, so it is not judged.
     """
-    until = F.date_add(tables["int_latest_run"].scalar(), params.full_coverage_days)
     return checks.incomplete_dates(
-        tables["mart_dashboard"], "date", "pcode", until, expected=tables["dim_barangay"]
+        tables[DASHBOARD], "date", "pcode", _judged_until(tables, params), expected=tables["dim_barangay"]
     )
 
 
+def _judged_until(tables: Mapping[str, DataFrame], params: Params) -> Column:
+    return F.date_add(tables["int_latest_run"].scalar(), params.full_coverage_days)
+
+
+def _row_tests(tests: ModelTests) -> list[tuple[str, str, Column]]:
+    fails = [("not_null", c, F.col(c).isNull()) for c in tests.not_null]
+    fails += [("accepted_values", c, checks.is_unexpected(c, v)) for c, v in tests.accepted_values]
+    fails += [("accepted_range", c, checks.is_outside(c, lo, hi)) for c, lo, hi in tests.accepted_range]
+    return fails
+
+
+def _counts(fails: list[tuple[str, str, Column]]) -> list[Column]:
+    return [F.count_if(failing).alias(f"_f{i}") for i, (_, _, failing) in enumerate(fails)]
+
+
 def _one_pass(model: str, df: DataFrame, tests: ModelTests) -> DataFrame:
     """Row-level tests as conditional counts; with a unique column they are first counted per key,
     so one aggregation on the key serves them all."""
-    fails: list[tuple[str, str, Column]] = [("not_null", c, F.col(c).isNull()) for c in tests.not_null]
-    fails += [("accepted_values", c, checks.is_unexpected(c, v)) for c, v in tests.accepted_values]
-    fails += [("accepted_range", c, checks.is_outside(c, lo, hi)) for c, lo, hi in tests.accepted_range]
-    counts = [F.count_if(failing) for _, _, failing in fails]
-    if tests.unique:
-        key = tests.unique
-        per_key = df.groupBy(*key).agg(
-            F.count(F.lit(1)).alias("_rows"), *[c.alias(f"_f{i}") for i, c in enumerate(counts)]
-        )
-        repeated = F.col("_rows") > 1
-        for c in key:
-            repeated = repeated & F.col(c).isNotNull()
-        df, counts = per_key, [F.sum(f"_f{i}") for i in range(len(counts))]
-        fails.append(("unique", ", ".join(key), repeated))
-        counts.append(F.count_if(repeated))
-    outcomes = [
+    fails = _row_tests(tests)
+    outcomes = {(test, c): F.count_if(failing) for test, c, failing in fails}
+    for key in tests.unique:
+        df = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *_counts(fails))
+        outcomes = {(test, c): F.sum(f"_f{i}") for i, (test, c, _) in enumerate(fails)}
+        outcomes["unique", key] = F.count_if((F.col("_rows") > 1) & F.col(key).isNotNull())
+    return _rows(model, df, outcomes)
+
+
+def _dashboard_pass(tables: Mapping[str, DataFrame], tests: ModelTests, params: Params) -> DataFrame:
+    """The dashboard's tests from one summary per date: its row-level failures, whether the
+    calendar has gaps, and whether dates hold all areas (see :func:`uncovered_dates`)."""
+    fails = _row_tests(tests)
+    per_date = tables[DASHBOARD].groupBy("date").agg(F.count_distinct("pcode").alias("_areas"), *_counts(fails))
+    areas = tables["dim_barangay"].agg(F.count(F.lit(1))).scalar()
+    days = F.date_diff(F.max("date"), F.min("date")) + 1
+    outcomes = {(test, c): F.sum(f"_f{i}") for i, (test, c, _) in enumerate(fails)}
+    outcomes["date_continuity", "date"] = days - F.count("date")
+    outcomes["full_coverage", "date"] = F.count_if(
+        (F.col("date") <= _judged_until(tables, params)) & (F.col("_areas") != areas)
+    )
+    return _rows(DASHBOARD, per_date, outcomes)
+
+
+def _rows(model: str, df: DataFrame, outcomes: Mapping[tuple[str, str], Column]) -> DataFrame:
+    """One row per outcome of a single aggregation."""
+    counted = [
         F.struct(
             F.lit(test).alias("test"), F.lit(column).alias("column_name"),
-            F.coalesce(count, F.lit(0)).alias("failures"),
+            F.coalesce(failures.cast("bigint"), F.lit(0)).alias("failures"),
         )
-        for (test, column, _), count in zip(fails, counts, strict=True)
+        for (test, column), failures in outcomes.items()
     ]
-    counted = df.agg(F.array(*outcomes).alias("_outcomes"))
-    return counted.select(F.lit(model).alias("model"), F.inline("_outcomes"))
+    return df.agg(F.array(*counted).alias("_outcomes")).select(F.lit(model).alias("model"), F.inline("_outcomes"))
 
 
 def _counted(model: str, test: str, column: str, failing: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -17,6 +18,7 @@ def local_session(cores: int = 8, **extra: str):
         spark__ui__enabled="false",
         spark__sql__shuffle__partitions="8",
         spark__driver__memory="8g",
+        spark__checkpoint__dir=tempfile.mkdtemp(prefix="hazardmarts-"),
         **extra,
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -7,7 +7,7 @@ from hazardmarts import schemas
 from hazardmarts.params import Params
 from hazardmarts.plans import views
 from hazardmarts.plans.build import MODELS, build_models
-from hazardmarts.plans.table_tests import declared, run_table_tests
+from hazardmarts.plans.table_tests import declared, missing_dates, run_table_tests, uncovered_dates
 from hazardmarts.sources import snapshots
 from tests import fixtures as fx
 
@@ -135,6 +135,10 @@ def test_thirty_table_tests(spark, models):
         # PH3 misses one observed day, PH4 has no weather: no date holds all four areas
         ("mart_dashboard", "full_coverage", "date"): 8,
     }
+    assert [r.date.isoformat() for r in missing_dates(models).orderBy("date").collect()] == [
+        "2026-08-31", "2026-09-01", "2026-09-02",
+    ]
+    assert uncovered_dates(models).count() == 8
     kinds = [t for m in declared().values() for t in (*m.unique, *m.not_null)]
     assert len(kinds) == 17
 

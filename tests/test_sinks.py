@@ -143,3 +143,9 @@ def test_extract_round_trip(spark, tmp_path):
     assert sorted(back.collect()) == sorted(warnings.collect())
     tables.register({"w": back})
     assert spark.sql("select count(*) from w where warning_level = 'red'").first()[0] == 1
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    from hazardmarts import session
+
+    assert session.shared_dir(spark, fallback="/nowhere") == spark.conf.get("spark.checkpoint.dir")
