@@ -74,9 +74,14 @@ def rolling_sums(
     return spread.withColumns(sums).filter("_block <=> _home").drop("_day", "_home", "_block")
 
 
-def look_back(df: DataFrame, date: str, run_date: Column, days: int) -> DataFrame:
-    """Rows from ``days`` before the run date on; later dates are unbounded."""
-    return df.filter(F.col(date) >= F.date_sub(run_date, days))
+def look_back(df: DataFrame, date: str, run: DataFrame, days: int) -> DataFrame:
+    """Rows from ``days`` before the run date on; later dates are unbounded.
+
+    ``run`` is one row with the run date. The bound is worked out inside the scalar subquery, so
+    the scan compares the date with a plain value and can skip files and row groups by it.
+    """
+    bound = run.select(F.date_sub(run.columns[0], days)).scalar()
+    return df.filter(F.col(date) >= bound)
 
 
 def date_bounds(df: DataFrame, date: str, keys: Sequence[str] = ()) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -38,6 +38,16 @@ def latest_run(df: DataFrame, run: str = "run_date", as_of: dt.date | None = Non
     return until_run(df, run, as_of).agg(F.max(run).alias(run))
 
 
+def given_run(spark: SparkSession, run_date: dt.date, run: str = "run_date") -> DataFrame:
+    """One row holding a run date known beforehand, in place of :func:`latest_run`.
+
+    As a scalar subquery it folds to a literal, so date bounds worked out from it reach the scan
+    as plain filters; several bounds from one searched run are merged into one subquery, whose
+    parts the scan cannot use to skip row groups.
+    """
+    return spark.sql("SELECT :run_date AS run_date", args={"run_date": run_date}).toDF(run)
+
+
 def until_run(df: DataFrame, run: str = "run_date", as_of: dt.date | None = None) -> DataFrame:
     """Rows of runs up to ``as_of``; all rows by default."""
     return df if as_of is None else df.filter(F.col(run) <= F.lit(as_of))

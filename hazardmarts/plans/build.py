@@ -7,7 +7,7 @@ from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 
-from hazardmarts.operators.versions import until_run
+from hazardmarts.operators.versions import given_run, until_run
 from hazardmarts.params import Params
 from hazardmarts.plans import marts, staging
 
@@ -54,14 +54,16 @@ def build_models(
     ``sources`` holds the four raw tables and ``dim_barangay``; ``written`` the models that are
     tables already and are read instead of computed.
 
-    With ``run_date`` later runs are ignored throughout, so replaying an old date uses that date
-    in the marts as well as in the gates; by default the newest run counts.
+    With ``run_date`` that run counts and later ones are ignored throughout, so replaying an old
+    date uses it in the marts as well as in the gates; by default the newest run counts.
     """
     built: dict[str, DataFrame] = dict(written or {})
 
     def get(name: str) -> DataFrame:
         if name not in built:
-            if name in MODELS:
+            if name == "int_latest_run" and run_date is not None:
+                built[name] = given_run(get("forecast_daily").sparkSession, run_date)
+            elif name in MODELS:
                 function, inputs, takes_params = MODELS[name]
                 built[name] = function(*map(get, inputs), *([params] if takes_params else []))
             else:

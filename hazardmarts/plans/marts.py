@@ -121,17 +121,16 @@ def mart_dashboard(
     sum reaches further back. A filter on the finished fact could not be pushed through the rolling
     window, so the whole history would be summed and fanned out first.
     """
-    run_date = int_latest_run.scalar()
     reach = params.lookback_days + max(ROLLING_DAYS.values()) - 1
     rolled = int_rain_rolling(
         int_rain_daily_unioned(
-            look_back(archive_daily, "date", run_date, reach),
-            look_back(stg_forecast_daily, "date", run_date, reach),
+            look_back(archive_daily, "date", int_latest_run, reach),
+            look_back(stg_forecast_daily, "date", int_latest_run, reach),
         )
     )
-    shown = look_back(rolled, "date", run_date, params.lookback_days)
+    shown = look_back(rolled, "date", int_latest_run, params.lookback_days)
     facts = fct_rain_barangay_daily(shown, dim_barangay, int_warnings_daily, params)
-    return facts.withColumn("run_date", run_date).select(*schemas.DASHBOARD_COLUMNS)
+    return facts.withColumn("run_date", int_latest_run.scalar()).select(*schemas.DASHBOARD_COLUMNS)
 
 
 def fct_river_grid_daily(

@@ -21,7 +21,7 @@ DASHBOARD = "mart_dashboard"
 class ModelTests:
     """Tests declared for one model."""
 
-    unique: tuple[str, ...] = ()
+    unique: str | None = None
     not_null: tuple[str, ...] = ()
     accepted_values: tuple[tuple[str, tuple[str, ...]], ...] = ()
     accepted_range: tuple[tuple[str, float | None, float | None], ...] = ()
@@ -30,10 +30,10 @@ class ModelTests:
 
 def declared(params: Params = Params()) -> dict[str, ModelTests]:
     levels = tuple(params.levels)
-    keyed = {"unique": ("row_key",), "not_null": ("row_key",)}
+    keyed = {"unique": "row_key", "not_null": ("row_key",)}
     return {
         "dim_barangay": ModelTests(
-            unique=("pcode",), not_null=("pcode", "grid_id"), accepted_range=(("score", 0.0, 100.0),)
+            unique="pcode", not_null=("pcode", "grid_id"), accepted_range=(("score", 0.0, 100.0),)
         ),
         "stg_forecast_daily": ModelTests(
             **keyed, accepted_range=(("precipitation_sum", 0.0, params.max_daily_mm),)
@@ -42,7 +42,7 @@ def declared(params: Params = Params()) -> dict[str, ModelTests]:
             **keyed, accepted_range=(("precipitation", 0.0, params.max_hourly_mm),)
         ),
         "stg_flood_daily": ModelTests(**keyed, accepted_range=(("river_discharge", 0.0, None),)),
-        "stg_archive_daily": ModelTests(unique=("row_key",), not_null=("row_key", "precipitation_sum")),
+        "stg_archive_daily": ModelTests(unique="row_key", not_null=("row_key", "precipitation_sum")),
         "fct_rain_barangay_daily": ModelTests(
             **keyed,
             relationships=(("pcode", "dim_barangay", "pcode"),),
@@ -113,7 +113,7 @@ def _one_pass(model: str, df: DataFrame, tests: ModelTests) -> DataFrame:
     so one aggregation on the key serves them all."""
     fails = _row_tests(tests)
     outcomes = {(test, c): F.count_if(failing) for test, c, failing in fails}
-    for key in tests.unique:
+    if key := tests.unique:
         df = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *_counts(fails))
         outcomes = {(test, c): F.sum(f"_f{i}") for i, (test, c, _) in enumerate(fails)}
         outcomes["unique", key] = F.count_if((F.col("_rows") > 1) & F.col(key).isNotNull())

@@ -50,7 +50,7 @@ RUN_LOG = _table(
     "flood_rows bigint, archive_rows bigint, dashboard_rows bigint, gates string"
 )
 
-# Column contracts of the published tables, in output order.
+# Column contracts of the published tables, in output order.
 DASHBOARD_COLUMNS = (
     "date", "source", "pcode", "name", "city", "population", "score", "pct_area_mh_25",
     "est_pop_exposed_25", "grid_id", "rain_mm", "rain_prob_max", "rain_hours", "rain_3d_mm",

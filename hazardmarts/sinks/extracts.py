@@ -21,12 +21,13 @@ EXTRACTS = {
     "monthly_normal": ("mart_monthly_normal", schemas.MONTHLY_COLUMNS, ("year", "month")),
 }
 
+# Attribution of the public weather data.
 ATTRIBUTION = (
     "Open-Meteo forecast API (https://open-meteo.com), CC BY 4.0",
     "Open-Meteo flood API, GloFAS river discharge (Copernicus Emergency Management Service)",
     "Open-Meteo historical weather API, ERA5 reanalysis (Copernicus Climate Change Service)",
 )
-NOTE = "Rainfall and discharge are model outputs (forecasts and reanalysis), not gauge observations."
+NOTE = "All rain and river values come from models; none is a gauge reading."
 
 
 def ordered(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> DataFrame:

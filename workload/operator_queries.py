@@ -117,7 +117,7 @@ SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice FROM orders
 WHERE o_orderdate >= (SELECT max(o_orderdate) FROM orders) - INTERVAL 30 DAY""")
 def lookback_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders").withColumn("date", F.to_date("o_orderdate"))
-    last = orders.agg(F.max("date")).scalar()
+    last = versions.latest_run(orders, "date")
     return series.look_back(orders, "date", last, PARAMS.lookback_days).select("o_orderkey", "date", "o_totalprice")
 
 
@@ -457,7 +457,7 @@ SELECT 'done', s_suppkey FROM supplier WHERE s_suppkey NOT IN (FROM done)""")
 def expected_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Suppliers without a recent line, per line status."""
     lines = table(spark, sf_dir, "lineitem").withColumn("date", F.to_date("l_shipdate"))
-    recent = series.look_back(lines, "date", lines.agg(F.max("date")).scalar(), 30)
+    recent = series.look_back(lines, "date", versions.latest_run(lines, "date"), 30)
     expected = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"))
     per_status = {n: recent.filter(F.col("l_linestatus") == s) for n, s in (("open", "O"), ("done", "F"))}
     return checks.missing_keys(expected, per_status, "l_suppkey")
