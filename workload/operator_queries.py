@@ -12,7 +12,6 @@ from hazardmarts.functions import (
 )
 from hazardmarts.operators import backfill, checks, groups, joins, series, spatial, versions
 from hazardmarts.params import Lattice, Params
-from hazardmarts.sources import snapshots
 from workload.registry import query
 from workload.twin import table
 
@@ -297,39 +296,6 @@ def fetch_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", utc_wall_time(iso).alias("fetched_at"))
 
 
-@query("""
-SELECT CAST(ts AS DATE) AS run_date, 'u' || CAST(user_id AS VARCHAR) AS grid_id, date_trunc('minute', ts) AS ts,
-       if(event_id % 10 = 0, NULL, value) AS precipitation, date_trunc('minute', ts) - INTERVAL 8 HOUR AS fetched_at
-FROM events""")
-def nested_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events packed into snapshot documents of parallel arrays, then flattened by the reader.
-
-    A document holds the events of one minute whose ids share a thousand, so none can grow large.
-    """
-    minute = F.date_trunc("minute", "ts").cast("timestamp_ntz")
-    events = table(spark, sf_dir, "events").select(
-        F.date_format("ts", "yyyy-MM-dd").alias("run_date"),
-        F.concat(F.date_format(minute, "yyyy-MM-dd'T'HH:mm"), F.lit(":00+08:00")).alias("fetched_at"),
-        F.date_format(minute, "yyyy-MM-dd'T'HH:mm").alias("time"),
-        F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("grid_id"),
-        F.when(F.pmod("event_id", F.lit(10)) != 0, F.col("value").cast("string")).alias("mm"),
-        F.floor(F.col("event_id") / 1000).alias("thousand"),
-    )
-    points = events.groupBy("run_date", "fetched_at", "grid_id", "thousand").agg(
-        F.collect_list(F.struct("time", "mm")).alias("steps")
-    )
-    response = F.struct(
-        F.struct(
-            F.transform("steps", lambda s: s["time"]).alias("time"),
-            F.transform("steps", lambda s: s["mm"]).alias("precipitation"),
-        ).alias("hourly")
-    )
-    documents = points.select(
-        "run_date", "fetched_at", F.array(F.struct("grid_id", response.alias("response"))).alias("points")
-    )
-    return snapshots.flatten_forecast_hourly(documents)
-
-
 # --- space ------------------------------------------------------------------------------------
 
 WIDE = Lattice(lat_min=-30.0, lat_max=30.0, lon_min=100.0, lon_max=150.0, step=2.5)
@@ -465,13 +431,12 @@ def expected_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT CAST(ts AS DATE) AS date, count(DISTINCT user_id) AS n FROM events
-WHERE CAST(ts AS DATE) <= DATE '2024-01-25' GROUP BY ALL
+WHERE CAST(ts AS DATE) <= (SELECT max(CAST(ts AS DATE)) FROM events) - 5 GROUP BY ALL
 HAVING count(DISTINCT user_id) <> (SELECT count(*) FROM supplier)""")
 def coverage_having(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").withColumn("date", F.to_date("ts"))
-    return checks.incomplete_dates(
-        events, "date", "user_id", F.lit(dt.date(2024, 1, 25)), expected=table(spark, sf_dir, "supplier")
-    )
+    until = events.agg(F.date_sub(F.max("date"), 5)).scalar()
+    return checks.incomplete_dates(events, "date", "user_id", until, expected=table(spark, sf_dir, "supplier"))
 
 
 @query("""

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -32,7 +32,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
-def archive_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def archive_daily(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     day = F.date_add(F.to_date("l_shipdate"), SHIFT_DAYS)
     return table(spark, sf_dir, "lineitem").select(
         F.col("l_suppkey").cast("string").alias("grid_id"),
@@ -40,6 +40,7 @@ def archive_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("l_discount") > 0, F.col("l_quantity") / 4).alias("precipitation_sum"),
         F.col("l_linenumber").cast("double").alias("precipitation_hours"),
         F.date_add(day, F.col("l_linenumber")).cast("timestamp_ntz").alias("fetched_at"),
+        *extra,
     )
 
 
@@ -57,13 +58,13 @@ def _event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def forecast_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def forecast_daily(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     return _event_rows(spark, sf_dir).select(
         "run_date", "grid_id", "date",
         F.when(F.pmod("event_id", F.lit(25)) != 3, F.col("quarters") / 16).alias("precipitation_sum"),
         F.pmod("event_id", F.lit(101)).cast("double").alias("precipitation_probability_max"),
         F.pmod("event_id", F.lit(25)).cast("double").alias("precipitation_hours"),
-        "fetched_at",
+        "fetched_at", *extra,
     )
 
 
@@ -75,13 +76,13 @@ def forecast_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def flood_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+def flood_daily(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
     flow = F.col("quarters") / 4
     return _event_rows(spark, sf_dir).select(
         "run_date", "grid_id", "date",
         flow.alias("river_discharge"),
         F.when(F.pmod("event_id", F.lit(30)) != 0, flow * 1.5).alias("river_discharge_max"),
-        "fetched_at",
+        "fetched_at", *extra,
     )
 
 
