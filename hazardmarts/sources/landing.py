@@ -87,4 +87,5 @@ def _filed(documents: DataFrame, unit: str, has_files: bool) -> DataFrame:
         return documents
     directory = F.regexp_extract("_metadata.file_path", r"([^/]+)/[^/]+$", 1)
     misfiled = F.raise_error(F.concat(F.lit("snapshot of another date in directory "), directory))
-    return documents.withColumn("run_date", F.when(F.col("run_date") == directory, F.col("run_date")).otherwise(misfiled))
+    filed = F.when(F.col("run_date") == directory, F.col("run_date")).otherwise(misfiled)
+    return documents.withColumn("run_date", filed)
