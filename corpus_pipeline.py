@@ -12,9 +12,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hazardmarts.llm import mixing, quality
+from hazardmarts.llm import decontam, jaccard, mixing, quality, toxicity
 from hazardmarts.llm.common import stored, table
-from hazardmarts.llm.queries import MIX_REST, MIX_WEIGHTS
+from hazardmarts.llm.queries import MIX_REST, MIX_WEIGHTS, TOXIC_LIMIT, toxicity_model
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -24,12 +24,33 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return quality.judge(docs).where("q_kept").select(*docs.columns)
 
 
+def non_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents below the toxicity limit; the model is fitted on the labelled raw documents."""
+    return toxicity.split_clean(docs, toxicity_model(spark, sf_dir), TOXIC_LIMIT)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of documents whose word 5-grams overlap by 0.8 or more."""
+    return jaccard.one_per_class(docs)
+
+
+def benchmark_free(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return decontam.clean_rows(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The mixture: one row per copy, in global random order."""
     return mixing.mix(docs, MIX_WEIGHTS, MIX_REST)
 
 
-STAGES: list[tuple[str, Stage]] = [("quality_rules", quality_rules), ("mix_sources", mix_sources)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_rules),
+    ("toxicity", non_toxic),
+    ("ngram_jaccard", near_duplicates),
+    ("benchmark_decontamination", benchmark_free),
+    ("mix_sources", mix_sources),
+]
 ORACLE_SQL: str | None = None
 
 

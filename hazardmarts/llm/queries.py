@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardmarts.llm import chat, licenses, mixing, quality, urls, warc
-from hazardmarts.llm.common import shared_path, table
+from hazardmarts.llm import chat, decontam, jaccard, licenses, lm, mixing, oracles, quality, toxicity, urls, warc
+from hazardmarts.llm.common import fold, shared_path, table
 
 URL_RULES = (
     urls.Rule("block", "net"),
@@ -17,6 +17,27 @@ URL_RULES = (
 # Target shares: the hot source down to a tenth, nineteen others alike, and a little for any further source.
 MIX_WEIGHTS = {"src0": 0.10} | {f"src{i}": 0.047 for i in range(1, 20)}
 MIX_REST = 0.007
+TOXIC_LIMIT = 0.7
+
+
+def op1_maxent_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"), fold("doc_id", 7) == 2)
+
+
+def toxicity_model(spark: SparkSession, sf_dir: str) -> toxicity.Model | None:
+    """Fitted on the labelled documents outside the held-out part."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return toxicity.train(docs, labels, use=lambda c: fold(c, 3) != 1)
+
+
+def op2_toxicity_svm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf_dir, "documents"), toxicity_model(spark, sf_dir))
+    return scored.select(
+        "doc_id",
+        (fold("doc_id", 3) == 1).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        F.when(F.col("toxicity") >= TOXIC_LIMIT, 1).otherwise(0).alias("predicted"),
+    )
 
 
 def op3_quality_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -42,6 +63,10 @@ def op4_chat_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(rendered, chat.expand(rendered))
 
 
+def op5_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     scanned = licenses.scan(table(spark, sf_dir, "documents"))
     starts = F.transform("lic_base", lambda x: x["start"])
@@ -63,6 +88,11 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.classify(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict", "block_score")
 
 
+def op8_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = jaccard.link_classes(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "copies")
+
+
 def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = warc.write_archives(table(spark, sf_dir, "pages"), shared_path(spark, "warc"))
     records = warc.read_archives(manifest, with_payload=False)
@@ -76,11 +106,18 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op3_quality_cascade, op4_chat_prefix_targets, op6_license_scan, op7_url_filter, op9_warc_archives,
+        op1_maxent_score, op2_toxicity_svm, op3_quality_cascade, op4_chat_prefix_targets,
+        op5_benchmark_decontamination, op6_license_scan, op7_url_filter, op8_ngram_jaccard, op9_warc_archives,
         op10_mix_sources,
     )
 }
 
 
-# Filled by the operators whose results SQL can state.
-SQL: dict[str, str] = {}
+# The others are tested against brute force, by exact round trips and on held-out rows.
+SQL: dict[str, str] = {
+    "op3_quality_cascade": oracles.QUALITY,
+    "op4_chat_prefix_targets": oracles.CHAT,
+    "op6_license_scan": oracles.licences(),
+    "op9_warc_archives": oracles.WARC,
+    "op10_mix_sources": oracles.mixing(MIX_WEIGHTS, MIX_REST),
+}
