@@ -36,11 +36,14 @@ from hazardmarts.llm.common import stored, text_of
 # Bound of the labelled documents of each label that the classifier is fitted on, chosen by hash of the id.
 MAX_LABELLED = 3000
 TOXIC_LANDMARKS, NEAR_LANDMARKS, FREQUENT_LANDMARKS = 96, 24, 8
-DECAY, POWER = 0.5, 4
+DECAY, POWER = 0.5, 3
 SPACE_BITS = 14
 # Places of the second and third character after the first, and the characters skipped.
 OFFSETS = tuple((a, b, b - 2) for b in range(2, 5) for a in range(1, b))
 ROUNDS = 2
+PENALTY = 1e-3
+# What toxic documents weigh in the fit, all together; near what they are among all documents, so that 0.7 is sure.
+TOXIC_SHARE = 0.2
 _PUNCTUATION = re.compile(r"[\W_]+")
 
 
@@ -151,10 +154,14 @@ class Tokens(dict):
 
     def __init__(self, value) -> None:
         super().__init__()
-        self.value, self.fresh = value, []
-        self.values = np.zeros(0, np.float32)
-        self.ends = np.zeros(0, bool)
-        self.letters = np.zeros(0, bool)
+        self.value = value
+        self.forget()
+
+    def forget(self) -> None:
+        self.clear()
+        self.fresh, self.plains = [], {}
+        self.values, self.word = np.zeros(0, np.float32), np.zeros(0, np.int64)
+        self.ends, self.letters = np.zeros(0, bool), np.zeros(0, bool)
 
     def __missing__(self, token: str) -> int:
         number = self[token] = len(self)
@@ -169,6 +176,7 @@ class Tokens(dict):
         if not self.fresh:
             return
         words = [plain(t) for t in self.fresh]
+        self.word = np.concatenate([self.word, [self.plains.setdefault(w, len(self.plains)) for w in words]])
         self.values = np.concatenate([self.values, self.value(words)])
         self.ends = np.concatenate([self.ends, np.array([t.rstrip("\"')]").endswith((".", "!", "?")) for t in self.fresh])])
         self.letters = np.concatenate([self.letters, np.array([len(w) == 1 and w.isalpha() for w in words])])
@@ -176,8 +184,7 @@ class Tokens(dict):
 
     def trim(self) -> None:
         if len(self) > self.limit:
-            self.clear()
-            self.values, self.ends, self.letters = np.zeros(0, np.float32), np.zeros(0, bool), np.zeros(0, bool)
+            self.forget()
 
 
 def tokens_of(text: str) -> list[str]:
@@ -205,14 +212,19 @@ def worst_sentences(tokens: Tokens, texts: list[str]) -> Iterator[tuple[float, l
             yield 0.0, []
             continue
         values = tokens.values[ids].astype(np.float64)
+        sentence = np.r_[0, np.cumsum(tokens.ends[ids][:-1])]
+        # Each distinct word of a sentence counts once.
+        order = np.argsort(sentence * (len(tokens.plains) + 1) + tokens.word[ids], kind="stable")
+        same = (sentence[order][1:] == sentence[order][:-1]) & (tokens.word[ids][order][1:] == tokens.word[ids][order][:-1])
+        values[order[1:][same]] = 0.0
         for place, word in runs:
             values[place] += value_of[word]
-        starts = np.r_[0, np.flatnonzero(tokens.ends[ids][:-1]) + 1]
+        starts = np.flatnonzero(np.r_[True, sentence[1:] != sentence[:-1]])
         sums = np.add.reduceat(values, starts)
         at = int(sums.argmax())
         low, high = starts[at], starts[at + 1] if at + 1 < len(starts) else len(raw)
-        words = [plain(t) for t in raw[low:high]] + [w for place, w in runs if low <= place < high]
-        yield float(sums[at]), words
+        words = dict.fromkeys([plain(t) for t in raw[low:high]] + [w for place, w in runs if low <= place < high])
+        yield float(sums[at]), list(words)
     tokens.trim()
 
 
@@ -276,8 +288,14 @@ def choose_landmarks(counts: DataFrame, n_pos: int, n_neg: int) -> tuple[list[st
     return toxic, list(chosen)
 
 
+def spoilt(words: list[str]) -> list[str]:
+    """The words with a letter inserted in the middle, as toxic sentences are also learned."""
+    return [w[: len(w) // 2] + "x" + w[len(w) // 2 :] for w in words]
+
+
 def sentence_vectors(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Kernel sums with the landmarks of each sampled document's most suspicious sentence, and the labels."""
+    """Kernel sums with the landmarks of each sampled document's most suspicious sentence, and the labels; toxic
+    sentences are also given with a character inserted in every word."""
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -285,12 +303,13 @@ def sentence_vectors(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.nd
         tokens = Tokens(held.word_values)
         for batch in batches:
             for part, texts in _texts(batch):
-                rows = [
-                    held.landmarks.kernel(words).sum(axis=0).tolist() if words else [0.0] * len(held.landmarks.words)
-                    for _, words in worst_sentences(tokens, texts)
-                ]
+                rows, labels = [], []
+                for (_, words), toxic in zip(worst_sentences(tokens, texts), part.column("toxic").to_pylist(), strict=True):
+                    for spelling in [words, spoilt(words)] if toxic else [words]:
+                        rows.append(held.landmarks.kernel(spelling).sum(axis=0).tolist())
+                        labels.append(toxic)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("toxic"), pa.array(rows, pa.list_(pa.float32()))], names=["toxic", "vector"]
+                    [pa.array(labels, pa.int32()), pa.array(rows, pa.list_(pa.float32()))], names=["toxic", "vector"]
                 )
 
     rows = sample.mapInArrow(work, "toxic int, vector array<float>").collect()
@@ -298,20 +317,35 @@ def sentence_vectors(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.nd
     return np.array([r["vector"] for r in rows], dtype=np.float64), np.array([r["toxic"] for r in rows], dtype=np.float64)
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int = 400) -> tuple[np.ndarray, float]:
-    """Weights and bias of a linear SVM with squared hinge loss, both labels weighted alike."""
+def _shares(y: np.ndarray) -> np.ndarray:
+    return np.where(y > 0, TOXIC_SHARE / max(y.sum(), 1), (1 - TOXIC_SHARE) / max((1 - y).sum(), 1))
+
+
+def fit_svm(x: np.ndarray, y: np.ndarray, penalty: float = PENALTY, steps: int = 50) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear SVM with squared hinge loss, by Newton steps."""
     sign = 2 * y - 1
-    share = np.where(y > 0, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
+    share = _shares(y)
     z = np.c_[x, np.ones(len(x))]
-    bound = 2 * np.linalg.norm(z * np.sqrt(share)[:, None], 2) ** 2 + penalty
-    w = ahead = np.zeros(z.shape[1])
-    ridge = np.r_[np.full(x.shape[1], penalty), 0.0]
-    for k in range(steps):
-        slack = np.maximum(0, 1 - sign * (z @ ahead))
-        slope = -2 * z.T @ (share * sign * slack) + ridge * ahead
-        new = ahead - slope / bound
-        ahead = new + k / (k + 3) * (new - w)
-        w = new
+    ridge = np.r_[np.full(x.shape[1], penalty), 1e-9]
+
+    def loss(w):
+        slack = np.maximum(0, 1 - sign * (z @ w))
+        return (share * slack**2).sum() + (ridge * w * w).sum() / 2, slack
+
+    w = np.zeros(z.shape[1])
+    best, slack = loss(w)
+    for _ in range(steps):
+        slope = -2 * z.T @ (share * sign * slack) + ridge * w
+        bend = 2 * (z * (share * (slack > 0))[:, None]).T @ z + np.diag(ridge)
+        move, length = np.linalg.solve(bend, slope), 1.0
+        while length > 1e-6:
+            new, new_slack = loss(w - length * move)
+            if new <= best:
+                break
+            length /= 2
+        if length <= 1e-6 or best - new < 1e-10:
+            break
+        w, best, slack = w - length * move, new, new_slack
     return w[:-1], float(w[-1])
 
 
@@ -319,7 +353,7 @@ def calibrate(values: np.ndarray, y: np.ndarray, steps: int = 100) -> tuple[floa
     """Slope and shift of a logistic curve through the values, by Newton steps; targets are smoothed."""
     pos, neg = y.sum(), (1 - y).sum()
     target = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
-    share = np.where(y > 0, 0.5 / max(pos, 1), 0.5 / max(neg, 1))
+    share = _shares(y)
     z = np.c_[values, np.ones(len(values))]
     w = np.array([1.0, 0.0])
     for _ in range(steps):
