@@ -28,6 +28,8 @@ from pyspark.sql import functions as F
 from hazardmarts.llm.common import text_of
 
 ADDED = ("copy", "rate", "mix_key")
+# Larger means are drawn as sums of independent draws of equal smaller means.
+LARGEST_MEAN = 500
 
 
 def unit(seed: int, *keys: Column) -> Column:
@@ -42,8 +44,8 @@ def _bits(seed: int, *keys: Column) -> Column:
 
 def poisson_cdf(mean: float) -> list[float]:
     """The distribution function from 0 on, up to where a 32-bit uniform number cannot pass."""
-    if mean < 0 or mean > 500:
-        raise ValueError("a repetition rate must be between 0 and 500")
+    if not 0 <= mean <= LARGEST_MEAN:
+        raise ValueError(f"a mean must be between 0 and {LARGEST_MEAN}")
     term = total = math.exp(-mean)
     out = [total]
     k = 0
@@ -82,22 +84,27 @@ def mix(
     sizes = source_sizes(docs, weights, source, text)
     means = rates(sizes, weights, rest, sum(sizes.values()) if total is None else total)
     kept = [c for c in docs.columns if c not in ADDED]
-    draw = unit(seed, F.col(doc_id))
-    count, rate = _count(draw, means[None]), F.lit(means[None])
+    key = F.col(doc_id)
+    count, rate = _count(seed, key, means[None]), F.lit(means[None])
     for name in weights:
-        count = F.when(F.col(source) == name, _count(draw, means[name])).otherwise(count)
+        count = F.when(F.col(source) == name, _count(seed, key, means[name])).otherwise(count)
         rate = F.when(F.col(source) == name, F.lit(means[name])).otherwise(rate)
     copies = (
         docs.select(*kept, rate.alias("rate"), count.alias("copy"))
         .where("copy > 0")
         .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("copy") - 1)))
     )
-    key = _bits(seed + 1, F.col(doc_id), F.col("copy"))
-    keyed = copies.withColumn("mix_key", key)
+    keyed = copies.withColumn("mix_key", _bits(seed + 1, key, F.col("copy")))
     return keyed.repartitionByRange("mix_key", doc_id, "copy").sortWithinPartitions("mix_key", doc_id, "copy")
 
 
-def _count(draw: Column, mean: float) -> Column:
-    """How many steps of the distribution function lie at or below the draw."""
-    steps = F.array(*[F.lit(p) for p in poisson_cdf(mean)])
-    return F.size(F.filter(steps, lambda p: p <= draw))
+def _count(seed: int, key: Column, mean: float) -> Column:
+    """A Poisson draw: how many steps of the distribution function lie at or below a uniform number."""
+    parts = max(1, math.ceil(mean / LARGEST_MEAN))
+    steps = F.array(*[F.lit(p) for p in poisson_cdf(mean / parts)])
+    below = lambda draw: F.size(F.filter(steps, lambda p: p <= draw))
+    if parts == 1:
+        return below(unit(seed, key))
+    return F.aggregate(
+        F.sequence(F.lit(1), F.lit(parts)), F.lit(0), lambda total, part: total + below(unit(seed, key, part))
+    )

@@ -1,0 +1,68 @@
+"""Quality measures against plain Python, and the order of the cascade."""
+
+import random
+import re
+from collections import Counter
+
+from pyspark.sql import functions as F
+
+from hazardmarts.llm import quality
+from hazardmarts.llm.quality import Estimate, Rule
+
+
+def plain(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    seen = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if seen[w] > 1 for k in range(3)}
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    return (len(words), sum(map(len, words)), len(re.findall(r"[#*$%&|<>]", text)), len(lines) - len(set(lines)), len(covered), len(lines))
+
+
+def texts():
+    draw = random.Random(11)
+    out = [None, "", " \n\t", "a", "a b", "a b c", "a b c a b c", "x x x x x", "é ü\nß é ü\nß", "\n\nsame\nsame\n \nsame", "#$ <a> | && **",
+           "no\u00a0break\u2003space", "w " * 30_000]
+    for _ in range(60):
+        words = [draw.choice("abcd") + draw.choice("12") for _ in range(draw.randrange(1, 80))]
+        out.append("".join(w + draw.choice([" ", "\n", "  ", "\t"]) for w in words))
+    return out
+
+
+def test_measures_equal_plain_python(spark):
+    rows = list(enumerate(texts()))
+    df = spark.createDataFrame([(*r, 7) for r in rows], "doc_id int, text string, q_words int")
+    got = {r.doc_id: tuple(r[m] for m in quality.MEASURES) for r in quality.measures(df).collect()}
+    assert got == {i: plain(t) for i, t in rows}
+
+
+def test_order_does_not_change_the_verdict(spark):
+    df = quality.measures(spark.createDataFrame([(t,) for t in texts()], "text string"))
+    rules = quality.default_rules()
+    kept = [r.q_kept for r in quality.cascade(df, rules).collect()]
+    back = [r.q_kept for r in quality.cascade(df, rules[::-1]).collect()]
+    assert kept == back and not kept[0] and not kept[1]
+
+
+def test_reason_is_the_first_rule_and_nulls_reject_nothing(spark):
+    df = spark.createDataFrame([(1, 1), (1, None), (0, 0)], "a int, b int")
+    rules = [Rule("b", F.col("b") == 1), Rule("a", F.col("a") == 1)]
+    assert [r.q_reason for r in quality.cascade(df, rules).collect()] == ["b", "a", None]
+
+
+def test_rules_are_ordered_by_rejections_per_cost(spark):
+    cheap, dear = Rule("cheap", F.lit(True)), Rule("dear", F.lit(True))
+    assert Estimate(cheap, 0.2, 0.01).gain > Estimate(dear, 0.9, 1.0).gain
+    df = spark.createDataFrame([(i, f"text {i}") for i in range(200)], "doc_id int, text string")
+    order = quality.plan_cascade(df, [Rule("never", F.lit(False)), Rule("most", F.col("doc_id") > 5)])
+    assert [e.rule.name for e in order] == ["most", "never"] and order[0].rejected == 194 / 200
+
+
+def test_empty_table(spark):
+    assert quality.judge(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_plan_has_no_python(spark):
+    plan = quality.judge(spark.createDataFrame([(1, "a b c")], "doc_id long, text string"))._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
