@@ -294,8 +294,8 @@ def spoilt(words: list[str]) -> list[str]:
 
 
 def sentence_vectors(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
-    """Kernel sums with the landmarks of each sampled document's most suspicious sentence, and the labels; toxic
-    sentences are also given with a character inserted in every word."""
+    """Kernel sums with the landmarks of each sampled document's most suspicious sentence, and the labels. Toxic
+    sentences are also given with a character inserted in every word, and some without words are added as clean."""
     shared = sample.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -313,8 +313,10 @@ def sentence_vectors(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.nd
                 )
 
     rows = sample.mapInArrow(work, "toxic int, vector array<float>").collect()
-    rows.sort(key=lambda r: (r["toxic"], r["vector"]))
-    return np.array([r["vector"] for r in rows], dtype=np.float64), np.array([r["toxic"] for r in rows], dtype=np.float64)
+    found = sorted((r["toxic"], r["vector"]) for r in rows)
+    # A sentence of words that resemble no landmark is clean.
+    found += [(0, [0.0] * len(model.landmarks.words))] * (1 + len(found) // 20)
+    return np.array([v for _, v in found], dtype=np.float64), np.array([t for t, _ in found], dtype=np.float64)
 
 
 def _shares(y: np.ndarray) -> np.ndarray:
