@@ -1,4 +1,4 @@
-"""Helpers for Arrow batches inside tasks: words to hashed ids, and runs of equal keys across batches."""
+"""Helpers for Arrow batches inside tasks: words to hashes, and runs of equal keys across batches."""
 
 from __future__ import annotations
 
@@ -46,6 +46,66 @@ def rolling(ids: np.ndarray, n: int) -> np.ndarray:
         return mix64(out)
 
 
+# Base of the words' polynomial hash and its inverse modulo 2^64; the base is 5 modulo 8, so its powers differ.
+_BASE = 0x2545F4914F6CDD1D
+_INVERSE = pow(_BASE, -1, 1 << 64)
+PART_BYTES = 1 << 20
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base))
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+class WordHashes:
+    """64-bit hashes of the words of many texts at once, without a Python object per word.
+
+    ``fold`` maps bytes to bytes and ``apart`` marks the bytes between words. A word's hash comes from running
+    sums of byte x power of the base, with the powers of its start divided out.
+    """
+
+    def __init__(self, fold: np.ndarray, apart: np.ndarray) -> None:
+        self.fold, self.apart = fold, apart
+        self.up, self.down = _powers(_BASE, 1 << 10), _powers(_INVERSE, 1 << 10)
+
+    def finished(self, value: np.ndarray, folded: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        return mix64(value)
+
+    def words(self, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and first bytes of the words of a byte array."""
+        while len(self.up) <= len(data):
+            self.up, self.down = _powers(_BASE, 2 * len(self.up)), _powers(_INVERSE, 2 * len(self.down))
+        folded = self.fold[data]
+        inside = np.empty(len(data) + 2, np.int8)
+        inside[0] = inside[-1] = 0
+        inside[1:-1] = ~self.apart[data]
+        edge = np.diff(inside)
+        starts, ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        sums = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum((folded.astype(np.uint64) + np.uint64(1)) * self.up[: len(data)], out=sums[1:])
+        value = (sums[ends] - sums[starts]) * self.down[starts]
+        return self.finished(value, folded, starts, ends), starts
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes of all words of a binary array in a row, and the number of the text of each."""
+        offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+        held = texts.buffers()[2]
+        data = np.frombuffer(held, np.uint8)[offsets[0] : offsets[-1]] if held is not None else np.zeros(0, np.uint8)
+        offsets = offsets - offsets[0]
+        # A space after each text keeps the words of neighbours apart.
+        values, starts = self.words(np.insert(data, offsets[1:], 32))
+        return values, np.searchsorted(offsets[1:] + np.arange(1, len(offsets)), starts, side="right")
+
+    def parts(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """(first text, texts, hashes, number of the text within) for runs of texts of about ``PART_BYTES``."""
+        sizes = np.diff(np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1])
+        part = (np.cumsum(sizes, dtype=np.int64) - sizes) // PART_BYTES
+        for at in np.unique(part):
+            low, high = np.searchsorted(part, [at, at + 1])
+            yield int(low), int(high - low), *self.of(texts.slice(low, high - low))
+
+
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of the rows of one key each, from batches sorted by the keys. A run may cross batches;
     only one run is held beside the batch."""

@@ -22,10 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardmarts.llm.arrays import WordIds, rolling
+from hazardmarts.llm.arrays import WordHashes, rolling
 from hazardmarts.llm.common import text_of
 
 SEED, STRIDE = 4, 3
@@ -35,11 +35,11 @@ SHARD_CHARS = 8 << 20
 # Alignment scores per word: equal, replaced, inserted or dropped.
 MATCH, MISMATCH, GAP = 2, -1, -1
 
-# ASCII capitals to lower case, all other ASCII but letters and digits to a space.
-_TABLE = bytes(
-    b if b >= 128 or chr(b).isdigit() or chr(b).islower() else ord(chr(b).lower()) if chr(b).isupper() else 32
-    for b in range(256)
-)
+# ASCII but letters and digits lies between words.
+_APART = np.array([b < 128 and not (chr(b).isalnum()) for b in range(256)])
+_FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+# Size of the table that tells most n-grams of the corpus from those of the items, as a power of two.
+TABLE_BITS = 20
 
 HIT = pa.schema([
     ("doc_id", pa.int64()), ("item_id", pa.int64()), ("score", pa.float64()), ("first_word", pa.int64()),
@@ -48,8 +48,8 @@ HIT = pa.schema([
 HIT_DDL = "doc_id bigint, item_id bigint, score double, first_word bigint, last_word bigint"
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.lower().encode("utf-8", "surrogatepass").translate(_TABLE).split()
+def lowered(text: Column) -> Column:
+    return F.lower(text).cast("binary")
 
 
 def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
@@ -79,30 +79,32 @@ def align(item: np.ndarray, window: np.ndarray) -> tuple[int, int, int]:
 
 
 class Items:
-    """The items of one shard as id arrays, and their n-grams."""
-
-    def __init__(self, rows: list[tuple[int | None, str]]) -> None:
-        ids = WordIds()
-        self.ids = [r[0] for r in rows]
-        self.words = [ids.of(words_of(r[1])) for r in rows]
-        self.grams = [rolling(w, SEED) for w in self.words]
-        self.short = sorted({len(w) for w in self.words if 0 < len(w) < SEED})
-        self.known = np.unique(np.concatenate(self.grams)) if rows else np.zeros(0, np.uint64)
+    """The items of one shard as arrays of word hashes, and their n-grams."""
 
-    def scan(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places in a document, and numbers among ``known``, of all its n-grams that an item has."""
-        places, numbers = [], []
-        for width in [SEED, *self.short]:
-            if len(ids) < width:
+    def __init__(self, rows: list[tuple[int | None, bytes]]) -> None:
+        with np.errstate(over="ignore"):
+            hashes, number = WordHashes(_FOLD, _APART).of(pa.array([r[1] for r in rows], pa.binary()))
+            self.ids = [r[0] for r in rows]
+            self.words = np.split(hashes, np.searchsorted(number, np.arange(1, len(rows)))) if rows else []
+            self.grams = [rolling(w, SEED) for w in self.words]
+        self.widths = [SEED, *sorted({len(w) for w in self.words if 0 < len(w) < SEED})]
+        self.known = np.unique(np.concatenate(self.grams)) if rows else np.zeros(0, np.uint64)
+        self.table = np.zeros(1 << TABLE_BITS, dtype=bool)
+        self.table[self.known >> np.uint64(64 - TABLE_BITS)] = True
+
+    def scan(self, words: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places in a row of documents, and numbers among ``known``, of all n-grams that an item has."""
+        places, numbers = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for width in self.widths:
+            if len(words) < width:
                 continue
-            grams = rolling(ids, width)
-            at = np.searchsorted(self.known, grams)
-            at[at == len(self.known)] = 0
-            hit = np.flatnonzero(self.known[at] == grams)
-            places.append(hit)
+            grams = rolling(words, width)
+            maybe = np.flatnonzero(self.table[grams >> np.uint64(64 - TABLE_BITS)])
+            at = np.minimum(np.searchsorted(self.known, grams[maybe]), len(self.known) - 1)
+            # An n-gram must be known and lie within one document.
+            hit = (self.known[at] == grams[maybe]) & (number[maybe] == number[maybe + width - 1])
+            places.append(maybe[hit])
             numbers.append(at[hit])
-        if not places:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
         return np.concatenate(places), np.concatenate(numbers)
 
     def seeds(self, counts: np.ndarray) -> dict[int, list[tuple[int, int]]]:
@@ -119,11 +121,17 @@ class Items:
         return {k: sorted(v) for k, v in out.items()}
 
 
-def _documents(batches: Iterator[pa.RecordBatch], ids: WordIds) -> Iterator[tuple[int | None, np.ndarray]]:
-    for batch in batches:
-        keys = batch.column("doc_id")
-        for key, text in zip(keys, batch.column("text"), strict=True):
-            yield key.as_py(), ids.of(words_of(text.as_py()))
+def _scanned(batch: pa.RecordBatch, items: Items, hashes: WordHashes):
+    """(row, words, places, numbers) of every document of a batch in which an n-gram of the items occurs."""
+    for first, _, words, number in hashes.parts(batch.column("text")):
+        places, numbers = items.scan(words, number)
+        order = np.argsort(places, kind="stable")
+        places, numbers = places[order], numbers[order]
+        row = number[places]
+        for r in np.unique(row):
+            low, high = np.searchsorted(number, [r, r + 1])
+            mine = slice(*np.searchsorted(row, [r, r + 1]))
+            yield first + int(r), words[low:high], places[mine] - low, numbers[mine]
 
 
 def gram_counts(docs: DataFrame, items: Items) -> np.ndarray:
@@ -132,18 +140,18 @@ def gram_counts(docs: DataFrame, items: Items) -> np.ndarray:
     schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, ids = shared.value, WordIds()
+        found, hashes = shared.value, WordHashes(_FOLD, _APART)
         total = np.zeros(len(found.known), dtype=np.int64)
         with np.errstate(over="ignore"):
-            for _, words in _documents(batches, ids):
-                _, numbers = found.scan(words)
-                if len(numbers):
+            for batch in batches:
+                for _, _, _, numbers in _scanned(batch, found, hashes):
                     total[np.unique(numbers)] += 1
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some], pa.int64())], schema=schema)
 
     out = np.zeros(len(items.known), dtype=np.int64)
-    for row in docs.mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).collect():
+    counts = docs.select("text").mapInArrow(count, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n"))
+    for row in counts.collect():
         out[row["gram"]] = row["n"]
     return out
 
@@ -160,8 +168,7 @@ def windows(hits: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
     return [(max(0, low - slack), high + length + slack) for low, high in out]
 
 
-def _matches(items: Items, seeds: dict[int, list[tuple[int, int]]], words: np.ndarray, threshold: float):
-    places, numbers = items.scan(words)
+def _matches(items: Items, seeds: dict[int, list[tuple[int, int]]], words, places, numbers, threshold: float):
     by_item: dict[int, list[tuple[int, int]]] = defaultdict(list)
     for place, number in zip(places.tolist(), numbers.tolist(), strict=True):
         for item, q in seeds.get(number, ()):
@@ -177,14 +184,14 @@ def _matches(items: Items, seeds: dict[int, list[tuple[int, int]]], words: np.nd
             yield (items.ids[item], *best)
 
 
-def shards(items: DataFrame, item_id: str, text: str, shard_chars: int) -> Iterator[list[tuple[int | None, str]]]:
+def shards(items: DataFrame, item_id: str, text: str, shard_chars: int) -> Iterator[list[tuple[int | None, bytes]]]:
     """The items in parts of about ``shard_chars`` characters, each collected on its own."""
-    rows = items.select(F.col(item_id).cast("bigint").alias("i"), text_of(text).alias("t"))
-    total = rows.agg(F.sum(F.length("t"))).first()[0] or 0
+    rows = items.select(F.col(item_id).cast("bigint").alias("i"), lowered(text_of(text)).alias("t"))
+    total = rows.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     parts = -(-total // shard_chars)
     for part in range(parts):
         held = rows if parts == 1 else rows.where(F.pmod(F.xxhash64("i", "t"), F.lit(parts)) == part)
-        yield [(r["i"], r["t"]) for r in held.collect()]
+        yield [(r["i"], bytes(r["t"])) for r in held.collect()]
 
 
 def contaminated(
@@ -194,7 +201,7 @@ def contaminated(
     """One row per input row and item that it holds: doc_id, item_id, ``score`` (threshold to 1), and the
     passage as ``first_word`` and ``last_word``, counted from 0."""
     spark = docs.sparkSession
-    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), text_of(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("bigint").alias("doc_id"), lowered(text_of(text)).alias("text"))
     out = spark.createDataFrame([], HIT_DDL)
     for number, shard in enumerate(shards(items, item_id, item_text, shard_chars)):
         known = Items(shard)
@@ -209,11 +216,12 @@ def contaminated(
 
 def _finder(shared, threshold: float):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (known, seeds), ids = shared.value, WordIds()
+        (known, seeds), hashes = shared.value, WordHashes(_FOLD, _APART)
         held: list[tuple] = []
         with np.errstate(over="ignore"):
-            for key, words in _documents(batches, ids):
-                held += [(key, *m) for m in _matches(known, seeds, words, threshold)]
+            for batch in batches:
+                for row, *hits in _scanned(batch, known, hashes):
+                    held += [(batch.column("doc_id")[row].as_py(), *m) for m in _matches(known, seeds, *hits, threshold)]
                 if len(held) >= 10_000:
                     yield _packed(held)
                     held = []
@@ -225,14 +233,13 @@ def _finder(shared, threshold: float):
 
 def _cleaner(shared, threshold: float):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, ids = shared.value, WordIds()
+        (known, seeds), hashes = shared.value, WordHashes(_FOLD, _APART)
         with np.errstate(over="ignore"):
             for batch in batches:
-                good = []
-                for text in batch.column("decontam_text"):
-                    words = ids.of(words_of(text.as_py()))
-                    good.append(all(next(_matches(k, s, words, threshold), None) is None for k, s in parts))
-                yield batch.drop_columns("decontam_text").filter(pa.array(good, pa.bool_()))
+                good = np.ones(batch.num_rows, dtype=bool)
+                for row, *hits in _scanned(batch, known, hashes):
+                    good[row] = next(_matches(known, seeds, *hits, threshold), None) is None
+                yield batch.drop_columns("text").filter(pa.array(good))
 
     return clean
 
@@ -248,10 +255,10 @@ def clean_rows(
         known = Items(shard)
         if not len(known.known):
             continue
-        body = text_of(names[docs.columns.index(text)])
-        seeds = known.seeds(gram_counts(out.select(F.lit(None).cast("bigint").alias("doc_id"), body.alias("text")), known))
-        shared = docs.sparkSession.sparkContext.broadcast([(known, seeds)])
-        out = out.withColumn("decontam_text", body).mapInArrow(_cleaner(shared, threshold), out.schema)
+        body = lowered(text_of(names[docs.columns.index(text)]))
+        seeds = known.seeds(gram_counts(out.select(body.alias("text")), known))
+        shared = docs.sparkSession.sparkContext.broadcast((known, seeds))
+        out = out.withColumn("text", body).mapInArrow(_cleaner(shared, threshold), out.schema)
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
 
 
