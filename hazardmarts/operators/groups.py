@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from hazardmarts.functions import level_of, severity_of
 
 
+# Twelve digits behind the point: measures have at most a few, and means are rounded to two.
+EXACT = "decimal(30,12)"
+
+
 def daily_peak(
     df: DataFrame, keys: Sequence[str], value: str, label: str, levels: Sequence[str], peak: str
 ) -> DataFrame:
@@ -35,15 +39,19 @@ def distinct_text(df: DataFrame, keys: Sequence[str], text: str, name: str, sepa
 
 
 def spatial_mean(df: DataFrame, date: str, value: str, name: str) -> DataFrame:
-    """Mean per date over whatever points have a value that day."""
-    return df.groupBy(date).agg(F.avg(value).alias(name))
+    """Mean per date over whatever points have a value that day.
+
+    Values are summed as decimals, so the result does not depend on the order of addition.
+    """
+    total = F.sum(F.col(value).cast(EXACT)).cast("double")
+    return df.groupBy(date).agg((total / F.nullif(F.count(value), F.lit(0))).alias(name))
 
 
 def monthly_totals(daily: DataFrame, date: str, value: str, total: str) -> DataFrame:
-    """Sum and number of days per calendar month. Expects one row per date."""
+    """Sum, added up as decimals, and number of days per calendar month. Expects one row per date."""
     return daily.groupBy(
         F.year(date).cast("bigint").alias("year"), F.month(date).cast("bigint").alias("month")
-    ).agg(F.sum(value).alias(total), F.count(date).alias("days_covered"))
+    ).agg(F.sum(F.col(value).cast(EXACT)).cast("double").alias(total), F.count(date).alias("days_covered"))
 
 
 def with_climatology(

@@ -33,7 +33,8 @@ def fan_out(
 ) -> DataFrame:
     """Inner join that repeats each fact for every member of its key (member ids are unique).
 
-    Members within the broadcast limit are broadcast and the facts stay where they are. Beyond it,
+    Members whose estimate is within the broadcast limit are joined plainly: adaptive execution broadcasts
+    them if their measured size allows it and otherwise splits partitions that are too large. Beyond it,
     the members of each hot key are spread over salts by a hash of their id and the facts of
     that key are repeated once per salt, so no task gets more than about one part in ``parts``
     of the members. Salts depend on row content only: a task that is run again after a lost
@@ -41,7 +42,7 @@ def fan_out(
     """
     on = list(on)
     if fits_broadcast(members):
-        return facts.join(F.broadcast(members), on)
+        return facts.join(members, on)
     per_key = members.groupBy(*on).agg(F.count(F.lit(1)).alias("_members"))
     total = members.agg(F.count(F.lit(1))).scalar()
     share = F.col("_members") * F.lit(float(parts)) / total

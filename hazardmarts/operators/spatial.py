@@ -9,8 +9,10 @@ from hazardmarts.functions import haversine_km, round_half_even
 from hazardmarts.params import Lattice
 
 
-def point_id(row: Column, col: Column) -> Column:
-    return F.format_string("g%02d%02d", row, col)
+def point_id(row: Column, col: Column, lattice: Lattice) -> Column:
+    """Row and column in as many digits as the larger side needs, at least two, so that ids are unique."""
+    digits = max(2, len(str(max(lattice.n_rows, lattice.n_cols) - 1)))
+    return F.format_string(f"g%0{digits}d%0{digits}d", row, col)
 
 
 def _coordinate(start: float, step: float, index: Column) -> Column:
@@ -22,7 +24,7 @@ def lattice_points(spark: SparkSession, lattice: Lattice) -> DataFrame:
     row = F.floor(F.col("id") / F.lit(lattice.n_cols)).cast("int")
     col = F.pmod(F.col("id"), F.lit(lattice.n_cols)).cast("int")
     return spark.range(lattice.size).select(
-        point_id(row, col).alias("grid_id"),
+        point_id(row, col, lattice).alias("grid_id"),
         _coordinate(lattice.lat_min, lattice.step, row).alias("lat"),
         _coordinate(lattice.lon_min, lattice.step, col).alias("lon"),
     )
@@ -86,7 +88,7 @@ def with_nearest_point(
     )
     located = la.isNotNull() & lo.isNotNull()
     found = df.withColumn("_near", F.when(located, F.when(close, near).otherwise(far)))
-    identifier = F.when(F.col("_near").isNotNull(), point_id(F.col("_near.row"), F.col("_near.col")))
+    identifier = F.when(F.col("_near").isNotNull(), point_id(F.col("_near.row"), F.col("_near.col"), lattice))
     return found.withColumn(name, identifier).drop("_near")
 
 
@@ -99,7 +101,8 @@ def centroids(vertices: DataFrame, key: str, origin: tuple[float, float]) -> Dat
 
     Rings numbered 0 and below are the outer rings of the area's parts and add their area; rings
     above 0 are holes and take it away, whatever the orientation. ``seq`` counts up by one
-    within a ring and the last vertex repeats the first.
+    within a ring and the last vertex repeats the first. A ring that is open or has a gap or a repeated
+    position raises an error that names its key, and so does an area of size zero.
 
     Every vertex is sent to the edge it starts and the edge it ends, keyed by ring and position,
     so the vertices of one huge polygon are spread over tasks; the sums are combined before the
@@ -126,21 +129,33 @@ def centroids(vertices: DataFrame, key: str, origin: tuple[float, float]) -> Dat
         .agg(
             at(True, "px").alias("x0"), at(True, "py").alias("y0"),
             at(False, "px").alias("x1"), at(False, "py").alias("y1"),
+            F.count_if("starts").alias("n_starts"),
         )
-        .filter("x0 is not null and x1 is not null")
         .withColumn("cross", F.expr("x0 * y1 - x1 * y0"))
     )
+    # A sound ring has one edge without an end (after its last vertex) and one without a start (before its first).
+    lone_start, lone_end = F.col("x1").isNull(), F.col("x0").isNull()
     rings = edges.groupBy(key, "ring").agg(
         F.sum("cross").alias("area2"),
         F.sum(F.expr("(x0 + x1) * cross")).alias("sx"),
         F.sum(F.expr("(y0 + y1) * cross")).alias("sy"),
+        F.count_if(lone_start).alias("lone_starts"),
+        F.max("n_starts").alias("repeats"),
+        F.max(F.when(lone_start, F.struct("x0", "y0"))).alias("last"),
+        F.max(F.when(lone_end, F.struct("x1", "y1"))).alias("first"),
     )
+    closed = (F.col("last.x0") == F.col("first.x1")) & (F.col("last.y0") == F.col("first.y1"))
+    sound = (F.col("lone_starts") == 1) & (F.col("repeats") == 1) & F.coalesce(closed, F.lit(False))
+    blame = F.concat(F.lit("ring not closed or not gapless: "), F.col(key).cast("string"))
+    rings = rings.withColumn("area2", F.when(sound, F.col("area2")).otherwise(F.raise_error(blame)))
     turn = F.signum("area2") * F.when(F.col("ring") > 0, -1.0).otherwise(1.0)
     areas = rings.groupBy(key).agg(
         F.sum(turn * F.col("area2")).alias("area2"),
         F.sum(turn * F.col("sx")).alias("sx"),
         F.sum(turn * F.col("sy")).alias("sy"),
     )
+    flat = F.raise_error(F.concat(F.lit("polygon without area: "), F.col(key).cast("string")))
+    areas = areas.withColumn("area2", F.when(F.col("area2") != 0, F.col("area2")).otherwise(flat))
     return areas.select(
         key,
         (F.lit(origin[1]) + F.expr("sy / (3 * area2)")).alias("lat"),

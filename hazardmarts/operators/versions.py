@@ -53,6 +53,12 @@ def until_run(df: DataFrame, run: str = "run_date", as_of: dt.date | None = None
     return df if as_of is None else df.filter(F.col(run) <= F.lit(as_of))
 
 
+def fetched_by(df: DataFrame, run_date: dt.date, utc_offset_hours: int, fetched: str = "fetched_at") -> DataFrame:
+    """Rows fetched up to the end of a local day; fetch times are naive UTC."""
+    end = dt.datetime.combine(run_date + dt.timedelta(days=1), dt.time()) - dt.timedelta(hours=utc_offset_hours)
+    return df.filter(F.col(fetched) < F.lit(end).cast("timestamp_ntz"))
+
+
 def in_run(df: DataFrame, run_date: Column, run: str = "run_date") -> DataFrame:
     """Rows of one run. With a scalar subquery on a partition column this prunes the scan."""
     return df.filter(F.col(run) == run_date)

@@ -44,8 +44,10 @@ class Params:
     calm: str = NO_WARNING
     lookback_days: int = 30
     normal_years: tuple[int, int] = (2020, 2025)
-    # Snapshot pruning: hourly and river rows come from the newest runs only.
+    # How many runs "the newest runs" are, where that is the question. Landing keeps all.
     newest_runs: int = 14
+    # Run dates are local days; fetch times are UTC. Archive rows fetched after a given run's day are not its own.
+    run_utc_offset_hours: int = 8
     # Gates and table tests.
     max_daily_mm: float = 500.0
     max_hourly_mm: float = 200.0

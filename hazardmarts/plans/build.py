@@ -7,7 +7,7 @@ from collections.abc import Collection, Mapping
 
 from pyspark.sql import DataFrame
 
-from hazardmarts.operators.versions import given_run, until_run
+from hazardmarts.operators.versions import fetched_by, given_run, until_run
 from hazardmarts.params import Params
 from hazardmarts.plans import marts, staging
 
@@ -22,7 +22,7 @@ MODELS = {
     "stg_archive_daily": (staging.stg_archive_daily, ("archive_daily",), False),
     "int_latest_run": (marts.int_latest_run, ("stg_forecast_daily",), False),
     "int_rain_daily_unioned": (
-        marts.int_rain_daily_unioned, ("archive_daily", "stg_forecast_daily"), False,
+        marts.int_rain_daily_unioned, ("stg_archive_daily", "stg_forecast_daily"), False,
     ),
     "int_rain_rolling": (marts.int_rain_rolling, ("int_rain_daily_unioned",), False),
     "fct_warnings_hourly": (marts.fct_warnings_hourly, ("stg_forecast_hourly", "int_latest_run"), True),
@@ -32,7 +32,7 @@ MODELS = {
     ),
     "mart_dashboard": (
         marts.mart_dashboard,
-        ("archive_daily", "stg_forecast_daily", "dim_barangay", "int_warnings_daily", "int_latest_run"),
+        ("stg_archive_daily", "stg_forecast_daily", "dim_barangay", "int_warnings_daily", "int_latest_run"),
         True,
     ),
     "fct_river_grid_daily": (
@@ -54,8 +54,8 @@ def build_models(
     ``sources`` holds the four raw tables and ``dim_barangay``; ``written`` the models that are
     tables already and are read instead of computed.
 
-    With ``run_date`` that run counts and later ones are ignored throughout, so replaying an old
-    date uses it in the marts as well as in the gates; by default the newest run counts.
+    With ``run_date`` that run counts; later ones, and archive rows fetched after its day, are ignored
+    throughout, so replaying an old date gives what that day's run gave. By default the newest run counts.
     """
     built: dict[str, DataFrame] = dict(written or {})
 
@@ -68,7 +68,11 @@ def build_models(
                 built[name] = function(*map(get, inputs), *([params] if takes_params else []))
             else:
                 source = sources[name]
-                built[name] = until_run(source, as_of=run_date) if name in RUN_TABLES else source
+                if name in RUN_TABLES:
+                    source = until_run(source, as_of=run_date)
+                elif name == "archive_daily" and run_date is not None:
+                    source = fetched_by(source, run_date, params.run_utc_offset_hours)
+                built[name] = source
         return built[name]
 
     for name in names if names is not None else ("dim_barangay", *MODELS):

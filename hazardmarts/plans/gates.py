@@ -67,15 +67,16 @@ def missing_points(
     return missing_keys(active, tables, "grid_id")
 
 
+# The texts of the details below, which readers of the log know.
 def _coverage(forecast: DataFrame, flood: DataFrame, active: DataFrame) -> DataFrame:
-    """The detail gives number and first id per table; :func:`missing_points` has all ids."""
+    """The detail names all missing ids per table, in order; there are at most as many as active points."""
     gaps = missing_keys(active, {"forecast_daily": forecast, "flood_daily": flood}, "grid_id")
 
     def part(table: str) -> Column:
         here = F.col("table_name") == table
-        count = F.count_if(here)
-        first = F.min(F.when(here, F.col("grid_id")))
-        return F.when(count > 0, F.format_string(f"{table} missing %d, first %s", count, first))
+        quoted = F.concat(F.lit("'"), F.col("grid_id"), F.lit("'"))
+        ids = F.array_join(F.sort_array(F.collect_list(F.when(here, quoted))), ", ")
+        return F.when(F.count_if(here) > 0, F.concat(F.lit(f"{table} missing ["), ids, F.lit("]")))
 
     present = active.agg(F.count_distinct("grid_id")).scalar()
     summary = gaps.agg(

@@ -1,10 +1,12 @@
-"""The daily job: load, gates, models, table tests, publish, log."""
+"""The daily job as a list of stages: day, load, gates, models, table tests, publish."""
 
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import time
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,6 +19,8 @@ from hazardmarts.sinks import extracts, publish, runlog
 from hazardmarts.sources import snapshots, tables
 from hazardmarts.sources.landing import land_changes
 
+LOG = logging.getLogger(__name__)
+
 # Models written as tables; the other staging models stay views over the landed Parquet. The
 # staged archive is written because ranking all its versions is the widest exchange and three
 # readers follow. Writing also cuts lineage: what was written is not recomputed when an
@@ -31,6 +35,88 @@ class FailedTests(RuntimeError):
     """Table tests that found rows, named in the message."""
 
 
+class Stop(Exception):
+    """Ends the job in order: the status for the log, and what to put there as outcome of the gates."""
+
+    def __init__(self, status: str, note: str) -> None:
+        super().__init__(note)
+        self.status, self.note = status, note
+
+
+@dataclass
+class Job:
+    """What the stages share: the request, what they have made so far, and the log entry."""
+
+    spark: SparkSession
+    raw_dir: str
+    dimension: DataFrame
+    work_dir: str
+    export_dir: str
+    params: Params
+    skip_tests: Sequence[str]
+    full_reload: bool
+    expected_points: int | None
+    sources: Sequence[str]
+    started: dt.datetime
+    day: dt.date | None = None
+    raw: Mapping[str, DataFrame] = field(default_factory=dict)
+    outcomes: DataFrame | None = None
+    models: Mapping[str, DataFrame] = field(default_factory=dict)
+    entry: dict[str, object] = field(default_factory=dict)
+
+    def find_day(self) -> None:
+        self.day = self.day or snapshots.latest_run_date(self.spark, self.raw_dir)
+        if self.day is None:
+            raise ValueError(f"no snapshots under {self.raw_dir}")
+        self.entry["run_date"] = self.day.isoformat()
+
+    def load(self) -> None:
+        landed = f"{self.work_dir}/raw"
+        land_changes(self.spark, self.raw_dir, landed, self.full_reload, self.expected_points)
+        self.raw = tables.read_landed(self.spark, landed)
+        counted = {"forecast_rows": "forecast_daily", "flood_rows": "flood_daily", "archive_rows": "archive_daily"}
+        self.entry |= {name: self.raw[table].count() for name, table in counted.items()}
+
+    def check_gates(self) -> None:
+        """Four outcomes reach the driver; the missing points of a failed run are kept as a table."""
+        active, run = self.dimension.select("grid_id").distinct(), F.lit(self.day)
+        inputs = (self.raw["forecast_daily"], self.raw["flood_daily"], active, run)
+        found = gate_plans.run_gates(*inputs, self.params)
+        self.outcomes = self.spark.createDataFrame(found.collect(), found.schema)
+        report = gate_plans.gate_report(self.outcomes).first()
+        self.entry["gates"] = report["report"]
+        if not report["all_passed"]:
+            missing = gate_plans.missing_points(*inputs)
+            missing.write.mode("overwrite").parquet(f"{self.work_dir}/missing_points/{self.day}")
+            raise Stop("gate_failed", report["report"])
+
+    def build(self) -> None:
+        self.models = write_models(
+            self.spark, self.raw, self.dimension, f"{self.work_dir}/models", self.params, self.day
+        )
+
+    def test_tables(self) -> None:
+        try:
+            require_sound(self.models, self.params, self.skip_tests)
+        except FailedTests as failure:
+            # The log's established spelling for failed table tests.
+            raise Stop("dbt_failed", f"{self.entry['gates']};dbt=fail({failure})") from failure
+
+    def export(self) -> None:
+        def write(target: str) -> None:
+            extracts.write_extracts(self.models, target)
+            document = extracts.run_metadata(
+                self.models["mart_dashboard"], self.outcomes, self.day, self.started, self.sources
+            )
+            extracts.write_metadata(document, f"{target}/metadata.json")
+
+        publish.publish(self.spark, self.export_dir, write, label=self.day.isoformat())
+        self.entry["dashboard_rows"] = self.models["mart_dashboard"].count()
+
+
+STAGES = (Job.find_day, Job.load, Job.check_gates, Job.build, Job.test_tables, Job.export)
+
+
 def run(
     spark: SparkSession,
     raw_dir: str,
@@ -42,64 +128,40 @@ def run(
     params: Params = Params(),
     skip_tests: Sequence[str] = (),
     full_reload: bool = False,
+    expected_points: int | None = None,
+    sources: Sequence[str] = extracts.ATTRIBUTION,
 ) -> str:
     """Run all stages and return the status written to the log.
 
     The first stage that fails ends the run and leaves the published version as it was.
     ``work_dir`` is a shared folder for landed and model tables. The run date defaults to the
-    newest snapshot. ``skip_tests`` names table tests whose failures are tolerated. Only changed
-    snapshots are read unless ``full_reload`` is set; the landed tables are the same either way.
+    newest snapshot; any landed one can be replayed. ``skip_tests`` names table tests whose failures are
+    tolerated. Only changed snapshots are read unless ``full_reload`` is set; the landed tables are the same
+    either way. ``expected_points`` is the number of points a run's document must hold. Unexpected errors go to
+    the log as one line and, with their traceback, to Python's logging.
     """
-    started, clock = dt.datetime.now(dt.UTC), time.monotonic()
-    row: dict[str, object] = {"started_at_utc": started.isoformat(timespec="seconds")}
-
-    def finish(status: str) -> str:
-        row.update(status=status, duration_s=f"{time.monotonic() - clock:.1f}")
-        runlog.append_run(spark, log_path, row)
-        return status
-
-    try:
-        day = run_date or snapshots.latest_run_date(spark, raw_dir)
-        if day is None:
-            raise ValueError(f"no snapshots under {raw_dir}")
-        row["run_date"] = day.isoformat()
-
-        land_changes(spark, raw_dir, f"{work_dir}/raw", params, full=full_reload)
-        raw = tables.read_landed(spark, f"{work_dir}/raw")
-        counts = tables.row_counts(raw)
-        row.update(
-            forecast_rows=counts["forecast_daily"], flood_rows=counts["flood_daily"],
-            archive_rows=counts["archive_daily"],
-        )
-
-        active = dimension.select("grid_id").distinct()
-        gates = gate_plans.run_gates(raw["forecast_daily"], raw["flood_daily"], active, F.lit(day), params)
-        outcomes = gates.collect()  # four rows
-        settled = spark.createDataFrame(outcomes, gates.schema)
-        report = gate_plans.gate_report(settled).first()
-        row["gates"] = report["report"]
-        if not report["all_passed"]:
-            return finish("gate_failed")
-
+    job = Job(
+        spark, raw_dir, dimension, work_dir, export_dir, params, skip_tests, full_reload, expected_points, sources,
+        started=dt.datetime.now(dt.UTC), day=run_date,
+    )
+    clock, status = time.monotonic(), "ok"
+    for stage in STAGES:
         try:
-            models = write_models(spark, raw, dimension, f"{work_dir}/models", params, day)
-            require_sound(models, params, skip_tests)
-        except FailedTests as failure:
-            # The log's established spelling for failed models and table tests.
-            row["gates"] = f"{row['gates']};dbt=fail({failure})"
-            return finish("dbt_failed")
-
-        def write(target: str) -> None:
-            extracts.write_extracts(models, target)
-            metadata = extracts.run_metadata(models["mart_dashboard"], settled, day, started)
-            extracts.write_metadata(metadata, f"{target}/metadata.json")
-
-        publish.publish(spark, export_dir, write, label=day.isoformat())
-        row["dashboard_rows"] = models["mart_dashboard"].count()
-        return finish("ok")
-    except Exception as failure:  # every failure becomes a log row
-        row["gates"] = f"error({type(failure).__name__}: {str(failure).splitlines()[0] if str(failure) else ''})"
-        return finish("error")
+            stage(job)
+        except Stop as stop:
+            status, job.entry["gates"] = stop.status, stop.note
+            break
+        except Exception as failure:
+            LOG.exception("stage %s failed", stage.__name__)
+            first_line = next(iter(str(failure).splitlines()), "")
+            status, job.entry["gates"] = "error", f"error({type(failure).__name__}: {first_line})"
+            break
+    times = {
+        "started_at_utc": job.started.isoformat(timespec="seconds"), "status": status,
+        "duration_s": f"{time.monotonic() - clock:.1f}",
+    }
+    runlog.append_run(spark, log_path, job.entry | times)
+    return status
 
 
 def write_models(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardmarts import schemas
@@ -23,12 +23,11 @@ def int_latest_run(stg_forecast_daily: DataFrame) -> DataFrame:
     return latest_run(stg_forecast_daily)
 
 
-def int_rain_daily_unioned(archive_daily: DataFrame, stg_forecast_daily: DataFrame) -> DataFrame:
+def int_rain_daily_unioned(stg_archive_daily: DataFrame, stg_forecast_daily: DataFrame) -> DataFrame:
     """Observed rain, and forecast rain only for the point-days without an observation.
 
     Both are the newest non-null version; a day beyond the newest run's reach keeps the value of an
-    older run. Takes the archive with all its versions: the latest valid one is
-    settled by the same ranking that settles the source.
+    older run. The staged archive has one row per point and day already; the daily job writes it once.
     """
 
     def rain(df: DataFrame, probability: Column, source: str, *order: str) -> DataFrame:
@@ -41,12 +40,12 @@ def int_rain_daily_unioned(archive_daily: DataFrame, stg_forecast_daily: DataFra
             *order,
         )
 
-    observed = rain(archive_daily, F.lit(None).cast("double"), "observed", "fetched_at")
+    observed = rain(stg_archive_daily, F.lit(None).cast("double"), "observed")
     forecast = rain(
         stg_forecast_daily, F.col("precipitation_probability_max"), "forecast", "run_date", "fetched_at"
     )
     return prefer(
-        [(observed, ["fetched_at"]), (forecast, ["run_date", "fetched_at"])],
+        [(observed, []), (forecast, ["run_date", "fetched_at"])],
         ["grid_id", "date"],
         tie_break=["rain_mm", "rain_hours", "rain_prob_max"],
     )
@@ -108,7 +107,7 @@ def wet_exposure(rain_3d: Column, score: Column) -> Column:
 
 
 def mart_dashboard(
-    archive_daily: DataFrame,
+    stg_archive_daily: DataFrame,
     stg_forecast_daily: DataFrame,
     dim_barangay: DataFrame,
     int_warnings_daily: DataFrame,
@@ -124,7 +123,7 @@ def mart_dashboard(
     reach = params.lookback_days + max(ROLLING_DAYS.values()) - 1
     rolled = int_rain_rolling(
         int_rain_daily_unioned(
-            look_back(archive_daily, "date", int_latest_run, reach),
+            look_back(stg_archive_daily, "date", int_latest_run, reach),
             look_back(stg_forecast_daily, "date", int_latest_run, reach),
         )
     )
@@ -152,12 +151,12 @@ def mart_monthly_normal(stg_archive_daily: DataFrame, params: Params = Params())
         monthly, "total_mm", params.normal_years, {"p10_mm": 0.1, "p90_mm": 0.9}, mean="normal_mm"
     )
     month_start = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))
-    everything = Window.partitionBy()  # one row per month of the history
+    last_year = monthly.agg(F.max("year")).scalar()
     return compared.select(
         "year", "month",
         month_start.alias("month_start"),
         *[round_half_away(F.col(c), 2).alias(c) for c in ("total_mm", "normal_mm", "p10_mm", "p90_mm")],
-        (F.col("year") == F.max("year").over(everything)).alias("is_current_year"),
+        (F.col("year") == last_year).alias("is_current_year"),
         "days_covered",
         (F.col("days_covered") == F.day(F.last_day(month_start))).alias("is_complete"),
     )

@@ -7,9 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hazardmarts.functions import level_of, severity_of
+from hazardmarts.params import Params
 
-def exposure_map(mart_dashboard: DataFrame, days: int = 3) -> DataFrame:
-    """Per area: mean population and wet exposure over the first forecast days.
+
+def exposure_map(mart_dashboard: DataFrame, levels: Sequence[str] = Params().levels, days: int = 3) -> DataFrame:
+    """Per area: mean population, wet exposure and three-day rain over the first forecast days, and the most
+    severe warning, with the area's names and exposed people for the tooltip.
 
     The days are counted from the run date in the data, not from the reader's clock.
     """
@@ -17,8 +21,12 @@ def exposure_map(mart_dashboard: DataFrame, days: int = 3) -> DataFrame:
     return (
         mart_dashboard.filter(F.col("source") == "forecast")
         .filter(window)
-        .groupBy("pcode", "lat", "lon")
-        .agg(F.avg("population").alias("population"), F.avg("wet_exposure").alias("wet_exposure"))
+        .groupBy("pcode", "name", "city", "lat", "lon", "est_pop_exposed_25")
+        .agg(
+            F.avg("population").alias("population"), F.avg("wet_exposure").alias("wet_exposure"),
+            F.avg("rain_3d_mm").alias("rain_3d_mm"),
+            level_of(F.max(severity_of(F.col("warning_level"), levels)), levels).alias("warning_level"),
+        )
     )
 
 

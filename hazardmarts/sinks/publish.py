@@ -19,12 +19,13 @@ POINTER = "CURRENT"
 VERSIONS = "versions"
 
 
-def publish(spark: SparkSession, export_dir: str, write: Callable[[str], None], label: str, keep: int = 2) -> str:
+def publish(
+    spark: SparkSession, export_dir: str, write: Callable[[str], None], label: str, keep: int | None = None
+) -> str:
     """Run ``write(directory)`` on a fresh directory and make it the current version.
 
-    When it raises, the directory is removed and the current version stays. Versions older than
-    the newest ``keep`` published ones are removed afterwards; readers that still hold the previous
-    one are not cut off.
+    When it raises, the directory is removed and the current version stays. All versions are kept, unless
+    ``keep`` says how many of the newest are; the one that was current before is never removed.
     """
     version = f"{label}-{uuid.uuid4().hex[:12]}"
     target = f"{export_dir}/{VERSIONS}/{version}"
@@ -35,7 +36,8 @@ def publish(spark: SparkSession, export_dir: str, write: Callable[[str], None],
         files.remove(spark, target)
         raise
     files.write_text(spark, f"{export_dir}/{POINTER}", version + "\n")
-    _retire(spark, export_dir, {version, previous}, keep)
+    if keep is not None:
+        _retire(spark, export_dir, {version, previous}, keep)
     return target
 
 

@@ -2,20 +2,17 @@
 
 Reading every snapshot again each day costs more every day. Here the landed files are listed,
 with their times and sizes, beside the tables; a run or archive window is read again only when
-one of its files is new or differs, and dropped when its files are gone or it is no longer among
-the newest runs. Each such unit is a directory of its own that is replaced as a whole, and
+one of its files is new or differs, and dropped when its files are gone. Each such unit is a directory of its own that is replaced as a whole, and
 the list is written last, so an interrupted landing is simply repeated.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import json
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardmarts.params import Params
 from hazardmarts.sources import files, snapshots
 
 MANIFEST = "landed_files.json"
@@ -31,15 +28,16 @@ Units = dict[str, dict[str, list[int]]]  # unit: path: modification time and siz
 
 
 def land_changes(
-    spark: SparkSession, raw_dir: str, out_dir: str, params: Params = Params(), full: bool = False
+    spark: SparkSession, raw_dir: str, out_dir: str, full: bool = False, expected_points: int | None = None
 ) -> dict[str, int]:
     """Bring the landed tables up to date; returns how many units each table read again.
 
-    With ``full``, or where there is no list of landed files, everything is read again.
+    With ``full``, or where there is no list of landed files, everything is read again. With
+    ``expected_points`` a run's document that holds another number of points raises.
     """
     known = None if full else files.read_text(spark, f"{out_dir}/{MANIFEST}")
     before: dict[str, Units] = json.loads(known) if known else {}
-    now = _landable(spark, raw_dir, params)
+    now = _landable(spark, raw_dir)
     read_again = {}
     for table, (kind, flatten, unit) in _TABLES.items():
         old, new = before.get(table, {}), now[table]
@@ -50,30 +48,28 @@ def land_changes(
             files.remove(spark, f"{out_dir}/{table}/{unit}={name}")
         documents = snapshots.read_documents(spark, kind, sorted(p for u in changed for p in new[u]))
         if changed or not old:
-            rows = flatten(_filed(documents, unit, bool(changed)), keep=[unit])
+            expected = None if kind == snapshots.ARCHIVE else expected_points
+            rows = flatten(_filed(documents, unit, bool(changed)), keep=[unit], expected_points=expected)
             rows.write.mode("append").partitionBy(unit).parquet(f"{out_dir}/{table}")
         read_again[table] = len(changed)
     files.write_text(spark, f"{out_dir}/{MANIFEST}", json.dumps(now))
     return read_again
 
 
-def _landable(spark: SparkSession, raw_dir: str, params: Params) -> dict[str, Units]:
-    runs = snapshots.run_dates(spark, raw_dir)
-    recent = set(runs[-params.newest_runs :])
-
-    def per_run(kind: str, wanted: set[dt.date]) -> Units:
+def _landable(spark: SparkSession, raw_dir: str) -> dict[str, Units]:
+    def per_run(kind: str) -> Units:
         units: Units = {}
         for path, stamp in files.stats(spark, f"{raw_dir}/*/{kind}*.json").items():
             directory = path.split("/")[-2]
-            if snapshots.iso_date(directory) in wanted:
+            if snapshots.iso_date(directory) is not None:
                 units.setdefault(directory, {})[path] = stamp
         return units
 
     archive = files.stats(spark, f"{raw_dir}/{snapshots.ARCHIVE}/*.json")
     return {
-        "forecast_daily": per_run("forecast", set(runs)),
-        "forecast_hourly": per_run("forecast", recent),
-        "flood_daily": per_run("flood", recent),
+        "forecast_daily": per_run("forecast"),
+        "forecast_hourly": per_run("forecast"),
+        "flood_daily": per_run("flood"),
         "archive_daily": {p.split("/")[-1].removesuffix(".json"): {p: stamp} for p, stamp in archive.items()},
     }
 

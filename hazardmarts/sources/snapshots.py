@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from hazardmarts import schemas
 from hazardmarts.functions import measure, strict_cast, utc_wall_time
-from hazardmarts.params import Params
 from hazardmarts.sources import files
 
 ARCHIVE = "archive"
@@ -119,52 +118,55 @@ def _blame(section: str, name: str, size: Column, length: Column) -> Column:
     )
 
 
-def flatten_forecast_daily(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return _table(documents, "forecast_daily", "daily", schemas.FORECAST_DAILY_MEASURES, "date", keep)
+def flatten_forecast_daily(
+    documents: DataFrame, keep: Sequence[str] = (), expected_points: int | None = None
+) -> DataFrame:
+    return _table(documents, "forecast_daily", "daily", schemas.FORECAST_DAILY_MEASURES, "date", keep, expected_points)
 
 
-def flatten_forecast_hourly(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return _table(documents, "forecast_hourly", "hourly", schemas.FORECAST_HOURLY_MEASURES, "ts", keep)
+def flatten_forecast_hourly(
+    documents: DataFrame, keep: Sequence[str] = (), expected_points: int | None = None
+) -> DataFrame:
+    return _table(documents, "forecast_hourly", "hourly", schemas.FORECAST_HOURLY_MEASURES, "ts", keep, expected_points)
 
 
-def flatten_flood(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return _table(documents, "flood_daily", "daily", schemas.FLOOD_MEASURES, "date", keep)
+def flatten_flood(
+    documents: DataFrame, keep: Sequence[str] = (), expected_points: int | None = None
+) -> DataFrame:
+    return _table(documents, "flood_daily", "daily", schemas.FLOOD_MEASURES, "date", keep, expected_points)
 
 
-def flatten_archive(documents: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return _table(documents, "archive_daily", "daily", schemas.ARCHIVE_MEASURES, "date", keep)
+def flatten_archive(
+    documents: DataFrame, keep: Sequence[str] = (), expected_points: int | None = None
+) -> DataFrame:
+    return _table(documents, "archive_daily", "daily", schemas.ARCHIVE_MEASURES, "date", keep, expected_points)
 
 
 def _table(
-    documents: DataFrame, table: str, section: str, measures: Sequence[str], clock: str, keep: Sequence[str]
+    documents: DataFrame, table: str, section: str, measures: Sequence[str], clock: str, keep: Sequence[str],
+    expected_points: int | None,
 ) -> DataFrame:
     columns = schemas.RAW[table].fieldNames()
-    rows = flatten(documents, section, measures, clock, keep=keep)
+    rows = flatten(documents, section, measures, clock, expected_points, keep)
     return rows.select(*columns, *[name for name in keep if name not in columns])
 
 
-def read_raw(spark: SparkSession, raw_dir: str, params: Params = Params()) -> dict[str, DataFrame]:
+def read_raw(spark: SparkSession, raw_dir: str, expected_points: int | None = None) -> dict[str, DataFrame]:
     """The four raw tables over everything landed.
 
-    Daily forecasts and archive windows use every file. Hourly and river rows are only ever
-    used for the newest run, so files of older runs than the newest few are not opened at all;
-    the cut is made on the listing. A run directory lacking one of its files still counts.
+    Every file of every dated run is used, so any run can be replayed. With ``expected_points`` a
+    run's document must hold that many points.
     """
-    runs = run_dates(spark, raw_dir)
-    recent = set(runs[-params.newest_runs :])
-
-    def landed(kind: str) -> dict[str, dt.date]:
+    def landed(kind: str) -> list[str]:
         paths = files.matching(spark, f"{raw_dir}/*/{kind}*.json")
-        dated = {path: iso_date(path.split("/")[-2]) for path in paths}
-        return {path: day for path, day in dated.items() if day is not None}
+        return [path for path in paths if iso_date(path.split("/")[-2]) is not None]
 
-    forecasts, floods = landed("forecast"), landed("flood")
-    recent_forecasts = [path for path, day in forecasts.items() if day in recent]
-    recent_floods = [path for path, day in floods.items() if day in recent]
-    windows = files.matching(spark, f"{raw_dir}/{ARCHIVE}/*.json")
+    forecasts = read_documents(spark, "forecast", landed("forecast"))
+    floods = read_documents(spark, "flood", landed("flood"))
+    windows = read_documents(spark, ARCHIVE, files.matching(spark, f"{raw_dir}/{ARCHIVE}/*.json"))
     return {
-        "forecast_daily": flatten_forecast_daily(read_documents(spark, "forecast", list(forecasts))),
-        "forecast_hourly": flatten_forecast_hourly(read_documents(spark, "forecast", recent_forecasts)),
-        "flood_daily": flatten_flood(read_documents(spark, "flood", recent_floods)),
-        "archive_daily": flatten_archive(read_documents(spark, ARCHIVE, windows)),
+        "forecast_daily": flatten_forecast_daily(forecasts, expected_points=expected_points),
+        "forecast_hourly": flatten_forecast_hourly(forecasts, expected_points=expected_points),
+        "flood_daily": flatten_flood(floods, expected_points=expected_points),
+        "archive_daily": flatten_archive(windows),
     }

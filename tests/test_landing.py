@@ -2,17 +2,14 @@ import datetime as dt
 
 import pytest
 
-from hazardmarts.params import Params
 from hazardmarts.sources import snapshots, tables
 from hazardmarts.sources.landing import land_changes
 from tests import fixtures as fx
 
-PARAMS = Params(newest_runs=2)
-
 
 def _same_as_reload(spark, raw, out):
     landed = tables.read_landed(spark, str(out))
-    for name, df in snapshots.read_raw(spark, str(raw), PARAMS).items():
+    for name, df in snapshots.read_raw(spark, str(raw)).items():
         key = lambda r: tuple(str(v) for v in r)
         assert sorted(landed[name].collect(), key=key) == sorted(df.collect(), key=key), name
 
@@ -21,7 +18,7 @@ def test_changes_equal_a_full_reload(spark, tmp_path):
     raw, out = tmp_path / "raw", tmp_path / "out"
 
     def land(**changes):
-        read = land_changes(spark, str(raw), str(out), PARAMS, **changes)
+        read = land_changes(spark, str(raw), str(out), **changes)
         _same_as_reload(spark, raw, out)
         return tuple(read[t] for t in ("forecast_daily", "forecast_hourly", "flood_daily", "archive_daily"))
 
@@ -30,33 +27,34 @@ def test_changes_equal_a_full_reload(spark, tmp_path):
     assert land() == (1, 1, 1, 1)
     assert land() == (0, 0, 0, 0)
 
-    for i in (1, 2):  # the first run drops out of the newest two
+    for i in (1, 2):
         fx.write_run(raw, fx.RUN + dt.timedelta(days=i))
     assert land() == (2, 2, 2, 0)
-    assert not list((out / "flood_daily").glob("run_date=2026-09-04/*.parquet"))
+    assert list((out / "flood_daily").glob(f"run_date={fx.RUN}/*.parquet"))
 
-    changed = fx.forecast(fx.RUN, rain={"g0502": [1.0, 2.0], "g0503": [3.0, 4.0]})
-    fx.write(raw / "2026-09-04" / "forecast.json", changed, indent=2)
-    fx.write(raw / "archive" / "2026-09-01_2026-09-01.json", fx.archive(days=["2026-09-01"], rain={"g0502": [1.0]}))
-    assert land() == (1, 0, 0, 1)
+    changed = fx.forecast(fx.RUN, rain={fx.A: [1.25, 2.25], fx.B: [3.25, 4.25]})
+    fx.write(raw / str(fx.RUN) / "forecast.json", changed, indent=2)
+    fx.write(raw / "archive" / "2031-03-09_2031-03-09.json", fx.archive(days=["2031-03-09"], rain={fx.A: [1.25]}))
+    assert land() == (1, 1, 0, 1)
 
     emptied = {**fx.forecast(fx.RUN), "points": []}
-    fx.write(raw / "2026-09-04" / "forecast.json", emptied)
-    assert land() == (1, 0, 0, 0)
+    fx.write(raw / str(fx.RUN) / "forecast.json", emptied)
+    assert land() == (1, 1, 0, 0)
 
-    fx.write(raw / "2026-09-06" / "forecast-0002.json", fx.forecast(fx.RUN + dt.timedelta(days=2)))
+    fx.write(raw / "2031-03-16" / "forecast-0002.json", fx.forecast(fx.RUN + dt.timedelta(days=2)))
     assert land() == (1, 1, 0, 0)
-    assert land(full=True) == (3, 2, 2, 2)
+    assert land(full=True) == (3, 3, 3, 2)
 
     # Removed runs and windows (moved out of the tree) leave the tables too.
-    (raw / "2026-09-05").rename(tmp_path / "elsewhere")
-    (raw / "archive" / "2026-08-25_2026-08-30.json").rename(tmp_path / "window.json")
-    assert land() == (0, 1, 1, 0)
+    (raw / "2031-03-15").rename(tmp_path / "elsewhere")
+    (raw / "archive" / f"{fx.ARCHIVE_DAYS[0]}_{fx.ARCHIVE_DAYS[-1]}.json").rename(tmp_path / "window.json")
+    assert land() == (0, 0, 0, 0)
+    assert not list((out / "flood_daily").glob("run_date=2031-03-15/*.parquet"))
 
 
 def test_misfiled_run_raises_and_is_not_listed_as_landed(spark, tmp_path):
     raw, out = tmp_path / "raw", tmp_path / "out"
-    fx.write(raw / "2026-09-05" / "flood.json", fx.flood(fx.RUN))
+    fx.write(raw / "2031-03-15" / "flood.json", fx.flood(fx.RUN))
     for _ in range(2):
-        with pytest.raises(Exception, match="snapshot of another date in directory 2026-09-05"):
-            land_changes(spark, str(raw), str(out), PARAMS)
+        with pytest.raises(Exception, match="snapshot of another date in directory 2031-03-15"):
+            land_changes(spark, str(raw), str(out))

@@ -31,61 +31,81 @@ def test_staging(models):
     assert models["stg_archive_daily"].count() == 11
     assert models["stg_forecast_daily"].count() == 4
     keys = {r.row_key for r in models["stg_forecast_hourly"].collect()}
-    assert "2026-09-04|g0502|2026-09-03 03:00:00" in keys and len(keys) == 8
+    assert f"{fx.RUN}|{fx.A}|2031-03-13 08:00:00" in keys and len(keys) == 8
 
 
 def test_latest_valid_snapshot_wins(spark, tmp_path):
+    """Of three fetches of a day the last with a value counts; a day only fetched late is added."""
     raw = fx.write_all(tmp_path / "raw")
-    later = fx.archive("2026-09-04T10:00:00+00:00", ["2026-08-25", "2026-08-26"], {"g0502": [None, 99.0]})
-    fx.write(raw / "archive" / "2026-08-25_2026-08-30_b.json", later)
+    first, second, new = fx.ARCHIVE_DAYS[0], fx.ARCHIVE_DAYS[1], "2031-03-08"
+    fx.write(raw / "archive" / "second.json", fx.archive("2031-03-14T09:00:00+00:00", [first, second], {fx.A: [7.5, 18.0]}))
+    fx.write(raw / "archive" / "third.json", fx.archive("2031-03-15T09:00:00+00:00", [second, new], {fx.A: [None, 0.25]}))
     sources = snapshots.read_raw(spark, str(raw))
     staged = build_models(sources, names=["stg_archive_daily"])["stg_archive_daily"]
-    rain = {(r.grid_id, r.date.day): r.precipitation_sum for r in staged.collect()}
-    assert rain[("g0502", 25)] == 7.0 and rain[("g0502", 26)] == 99.0
-    assert staged.count() == 11
+    rain = {str(r.date): r.precipitation_sum for r in staged.filter(F.col("grid_id") == fx.A).collect()}
+    assert (rain[first], rain[second], rain[new]) == (7.5, 18.0, 0.25)
+    assert len(rain) == 7
+
+
+def test_replay_ignores_what_came_later(spark, tmp_path):
+    raw = fx.write_all(tmp_path / "raw")
+    dimension = fx.dimension(spark)
+
+    def dashboard():
+        sources = {**snapshots.read_raw(spark, str(raw)), "dim_barangay": dimension}
+        rows = build_models(sources, run_date=fx.RUN, names=["mart_dashboard"])["mart_dashboard"].collect()
+        return sorted(map(str, rows))
+
+    before = dashboard()
+    for i in range(1, 21):
+        fx.write_run(raw, fx.RUN + dt.timedelta(days=i))
+    late = fx.archive("2031-03-14T16:00:00+00:00", [fx.ARCHIVE_DAYS[0], "2031-03-13"], {fx.A: [99.5, 98.5]})
+    fx.write(raw / "archive" / "late.json", late)
+    assert before and dashboard() == before
 
 
 def test_observed_beats_forecast(models):
-    rows = models["int_rain_daily_unioned"].filter("grid_id = 'g0502'").collect()
+    rows = models["int_rain_daily_unioned"].filter(F.col("grid_id") == fx.A).collect()
     source = {r.date.isoformat(): (r.source, r.rain_prob_max) for r in rows}
-    assert source["2026-08-30"] == ("observed", None) and source["2026-09-03"] == ("forecast", 90.0)
+    assert source["2031-03-07"] == ("observed", None) and source["2031-03-13"] == ("forecast", 80.0)
 
 
 def test_forecast_keeps_older_value_beyond_newest_run(spark, tmp_path):
     raw = tmp_path / "raw"
-    fx.write_run(raw, dt.date(2026, 9, 3), days=["2026-09-03", "2026-09-09"], rain={"g0502": [1.0, 9.0], "g0503": [1.0, 9.0]})
-    fx.write_run(raw, dt.date(2026, 9, 4), days=["2026-09-03", "2026-09-09"], rain={"g0502": [2.0, None], "g0503": [2.0, 4.0]})
+    days = ["2031-03-13", "2031-03-19"]
+    fx.write_run(raw, dt.date(2031, 3, 13), days=days, rain={fx.A: [3.5, 6.5], fx.B: [3.5, 6.5]})
+    fx.write_run(raw, fx.RUN, days=days, rain={fx.A: [5.0, None], fx.B: [5.0, 8.25]})
     sources = snapshots.read_raw(spark, str(raw))
     rows = build_models(sources, names=["int_rain_daily_unioned"])["int_rain_daily_unioned"].collect()
     rain = {(r.grid_id, r.date.day): r.rain_mm for r in rows}
-    assert rain == {("g0502", 3): 2.0, ("g0502", 9): 9.0, ("g0503", 3): 2.0, ("g0503", 9): 4.0}
-    older = build_models(sources, run_date=dt.date(2026, 9, 3), names=["int_rain_daily_unioned", "int_latest_run"])
-    assert older["int_latest_run"].first()[0] == dt.date(2026, 9, 3)
-    assert {r.rain_mm for r in older["int_rain_daily_unioned"].collect()} == {1.0, 9.0}
+    assert rain == {(fx.A, 13): 5.0, (fx.A, 19): 6.5, (fx.B, 13): 5.0, (fx.B, 19): 8.25}
+    older = build_models(sources, run_date=dt.date(2031, 3, 13), names=["int_rain_daily_unioned", "int_latest_run"])
+    assert older["int_latest_run"].first()[0] == dt.date(2031, 3, 13)
+    assert {r.rain_mm for r in older["int_rain_daily_unioned"].collect()} == {3.5, 6.5}
 
 
 def test_rolling_sums(models):
-    rows = models["int_rain_rolling"].filter("grid_id = 'g0502'").collect()
+    rows = models["int_rain_rolling"].filter(F.col("grid_id") == fx.A).collect()
     sums = {r.date.isoformat(): (r.rain_3d_mm, r.rain_7d_mm) for r in rows}
-    assert sums["2026-08-27"][0] == pytest.approx(65.1)
-    assert sums["2026-08-25"] == (7.0, 7.0)
-    assert sums["2026-09-03"] == (12.5, pytest.approx(14.8 + 14.5 + 0.0 + 12.5))
+    assert sums["2031-03-04"][0] == 57.75
+    assert sums["2031-03-02"] == (4.5, 4.5)
+    assert sums["2031-03-13"] == (9.25, 2.0 + 9.25)
 
 
 def test_bands_and_daily_severity(models):
     hours = {(r.grid_id, r.ts.hour): r.warning_level for r in models["fct_warnings_hourly"].collect()}
-    assert [hours[("g0502", h)] for h in range(4)] == ["none", "yellow", "orange", "red"]
+    assert [hours[(fx.A, h)] for h in range(5, 9)] == ["none", "yellow", "orange", "red"]
     days = {r.grid_id: (r.max_hourly_mm, r.warning_level) for r in models["int_warnings_daily"].collect()}
-    assert days == {"g0502": (31.0, "red"), "g0503": (0.1, "none")}
+    assert days == {fx.A: (44.0, "red"), fx.B: (0.5, "none")}
 
 
 def test_fact_and_dashboard(models):
     fact = {(r.pcode, r.date.isoformat()): r for r in models["fct_rain_barangay_daily"].collect()}
-    assert {p for p, _ in fact} == {"PH1", "PH2", "PH3"}
-    assert fact[("PH1", "2026-09-03")].warning_level == "red"
-    assert fact[("PH1", "2026-08-27")].warning_level == "none" and fact[("PH1", "2026-08-27")].max_hourly_mm is None
-    assert fact[("PH1", "2026-08-27")].wet_exposure == 32.55
-    assert fact[("PH2", "2026-08-27")].row_key == "PH2|2026-08-27"
+    assert {p for p, _ in fact} == {"T1", "T2", "T3"}
+    assert fact[("T1", "2031-03-13")].warning_level == "red"
+    assert fact[("T1", "2031-03-04")].warning_level == "none" and fact[("T1", "2031-03-04")].max_hourly_mm is None
+    assert fact[("T1", "2031-03-04")].wet_exposure == 23.1
+    assert fact[("T2", "2031-03-04")].row_key == "T2|2031-03-04"
     shown = models["mart_dashboard"].collect()
     assert {r.run_date for r in shown} == {fx.RUN} and len(shown) == len(fact)
     same = {(r.pcode, r.date.isoformat()): (r.rain_3d_mm, r.rain_7d_mm, r.wet_exposure) for r in shown}
@@ -95,17 +115,17 @@ def test_fact_and_dashboard(models):
 def test_dashboard_look_back_keeps_full_rolling_sums(spark, tmp_path):
     raw = fx.write_all(tmp_path / "raw")
     sources = {**snapshots.read_raw(spark, str(raw)), "dim_barangay": fx.dimension(spark)}
-    short = build_models(sources, Params(lookback_days=6), names=["mart_dashboard"])["mart_dashboard"]
-    rows = {r.date.isoformat(): r.rain_7d_mm for r in short.filter("pcode = 'PH1'").collect()}
-    assert min(rows) == "2026-08-29"
-    assert rows["2026-08-29"] == pytest.approx(7.0 + 17.2 + 40.9 + 14.8 + 14.5)
+    short = build_models(sources, Params(lookback_days=9), names=["mart_dashboard"])["mart_dashboard"]
+    rows = {r.date.isoformat(): r.rain_7d_mm for r in short.filter("pcode = 'T1'").collect()}
+    assert min(rows) == "2031-03-05"
+    assert rows["2031-03-05"] == 4.5 + 20.25 + 33.0 + 6.75
 
 
 def test_river(models):
     rows = models["fct_river_grid_daily"].collect()
     assert len(rows) == 4
-    assert {r.cities_served for r in rows if r.grid_id == "g0502"} == {"Manila, Quezon City"}
-    assert {r.date.isoformat(): r.source for r in rows} == {"2026-09-03": "past", "2026-09-04": "forecast"}
+    assert {r.cities_served for r in rows if r.grid_id == fx.A} == {"Millbrook, Northgate"}
+    assert {r.date.isoformat(): r.source for r in rows} == {"2031-03-13": "past", "2031-03-14": "forecast"}
 
 
 def test_monthly_normal(spark):
@@ -131,12 +151,12 @@ def test_thirty_table_tests(spark, models):
     report = {(r.model, r.test, r.column_name): r.failures for r in run_table_tests(models).collect()}
     assert len(report) == 30
     assert {k: n for k, n in report.items() if n} == {
-        ("mart_dashboard", "date_continuity", "date"): 3,  # 31 August to 2 September
-        # PH3 misses one observed day, PH4 has no weather: no date holds all four areas
+        ("mart_dashboard", "date_continuity", "date"): 5,  # 8 to 12 March
+        # T3 misses one observed day, T4 has no weather: no date holds all four areas
         ("mart_dashboard", "full_coverage", "date"): 8,
     }
     assert [r.date.isoformat() for r in missing_dates(models).orderBy("date").collect()] == [
-        "2026-08-31", "2026-09-01", "2026-09-02",
+        f"2031-03-{d:02d}" for d in range(8, 13)
     ]
     assert uncovered_dates(models).count() == 8
     assert sum(len(m.not_null) for m in declared().values()) == 11
@@ -148,7 +168,7 @@ def test_table_tests_find_failures(spark, models):
     forecast = models["stg_forecast_daily"]
     broken["stg_forecast_daily"] = forecast.withColumn("precipitation_sum", F.lit(999.0)).unionByName(forecast.limit(1))
     broken["stg_flood_daily"] = models["stg_flood_daily"].withColumn("row_key", F.lit(None).cast("string"))
-    broken["dim_barangay"] = models["dim_barangay"].filter("pcode <> 'PH1'")
+    broken["dim_barangay"] = models["dim_barangay"].filter("pcode <> 'T1'")
     broken["fct_warnings_hourly"] = models["fct_warnings_hourly"].replace("red", "purple", ["warning_level"])
     report = {(r.model, r.test, r.column_name): r.failures for r in run_table_tests(broken).collect()}
     assert report[("stg_forecast_daily", "accepted_range", "precipitation_sum")] == 4
@@ -161,11 +181,11 @@ def test_table_tests_find_failures(spark, models):
 
 def test_views(models):
     shown = views.exposure_map(models["mart_dashboard"]).collect()
-    assert {r.pcode: r.population for r in shown} == {"PH1": 100.0, "PH2": 200.0, "PH3": 300.0}
-    cities = views.city_forecast(models["mart_dashboard"], cities=["Pasig"]).collect()
-    assert [(r.date.isoformat(), r.warning_level, r.rain_mm) for r in cities] == [("2026-09-04", "none", 1.0)]
-    assert views.river_lines(models["fct_river_grid_daily"], ["g0502"]).count() == 2
+    assert {r.pcode: r.population for r in shown} == {"T1": 120.0, "T2": 240.0, "T3": 310.0}
+    cities = views.city_forecast(models["mart_dashboard"], cities=["Eastside"]).collect()
+    assert [(r.date.isoformat(), r.warning_level, r.rain_mm) for r in cities] == [("2031-03-14", "none", 2.75)]
+    assert views.river_lines(models["fct_river_grid_daily"], [fx.A]).count() == 2
     card = views.freshness(models["mart_dashboard"]).first()
-    assert card.latest_observed_date == dt.date(2026, 8, 30) and card.forecast_through == dt.date(2026, 9, 4)
+    assert card.latest_observed_date == dt.date(2031, 3, 7) and card.forecast_through == fx.RUN
     assert card.active_grid_points == 2
     assert views.observed_vs_normal(models["mart_monthly_normal"]).count() == 0

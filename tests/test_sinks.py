@@ -25,7 +25,7 @@ def _rows(path):
 
 def _job(spark, tmp_path, **changes):
     return job.run(
-        spark, str(tmp_path / "raw"), fx.dimension(spark).filter("pcode <> 'PH4'").fillna(0.0), str(tmp_path / "work"),
+        spark, str(tmp_path / "raw"), fx.dimension(spark).filter("pcode <> 'T4'").fillna(0.0), str(tmp_path / "work"),
         str(tmp_path / "exports"), str(tmp_path / "runs"), **changes,
     )
 
@@ -54,17 +54,17 @@ def test_job_publishes_the_whole_contract(spark, tmp_path):
     warnings = _rows(f"{out}/warnings.csv")
     assert all(re.fullmatch(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}", r["ts"]) for r in warnings)
     assert {r["is_complete"] for r in _rows(f"{out}/monthly_normal.csv")} <= {"True", "False"}
-    assert {r["cities_served"] for r in _rows(f"{out}/river.csv")} == {"Manila, Quezon City", "Pasig"}
+    assert {r["cities_served"] for r in _rows(f"{out}/river.csv")} == {"Millbrook, Northgate", "Eastside"}
 
     text = "".join(p.read_text() for p in Path(f"{out}/metadata.json").glob("part-*.json"))
     metadata = json.loads(text)
-    assert metadata["run_date"] == "2026-09-04" and metadata["dashboard_rows"] == len(order)
+    assert metadata["run_date"] == "2031-03-14" and metadata["dashboard_rows"] == len(order)
     assert metadata["gates"] == {g: "pass" for g in ("freshness", "coverage", "null_share", "ranges")}
     assert set(metadata) == {
         "run_date", "generated_at_utc", "dashboard_rows", "latest_observed_date", "forecast_through",
         "active_grid_points", "gates", "sources", "note",
     }
-    assert metadata["latest_observed_date"] == "2026-08-30" and metadata["forecast_through"] == "2026-09-10"
+    assert metadata["latest_observed_date"] == "2031-03-09" and metadata["forecast_through"] == "2031-03-20"
 
     [log] = runlog.read_runs(spark, str(tmp_path / "runs")).collect()
     assert (log.status, log.forecast_rows, log.flood_rows, log.archive_rows, log.dashboard_rows) == ("ok", 28, 28, 72, 111)
@@ -77,12 +77,31 @@ def test_failing_gates_stop_the_job(spark, tmp_path):
     [log] = runlog.read_runs(spark, str(tmp_path / "runs")).collect()
     assert log.status == "gate_failed" and "freshness=fail" in log.gates and log.dashboard_rows is None
     assert not (tmp_path / "exports").exists() and not (tmp_path / "work" / "models").exists()
+    missing = spark.read.parquet(str(tmp_path / "work" / "missing_points" / str(fx.RUN)))
+    assert missing.columns == ["table_name", "grid_id"]
+
+
+def test_an_old_run_is_replayed_as_on_its_day(spark, tmp_path):
+    _good(tmp_path)
+    assert _job(spark, tmp_path) == "ok"
+    read = lambda: _rows(f"{publish.current(spark, str(tmp_path / 'exports'))}/dashboard.csv")
+    then = read()
+    for i in range(1, 21):
+        fx.good_run(tmp_path / "raw", fx.RUN + dt.timedelta(days=i))
+    late = fx.archive("2031-03-20T09:00:00+00:00", ["2031-03-10"], {fx.A: [321.0]})
+    fx.write(tmp_path / "raw" / "archive" / "2031-03-10_2031-03-10.json", late)
+    assert _job(spark, tmp_path, run_date=fx.RUN) == "ok"
+    assert read() == then
+    assert _job(spark, tmp_path) == "ok" and read() != then
+    assert _job(spark, tmp_path, expected_points=3, full_reload=True) == "error"
+    logs = [r.gates for r in runlog.read_runs(spark, str(tmp_path / "runs")).collect() if r.status == "error"]
+    assert len(logs) == 1
 
 
 def test_failing_table_tests_stop_the_job(spark, tmp_path):
     _good(tmp_path)
-    doc = fx.archive("2026-09-03T23:00:00+00:00", ["2026-08-01"], {"g0502": [-700.0]})
-    fx.write(tmp_path / "raw" / "archive" / "2026-08-01_2026-08-01.json", doc)
+    doc = fx.archive("2031-03-13T21:00:00+00:00", ["2031-02-10"], {fx.A: [-700.0]})
+    fx.write(tmp_path / "raw" / "archive" / "2031-02-10_2031-02-10.json", doc)
     assert _job(spark, tmp_path) == "dbt_failed"
     [log] = runlog.read_runs(spark, str(tmp_path / "runs")).collect()
     assert "accepted_range_fct_rain_barangay_daily_rain_3d_mm" in log.gates
@@ -92,7 +111,7 @@ def test_failing_table_tests_stop_the_job(spark, tmp_path):
 def test_unexpected_errors_are_logged_and_runs_accumulate(spark, tmp_path):
     assert _job(spark, tmp_path) == "error"
     fx.write_all(tmp_path / "raw")
-    assert _job(spark, tmp_path, run_date=dt.date(2026, 9, 4)) == "gate_failed"
+    assert _job(spark, tmp_path, run_date=fx.RUN) == "gate_failed"
     logs = {r.status: r for r in runlog.read_runs(spark, str(tmp_path / "runs")).collect()}
     assert set(logs) == {"error", "gate_failed"} and logs["error"].run_date is None
     assert logs["error"].gates.startswith("error(ValueError: no snapshots")
@@ -120,17 +139,19 @@ def test_publishing_is_all_or_nothing(spark, tmp_path):
     for text in ("three", "four", "five"):
         publish.publish(spark, exports, write(text), "v")
         assert Path(publish.current(spark, exports), "a.txt").read_text() == text
+    assert len(list((tmp_path / "exports" / "versions").iterdir())) == 4
+    publish.publish(spark, exports, write("six"), "v", keep=2)
     assert len(list((tmp_path / "exports" / "versions").iterdir())) == 2
 
 
 def test_csv_text_forms(spark, tmp_path):
     df = spark.sql(
-        "select 0.0005d as a, 12345678.9d as b, true as c, date '2026-09-04' as d, "
-        "timestamp_ntz '2026-09-04 05:00:00' as e, 'say \"hi\", twice' as f, cast(null as double) as g, '' as h"
+        "select 0.0005d as a, 12345678.9d as b, true as c, date '2031-03-14' as d, "
+        "timestamp_ntz '2031-03-14 05:00:00' as e, 'say \"hi\", twice' as f, cast(null as double) as g, '' as h"
     )
     extracts.write_csv(df, str(tmp_path / "x.csv"))
     [part] = (tmp_path / "x.csv").glob("part-*.csv")
-    assert part.read_text().splitlines()[1] == '0.0005,12345678.9,True,2026-09-04,2026-09-04T05:00:00,"say ""hi"", twice",,'
+    assert part.read_text().splitlines()[1] == '0.0005,12345678.9,True,2031-03-14,2031-03-14T05:00:00,"say ""hi"", twice",,'
 
 
 def test_extract_round_trip(spark, tmp_path):

@@ -1,6 +1,7 @@
 import math
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from hazardmarts import schemas
@@ -21,12 +22,24 @@ def test_lattice(spark):
     points = lattice_points(spark, Lattice()).collect()
     assert len(points) == Lattice().size == 60 and len({p.grid_id for p in points}) == 60
     by_id = {p.grid_id: (p.lat, p.lon) for p in points}
-    assert by_id["g0000"] == (14.35, 120.9) and by_id["g0905"] == (14.8, 121.15) and by_id["g0502"] == (14.6, 121.0)
+    assert by_id["g0000"] == (14.35, 120.9) and by_id["g0905"] == (14.8, 121.15) and by_id["g0203"] == (14.45, 121.05)
 
 
 def test_distance(spark):
-    km = spark.range(1).select(haversine_km(F.lit(14.5896), F.lit(120.9815), F.lit(14.6510), F.lit(121.0493))).first()[0]
-    assert 8.5 < km < 10.5 and abs(km - _km(14.5896, 120.9815, 14.6510, 121.0493)) < 1e-9
+    """Along a meridian and the equator a degree is an arc of one degree; opposite points are half a circle apart."""
+    arc = 6371.0088 * math.pi / 180
+    pairs = [(10.0, 50.0, 11.0, 50.0, arc), (0.0, -3.0, 0.0, -1.0, 2 * arc), (30.0, 20.0, -30.0, -160.0, 180 * arc), (7.0, 8.0, 7.0, 8.0, 0.0)]
+    df = spark.createDataFrame(pairs, "a double, b double, c double, d double, km double")
+    for r in df.select("km", haversine_km(F.col("a"), F.col("b"), F.col("c"), F.col("d")).alias("got")).collect():
+        assert abs(r.got - r.km) < 1e-6
+
+
+def test_ids_of_large_lattices_are_unique(spark):
+    lattice = Lattice(0.0, 11.0, 0.0, 11.0, 0.1)
+    ids = lattice_points(spark, lattice)
+    assert ids.count() == ids.select("grid_id").distinct().count() == 111 * 111
+    place = spark.createDataFrame([(10.1, 0.0), (1.0, 10.0)], "lat double, lon double")
+    assert [r.grid_id for r in with_nearest_point(place, lattice).collect()] == ["g101000", "g010100"]
 
 
 def _check_nearest(spark, lattice, places):
@@ -55,14 +68,14 @@ def test_nearest_from_anywhere_on_earth(spark):
 
 def test_known_points_and_nulls(spark):
     df = spark.createDataFrame(
-        [(14.35, 120.90), (14.36, 120.92), (14.38, 120.94), (14.60, 121.00), (None, 121.0)], "lat double, lon double"
+        [(14.8, 121.15), (14.44, 121.06), (14.71, 121.08), (14.5, None), (None, 121.0)], "lat double, lon double"
     )
-    assert [r.grid_id for r in with_nearest_point(df, Lattice()).collect()] == ["g0000", "g0000", "g0101", "g0502", None]
+    assert [r.grid_id for r in with_nearest_point(df, Lattice()).collect()] == ["g0905", "g0203", "g0704", None, None]
 
 
 def test_active_points(spark):
     points = active_points(lattice_points(spark, Lattice()), fx.dimension(spark))
-    assert sorted(p.grid_id for p in points.collect()) == ["g0000", "g0502", "g0503"]
+    assert sorted(p.grid_id for p in points.collect()) == [fx.A, fx.B, fx.IDLE]
 
 
 def _ring(ring, corners):
@@ -92,18 +105,31 @@ def test_centroids_with_holes_and_parts(spark):
     }
 
 
+@pytest.mark.parametrize("corners, message", [
+    ([(0, 0, 0), (1, 2, 0), (2, 2, 2), (3, 0, 2)], "not closed"),
+    ([(0, 0, 0), (1, 2, 0), (3, 2, 2), (4, 0, 2), (5, 0, 0)], "not closed or not gapless: odd"),
+    ([(0, 0, 0), (1, 2, 0), (1, 2, 1), (2, 0, 2), (3, 0, 0)], "not gapless"),
+    ([(0, 0, 0), (1, 2, 0), (2, 4, 0), (3, 0, 0)], "polygon without area: odd"),
+])
+def test_unsound_rings_raise(spark, corners, message):
+    rows = [("odd", 0, i, float(x), float(y)) for i, x, y in corners]
+    df = spark.createDataFrame(rows, "id string, ring int, seq int, x double, y double")
+    with pytest.raises(Exception, match=message):
+        centroids(df, "id", origin=(0.0, 0.0)).collect()
+
+
 def test_build_dimension(spark):
     master = spark.createDataFrame(
-        [("PH1", "Area 1", "City of Manila", 1000, 42.50004, 7, 0.25, 250), ("PH9", "No shape", "X", 1, 1.0, 1, 0.1, 1)],
+        [("T1", "First", "City of Northgate", 640, 12.34565, 2, 0.75, 480), ("T9", "No shape", "X", 1, 1.0, 1, 0.1, 1)],
         "pcode string, name string, city string, population bigint, score double, rank_ncr int, "
         "pct_area_mh_25 double, est_pop_exposed_25 bigint",
     )
-    corners = [(120.99, 14.59), (121.01, 14.59), (121.01, 14.61), (120.99, 14.61)]
+    corners = [(121.0, 14.4), (121.125, 14.4), (121.125, 14.5), (121.0, 14.5)]
     vertices = spark.createDataFrame(
-        [("PH1", *v) for v in _ring(0, corners)], "pcode string, ring int, seq int, x double, y double"
+        [("T1", *v) for v in _ring(0, corners)], "pcode string, ring int, seq int, x double, y double"
     )
     built = build_dimension(master, vertices, Params())
     assert built.schema == schemas.DIMENSION or built.columns == schemas.DIMENSION.fieldNames()
     assert [tuple(r) for r in built.collect()] == [
-        ("PH1", "Area 1", "Manila", 1000, 42.5, 7, 0.25, 250, 14.6, 121.0, "g0502")
+        ("T1", "First", "Northgate", 640, 12.3456, 2, 0.75, 480, 14.45, 121.0625, "g0203")
     ]

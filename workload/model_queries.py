@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import os
-import tempfile
+import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hazardmarts import schemas
 from hazardmarts.functions import round_half_away
 from hazardmarts.operators.checks import duplicates
 from hazardmarts.operators.spatial import active_points, lattice_points, with_nearest_point
@@ -46,31 +48,20 @@ _model("int_rain_daily_unioned", over("rain", query="SELECT * FROM rain"))
 _model("int_rain_rolling", over("rolling", query="SELECT * FROM rolling"))
 _model("fct_warnings_hourly", over("warnings", query="SELECT * FROM warnings"))
 _model("int_warnings_daily", over("warnings_daily", query="SELECT * FROM warnings_daily"))
+_model("fct_rain_barangay_daily", over("fact", query="SELECT * FROM fact"))
 _model("mart_dashboard", over("dashboard", query="SELECT * FROM dashboard"))
 _model("fct_river_grid_daily", over("river", query="SELECT * FROM river"))
 _model("mart_monthly_normal", over("monthly", query="SELECT * FROM monthly"))
 
 
-@query(over("fact", query="""
-SELECT pcode, city, count(*) AS days, count(*) FILTER (WHERE source = 'observed') AS observed_days,
-       count(*) FILTER (WHERE warning_level = 'red') AS red_days, sum(rain_mm) AS rain_mm, max(rain_7d_mm) AS rain_7d_mm,
-       CAST(sum(CAST(round(wet_exposure * 1000) AS BIGINT)) AS BIGINT) AS exposure_thousandths,
-       min(date) AS first_date, max(date) AS last_date, sum(length(row_key))::BIGINT AS key_length
-FROM fact GROUP BY pcode, city"""))
-def fct_rain_barangay_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole fact, summed up per area."""
-    fact = model(spark, sf_dir, "fct_rain_barangay_daily")
-    return fact.groupBy("pcode", "city").agg(
-        F.count(F.lit(1)).alias("days"),
-        F.count_if(F.col("source") == "observed").alias("observed_days"),
-        F.count_if(F.col("warning_level") == "red").alias("red_days"),
-        F.sum("rain_mm").alias("rain_mm"),
-        F.max("rain_7d_mm").alias("rain_7d_mm"),
-        F.sum(F.round(F.col("wet_exposure") * 1000).cast("bigint")).alias("exposure_thousandths"),
-        F.min("date").alias("first_date"),
-        F.max("date").alias("last_date"),
-        F.sum(F.length("row_key").cast("bigint")).alias("key_length"),
-    )
+@query(over("dashboard", query="SELECT * FROM dashboard")
+       .replace("FROM lineitem)", "FROM lineitem WHERE CAST(l_shipdate AS DATE) + 8117 + l_linenumber < DATE '2024-01-11')")
+       .replace("FROM events)", "FROM events WHERE CAST(ts AS DATE) <= DATE '2024-01-10')"))
+def replayed_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard of a run twenty runs back, from tables that hold all later runs and fetches too."""
+    day = dt.date(2024, 1, 10)
+    sources = twin.Sources(spark, sf_dir)
+    return build_models(sources, twin.PARAMS, day, names=["mart_dashboard"])["mart_dashboard"]
 
 
 # --- gates and table tests --------------------------------------------------------------------
@@ -85,9 +76,9 @@ facts AS (
          count(*) FILTER (WHERE precipitation_sum < 0 OR precipitation_sum > 500) AS rain_bad,
          (SELECT count(*) FROM w WHERE river_discharge < 0 OR river_discharge_max < 0) AS flow_bad,
          (SELECT count(*) FROM act WHERE grid_id NOT IN (SELECT grid_id FROM f)) AS f_gap,
-         (SELECT min(grid_id) FROM act WHERE grid_id NOT IN (SELECT grid_id FROM f)) AS f_first,
+         (SELECT string_agg('''' || grid_id || '''', ', ' ORDER BY grid_id) FROM act WHERE grid_id NOT IN (SELECT grid_id FROM f)) AS f_ids,
          (SELECT count(*) FROM act WHERE grid_id NOT IN (SELECT grid_id FROM w)) AS w_gap,
-         (SELECT min(grid_id) FROM act WHERE grid_id NOT IN (SELECT grid_id FROM w)) AS w_first
+         (SELECT string_agg('''' || grid_id || '''', ', ' ORDER BY grid_id) FROM act WHERE grid_id NOT IN (SELECT grid_id FROM w)) AS w_ids
   FROM f),
 gates AS (
   SELECT 1 AS position, 'freshness' AS gate, horizon >= need AS passed,
@@ -95,8 +86,8 @@ gates AS (
   UNION ALL
   SELECT 2, 'coverage', f_gap + w_gap = 0,
          if(f_gap + w_gap = 0, (SELECT count(*) FROM act) || ' grid points present',
-            concat_ws('; ', if(f_gap > 0, 'forecast_daily missing ' || f_gap || ', first ' || f_first, NULL),
-                      if(w_gap > 0, 'flood_daily missing ' || w_gap || ', first ' || w_first, NULL))) FROM facts
+            concat_ws('; ', if(f_gap > 0, 'forecast_daily missing [' || f_ids || ']', NULL),
+                      if(w_gap > 0, 'flood_daily missing [' || w_ids || ']', NULL))) FROM facts
   UNION ALL
   SELECT 3, 'null_share', share <= 0.05, printf('null share %.3f (max 0.05)', share) FROM facts
   UNION ALL
@@ -198,10 +189,12 @@ def duplicate_forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(over("dashboard", query="""
-SELECT pcode, lat, lon, avg(population) AS population, round(avg(wet_exposure), 6) AS wet_exposure FROM dashboard
-WHERE source = 'forecast' AND date - run_date IN (0, 1, 2) GROUP BY pcode, lat, lon"""))
+SELECT pcode, name, city, lat, lon, est_pop_exposed_25, avg(population) AS population,
+       round(avg(wet_exposure), 6) AS wet_exposure, avg(rain_3d_mm) AS rain_3d_mm,
+       ['none', 'yellow', 'orange', 'red'][max(list_position(['none', 'yellow', 'orange', 'red'], warning_level))] AS warning_level
+FROM dashboard WHERE source = 'forecast' AND date - run_date IN (0, 1, 2) GROUP BY ALL"""))
 def exposure_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    shown = views.exposure_map(model(spark, sf_dir, "mart_dashboard"))
+    shown = views.exposure_map(model(spark, sf_dir, "mart_dashboard"), twin.PARAMS.levels)
     return shown.withColumn("wet_exposure", round_half_away(F.col("wet_exposure"), 6))
 
 
@@ -246,13 +239,18 @@ def freshness_card(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH place AS (
-  SELECT c_custkey, 14.3e0 + (c_custkey * 37 % 601) / 1000e0 AS lat, 120.85e0 + (c_custkey * 53 % 401) / 1000e0 AS lon
-  FROM customer)
+  SELECT c_custkey, CAST(round(14.3e0 + (c_custkey * 37 % 601) / 1000e0, 6) AS DOUBLE) AS lat,
+         CAST(round(120.85e0 + (c_custkey * 53 % 401) / 1000e0, 6) AS DOUBLE) AS lon FROM customer),
+best AS (
+  SELECT c_custkey, arg_min(format('g{:02d}{:02d}', r, c), (round(2 * 6371.0088e0 * asin(sqrt(
+           pow(sin(radians(14.35e0 + r * 0.05e0 - lat) / 2), 2) + cos(radians(lat)) * cos(radians(14.35e0 + r * 0.05e0))
+           * pow(sin(radians(120.9e0 + c * 0.05e0 - lon) / 2), 2))), 6), r, c)) AS grid_id
+  FROM place, range(10) a(r), range(6) b(c) GROUP BY c_custkey)
 SELECT 'A' || c_custkey AS pcode, c_name AS name, n_name AS city, c_custkey + 1000 AS population,
        round(c_acctbal / 100e0, 4) AS score, CAST(c_custkey % 1710 AS INTEGER) AS rank_ncr,
        (c_custkey % 8) / 8e0 AS pct_area_mh_25, c_custkey % 977 AS est_pop_exposed_25,
-       round(lat, 6) AS lat, round(lon, 6) AS lon
-FROM place JOIN customer USING (c_custkey) JOIN nation ON c_nationkey = n_nationkey""")
+       lat, lon, grid_id
+FROM place JOIN best USING (c_custkey) JOIN customer USING (c_custkey) JOIN nation ON c_nationkey = n_nationkey""")
 def dimension_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Master rows and square outlines from customers, through the whole dimension build.
 
@@ -285,7 +283,7 @@ def dimension_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.lit(120.85) + F.pmod(key * 53, F.lit(401)) / 1000).alias("cx"),
         F.inline(outline),
     ).select("pcode", "ring", "seq", (F.col("cx") + F.col("dx")).alias("x"), (F.col("cy") + F.col("dy")).alias("y"))
-    return build_dimension(master, vertices, twin.PARAMS).drop("grid_id")
+    return build_dimension(master, vertices, twin.PARAMS)
 
 
 @query("""
@@ -315,26 +313,35 @@ def active_points_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _folder(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """A folder of this query in the shared folder; repeating the query replaces its content."""
-    base = shared_dir(spark, fallback=os.path.join(tempfile.gettempdir(), "hazardmarts"))
-    return f"{base}/queries/{os.path.basename(sf_dir.rstrip('/'))}/{name}"
+    """A new folder in the cluster's shared folder, or in the warehouse where none is set."""
+    base = shared_dir(spark, fallback=spark.conf.get("spark.sql.warehouse.dir"))
+    return f"{base}/queries/{os.path.basename(sf_dir.rstrip('/'))}/{name}-{uuid.uuid4().hex}"
 
 
-@query(over("raw_forecast", "raw_flood", query="""
-SELECT 'forecast_daily' AS table_name, run_date, grid_id, date, precipitation_sum AS value, fetched_at FROM raw_forecast
-UNION ALL SELECT 'flood_daily', run_date, grid_id, date, river_discharge, fetched_at FROM raw_flood"""))
+@query(over("raw_forecast", "raw_hourly", "raw_flood", "raw_archive", query="""
+SELECT 'forecast_daily' AS table_name, run_date, grid_id, CAST(date AS TIMESTAMP) AS clock, precipitation_sum AS first_value,
+       precipitation_probability_max AS second_value, precipitation_hours AS third_value, fetched_at FROM raw_forecast
+UNION ALL SELECT 'forecast_hourly', run_date, grid_id, ts, precipitation, NULL, NULL, fetched_at FROM raw_hourly
+UNION ALL SELECT 'flood_daily', run_date, grid_id, date, river_discharge, river_discharge_max, NULL, fetched_at FROM raw_flood
+UNION ALL SELECT 'archive_daily', NULL, grid_id, date, precipitation_sum, precipitation_hours, NULL, fetched_at FROM raw_archive"""))
 def landed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw tables written by run and read back under their declared schemas."""
+    """All raw tables with all their columns, written by run and read back under their declared schemas."""
     out = _folder(spark, sf_dir, "landed")
-    names = ("forecast_daily", "flood_daily")
-    tables.land({n: df for n, df in models(spark, sf_dir, *names).items()}, out)
-    read = {n: tables.read_landed(spark, out, [n])[n] for n in names}
-    values = {"forecast_daily": "precipitation_sum", "flood_daily": "river_discharge"}
-    parts = [
-        read[n].select(F.lit(n).alias("table_name"), "run_date", "grid_id", "date", F.col(v).alias("value"), "fetched_at")
-        for n, v in values.items()
-    ]
-    return parts[0].unionByName(parts[1])
+    names = tuple(schemas.RAW)
+    tables.land(models(spark, sf_dir, *names), out)
+    return reduce(DataFrame.unionByName, [_flat(n, df) for n, df in tables.read_landed(spark, out).items()])
+
+
+def _flat(name: str, df: DataFrame) -> DataFrame:
+    """A raw table in columns common to all of them."""
+    values = [F.col(c) for c, kind in df.dtypes if kind == "double"]
+    values += [F.lit(None).cast("double")] * (3 - len(values))
+    run = F.col("run_date") if "run_date" in df.columns else F.lit(None).cast("date")
+    return df.select(
+        F.lit(name).alias("table_name"), run.alias("run_date"), "grid_id",
+        F.col("ts" if "ts" in df.columns else "date").cast("timestamp_ntz").alias("clock"),
+        *[v.alias(n) for v, n in zip(values, ("first_value", "second_value", "third_value"), strict=True)], "fetched_at",
+    )
 
 
 @query(over("dashboard", query="SELECT * FROM dashboard"))
@@ -353,13 +360,14 @@ def published_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT '2024-01-30' AS run_date, '2024-01-30T06:00:00+00:00' AS generated_at_utc, count(*) AS dashboard_rows,
        CAST(max(date) FILTER (WHERE source = 'observed') AS VARCHAR) AS latest_observed_date,
        CAST(max(date) AS VARCHAR) AS forecast_through, count(DISTINCT grid_id) AS active_grid_points,
-       (SELECT string_agg(gate || '=' || if(passed, 'pass', 'fail'), ';' ORDER BY gate) FROM gates) AS gates
+       (SELECT string_agg(gate || '=' || if(passed, 'pass', 'fail'), ';' ORDER BY gate) FROM gates) AS gates,
+       '""" + " | ".join(extracts.ATTRIBUTION) + "' AS sources, '" + extracts.NOTE + """' AS note
 FROM dashboard"""))
 def metadata_document(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The run's metadata row; the map of gates as sorted text, the fixed texts left out."""
+    """The run's metadata row; the map of gates and the list of sources as text."""
     generated = dt.datetime(2024, 1, 30, 6, tzinfo=dt.UTC)
     document = extracts.run_metadata(
         model(spark, sf_dir, "mart_dashboard"), _gates(spark, sf_dir), dt.date(2024, 1, 30), generated
     )
     entries = F.transform(F.array_sort(F.map_entries("gates")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
-    return document.withColumn("gates", F.array_join(entries, ";")).drop("sources", "note")
+    return document.withColumn("gates", F.array_join(entries, ";")).withColumn("sources", F.array_join("sources", " | "))

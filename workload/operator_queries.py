@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardmarts.functions import (
@@ -47,21 +47,27 @@ def latest_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH dated AS (SELECT *, CAST(o_orderdate AS DATE) AS date FROM orders)
+WITH dated AS (
+  SELECT o_custkey, o_totalprice, CAST(o_orderdate AS DATE) AS date,
+         CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'P' THEN 2 ELSE 3 END AS place FROM orders),
+best AS (SELECT o_custkey, date, min(place) AS place FROM dated GROUP BY ALL)
 SELECT o_custkey, date, max(o_totalprice) AS amount,
-       if(any_value(s.has) IS NULL, 'forecast', 'observed') AS source
-FROM dated LEFT JOIN (SELECT DISTINCT o_custkey, date, 1 AS has FROM dated WHERE o_orderstatus = 'F') s USING (o_custkey, date)
-WHERE o_orderstatus = if(s.has IS NULL, 'O', 'F') GROUP BY ALL""")
+       CASE place WHEN 1 THEN 'observed' WHEN 2 THEN 'partial' ELSE 'forecast' END AS source
+FROM dated JOIN best USING (o_custkey, date, place) GROUP BY o_custkey, date, place""")
 def prefer_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Finished orders are observations; open ones fill the customer-days without one."""
+    """Finished orders are observations; partial ones and then all others fill the customer-days without one."""
     dated = table(spark, sf_dir, "orders").withColumn("date", F.to_date("o_orderdate"))
 
-    def side(status: str, source: str) -> DataFrame:
-        return dated.filter(F.col("o_orderstatus") == status).select(
+    def side(chosen: Column, source: str) -> tuple[DataFrame, list[str]]:
+        return dated.filter(chosen).select(
             "o_custkey", "date", F.col("o_totalprice").alias("amount"), F.lit(source).alias("source"), "o_orderdate"
-        )
+        ), ["o_orderdate"]
 
-    sides = [(side("F", "observed"), ["o_orderdate"]), (side("O", "forecast"), ["o_orderdate"])]
+    status = F.col("o_orderstatus")
+    sides = [
+        side(status == "F", "observed"), side(status == "P", "partial"),
+        side(~F.coalesce(status.isin("F", "P"), F.lit(False)), "forecast"),
+    ]
     return series.prefer(sides, ["o_custkey", "date"], tie_break=["amount"])
 
 
@@ -166,9 +172,10 @@ def severity_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH daily AS (
-  SELECT CAST(o_orderdate AS DATE) AS date, avg(CAST(floor(o_totalprice) AS DOUBLE)) AS amount FROM orders GROUP BY ALL),
+  SELECT CAST(o_orderdate AS DATE) AS date, CAST(sum(CAST(floor(o_totalprice) AS DECIMAL(30,12))) AS DOUBLE) / count(*) AS amount
+  FROM orders GROUP BY ALL),
 monthly AS (
-  SELECT CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month, sum(amount) AS total,
+  SELECT CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month, CAST(sum(CAST(amount AS DECIMAL(30,12))) AS DOUBLE) AS total,
          count(*) AS days_covered FROM daily GROUP BY ALL),
 base AS (
   SELECT month, avg(total) AS normal, quantile_cont(total, 0.1) AS p10, quantile_cont(total, 0.9) AS p90
@@ -196,7 +203,7 @@ def ordered_string_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey")
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    branded = lines.distinct().join(supplier, "l_suppkey").join(part, "l_partkey")
+    branded = lines.join(supplier, "l_suppkey").join(part, "l_partkey")
     return groups.distinct_text(branded, ["s_nationkey"], "p_brand", "brands")
 
 
@@ -216,7 +223,8 @@ def served_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     segments = table(spark, sf_dir, "customer").withColumnRenamed("c_nationkey", "s_nationkey")
     served = groups.distinct_text(segments, ["s_nationkey"], "c_mktsegment", "segments_served")
     last = table(spark, sf_dir, "lineitem").agg(F.max(F.to_date("l_shipdate"))).scalar()
-    return _supplier_days(spark, sf_dir).join(supplier, "l_suppkey").join(served, "s_nationkey").select(
+    serving = supplier.join(served, "s_nationkey")
+    return _supplier_days(spark, sf_dir).join(serving, "l_suppkey").select(
         "l_suppkey", "date", past_or_forecast(F.col("date"), F.date_sub(last, 7)).alias("source"),
         "quantity", "segments_served",
     )
@@ -229,27 +237,27 @@ def _supplier_days(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 WITH daily AS (
-  SELECT s_nationkey AS nation, CAST(l_shipdate AS DATE) AS date, sum(l_quantity) AS quantity
+  SELECT s_nationkey AS nation, CAST(date_trunc('month', l_shipdate) AS DATE) AS month, sum(l_quantity) AS quantity
   FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY ALL)
-SELECT c_custkey, CAST(count(*) AS BIGINT) AS days, sum(quantity) AS quantity, max(round(quantity * floor(c_acctbal) / 100e0, 3)) AS top_score
-FROM daily JOIN customer ON c_nationkey = nation GROUP BY c_custkey""")
+SELECT c_custkey, nation AS s_nationkey, month, quantity, round(quantity * floor(c_acctbal) / 100e0, 3) AS score
+FROM daily JOIN customer ON c_nationkey = nation""")
 def dim_fanout(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nation-days fanned out to every customer of the nation, summed up per customer.
+    """Nation-months fanned out to every customer of the nation, one row each.
 
     Lines are summed per supplier and day before the lookup, so a busy supplier is one row a day.
     """
     supplier = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     daily = (
         _supplier_days(spark, sf_dir).join(supplier, "l_suppkey")
-        .groupBy("s_nationkey", "date")
+        .groupBy("s_nationkey", F.to_date(F.date_trunc("month", "date")).alias("month"))
         .agg(F.sum("quantity").alias("quantity"))
     )
     customer = table(spark, sf_dir, "customer").select(
         F.col("c_nationkey").alias("s_nationkey"), "c_custkey", "c_acctbal"
     )
     score = round_half_away(F.col("quantity") * F.floor("c_acctbal") / F.lit(100.0), 3)
-    return joins.fan_out(daily, customer, ["s_nationkey"], member="c_custkey").groupBy("c_custkey").agg(
-        F.count(F.lit(1)).alias("days"), F.sum("quantity").alias("quantity"), F.max(score).alias("top_score")
+    return joins.fan_out(daily, customer, ["s_nationkey"], member="c_custkey").select(
+        "c_custkey", "s_nationkey", "month", "quantity", score.alias("score")
     )
 
 
@@ -298,7 +306,8 @@ def fetch_time(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- space ------------------------------------------------------------------------------------
 
-WIDE = Lattice(lat_min=-30.0, lat_max=30.0, lon_min=100.0, lon_max=150.0, step=2.5)
+# More than a hundred rows, so ids need three digits.
+WIDE = Lattice(lat_min=-30.0, lat_max=30.0, lon_min=100.0, lon_max=150.0, step=0.5)
 
 
 @query("""
@@ -306,8 +315,8 @@ WITH place AS (
   SELECT c_custkey, (c_custkey * 7919 % 100003) / 100003e0 * 70e0 - 35e0 AS lat,
          (c_custkey * 104729 % 99991) / 99991e0 * 60e0 + 95e0 AS lon FROM customer),
 grid AS (
-  SELECT r, c, r * 2.5e0 - 30e0 AS glat, c * 2.5e0 + 100e0 AS glon FROM range(25) a(r), range(21) b(c))
-SELECT c_custkey, arg_min(format('g{:02d}{:02d}', r, c), (km, r, c)) AS grid_id, min(km) AS km
+  SELECT r, c, r * 0.5e0 - 30e0 AS glat, c * 0.5e0 + 100e0 AS glon FROM range(121) a(r), range(101) b(c))
+SELECT c_custkey, arg_min(format('g{:03d}{:03d}', r, c), (km, r, c)) AS grid_id, min(km) AS km
 FROM (SELECT c_custkey, r, c, round(2 * 6371.0088e0 * asin(sqrt(pow(sin(radians(glat - lat) / 2), 2)
         + cos(radians(lat)) * cos(radians(glat)) * pow(sin(radians(glon - lon) / 2), 2))), 6) AS km
       FROM place, grid)
@@ -321,7 +330,7 @@ def nearest_point(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.pmod(key * 104729, F.lit(99991)) / 99991 * 60 + 95).alias("lon"),
     )
     located = spatial.with_nearest_point(place, WIDE)
-    index = [F.substring("grid_id", start, 2).cast("double") for start in (2, 4)]
+    index = [F.substring("grid_id", start, 3).cast("double") for start in (2, 5)]
     glat, glon = index[0] * WIDE.step + WIDE.lat_min, index[1] * WIDE.step + WIDE.lon_min
     km = spatial.haversine_km(F.col("lat"), F.col("lon"), glat, glon)
     return located.select("c_custkey", "grid_id", round_half_away(km, 6).alias("km"))
@@ -414,19 +423,20 @@ def relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH last AS (SELECT max(l_shipdate) AS d FROM lineitem),
-open AS (SELECT DISTINCT l_suppkey FROM lineitem, last WHERE l_linestatus = 'O' AND l_shipdate >= d - INTERVAL 30 DAY),
-done AS (SELECT DISTINCT l_suppkey FROM lineitem, last WHERE l_linestatus = 'F' AND l_shipdate >= d - INTERVAL 30 DAY)
-SELECT 'open' AS table_name, s_suppkey AS l_suppkey FROM supplier WHERE s_suppkey NOT IN (FROM open)
+WITH expected AS (SELECT s_suppkey || '|' || p_brand AS key FROM supplier, (SELECT DISTINCT p_brand FROM part)),
+sold AS (SELECT DISTINCT l_linestatus, l_suppkey || '|' || p_brand AS key FROM lineitem JOIN part ON l_partkey = p_partkey)
+SELECT 'open' AS table_name, key FROM expected WHERE key NOT IN (SELECT key FROM sold WHERE l_linestatus = 'O')
 UNION ALL
-SELECT 'done', s_suppkey FROM supplier WHERE s_suppkey NOT IN (FROM done)""")
+SELECT 'done', key FROM expected WHERE key NOT IN (SELECT key FROM sold WHERE l_linestatus = 'F')""")
 def expected_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers without a recent line, per line status."""
-    lines = table(spark, sf_dir, "lineitem").withColumn("date", F.to_date("l_shipdate"))
-    recent = series.look_back(lines, "date", versions.latest_run(lines, "date"), 30)
-    expected = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"))
-    per_status = {n: recent.filter(F.col("l_linestatus") == s) for n, s in (("open", "O"), ("done", "F"))}
-    return checks.missing_keys(expected, per_status, "l_suppkey")
+    """Combinations of supplier and brand without any line, per line status, over all lines."""
+    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
+    brands = part.agg(F.collect_set("p_brand")).scalar()  # a few dozen brands
+    key = lambda supplier: F.concat(F.col(supplier).cast("string"), F.lit("|"), F.col("p_brand")).alias("key")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(brands).alias("p_brand"))
+    sold = table(spark, sf_dir, "lineitem").join(part, "l_partkey").select("l_linestatus", key("l_suppkey"))
+    per_status = {n: sold.filter(F.col("l_linestatus") == s) for n, s in (("open", "O"), ("done", "F"))}
+    return checks.missing_keys(supplier.select(key("s_suppkey")), per_status, "key")
 
 
 @query("""

@@ -12,7 +12,6 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from hazardmarts.params import Params
 
@@ -21,15 +20,9 @@ SHIFT_DAYS = 8117
 PARAMS = Params(normal_years=(2018, 2022))
 
 
-_SCHEMAS: dict[str, StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One provided table. Its schema is read from the footer once, not by a job per query."""
-    path = f"{sf_dir}/{name}.parquet"
-    if path not in _SCHEMAS:
-        _SCHEMAS[path] = spark.read.parquet(path).schema
-    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+    """One provided table."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def archive_daily(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:

@@ -109,8 +109,9 @@ RIVER = """river AS (
 
 MONTHLY = """month_totals AS (
   SELECT CAST(year(date) AS BIGINT) AS year, CAST(month(date) AS BIGINT) AS month,
-         sum(rain_mm) AS total, count(*) AS days
-  FROM (SELECT date, avg(precipitation_sum) AS rain_mm FROM archive GROUP BY date) GROUP BY ALL),
+         CAST(sum(CAST(rain_mm AS DECIMAL(30,12))) AS DOUBLE) AS total, count(*) AS days
+  FROM (SELECT date, CAST(sum(CAST(precipitation_sum AS DECIMAL(30,12))) AS DOUBLE) / count(*) AS rain_mm FROM archive GROUP BY date)
+  GROUP BY ALL),
 base AS (
   SELECT month, avg(total) AS mid, quantile_cont(total, [0.1, 0.9]) AS q
   FROM month_totals WHERE year >= 2018 AND year <= 2022 GROUP BY month),
