@@ -6,14 +6,12 @@ import __spark_entry__ as entry
 from tests.oracle import compare, connect
 from workload.registry import QUERIES
 
-SMALL, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
-# Every supplier and brand has been sold or not at the smallest size.
-ON_LARGER = {"expected_missing"}
+SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="module")
-def databases():
-    return {sf: connect(sf) for sf in (SMALL, LARGER)}
+def database():
+    return connect(SMALL)
 
 
 def test_every_query_has_sql():
@@ -22,9 +20,8 @@ def test_every_query_has_sql():
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(spark, databases, name):
-    sf_dir = LARGER if name in ON_LARGER else SMALL
-    problem, rows = compare(spark, databases[sf_dir], entry.queries()[name], entry.oracle_sql()[name], sf_dir)
+def test_query(spark, database, name):
+    problem, rows = compare(spark, database, entry.queries()[name], entry.oracle_sql()[name], SMALL)
     assert problem is None
     assert rows > 0 or name == "coverage_missing"
 

@@ -423,18 +423,19 @@ def relationships(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-WITH expected AS (SELECT s_suppkey || '|' || p_brand AS key FROM supplier, (SELECT DISTINCT p_brand FROM part)),
-sold AS (SELECT DISTINCT l_linestatus, l_suppkey || '|' || p_brand AS key FROM lineitem JOIN part ON l_partkey = p_partkey)
+WITH lines AS (SELECT l_suppkey, l_linestatus, strftime(l_shipdate, '%Y-%m') AS month FROM lineitem),
+expected AS (SELECT s_suppkey || '|' || month AS key FROM supplier, (SELECT DISTINCT month FROM lines)),
+sold AS (SELECT DISTINCT l_linestatus, l_suppkey || '|' || month AS key FROM lines)
 SELECT 'open' AS table_name, key FROM expected WHERE key NOT IN (SELECT key FROM sold WHERE l_linestatus = 'O')
 UNION ALL
 SELECT 'done', key FROM expected WHERE key NOT IN (SELECT key FROM sold WHERE l_linestatus = 'F')""")
 def expected_missing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Combinations of supplier and brand without any line, per line status, over all lines."""
-    part = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    brands = part.agg(F.collect_set("p_brand")).scalar()  # a few dozen brands
-    key = lambda supplier: F.concat(F.col(supplier).cast("string"), F.lit("|"), F.col("p_brand")).alias("key")
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(brands).alias("p_brand"))
-    sold = table(spark, sf_dir, "lineitem").join(part, "l_partkey").select("l_linestatus", key("l_suppkey"))
+    """Combinations of supplier and month without any line, per line status, over all lines."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_linestatus", F.date_format("l_shipdate", "yyyy-MM").alias("month"))
+    months = lines.agg(F.collect_set("month")).scalar()  # the months of a calendar
+    key = lambda supplier: F.concat(F.col(supplier).cast("string"), F.lit("|"), F.col("month")).alias("key")
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", F.explode(months).alias("month"))
+    sold = lines.select("l_linestatus", key("l_suppkey"))
     per_status = {n: sold.filter(F.col("l_linestatus") == s) for n, s in (("open", "O"), ("done", "F"))}
     return checks.missing_keys(supplier.select(key("s_suppkey")), per_status, "key")
 
