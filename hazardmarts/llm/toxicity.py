@@ -40,6 +40,9 @@ DECAY, POWER = 0.5, 3
 SPACE_BITS = 14
 # Places of the second and third character after the first, and the characters skipped.
 OFFSETS = tuple((a, b, b - 2) for b in range(2, 5) for a in range(1, b))
+# Weights by characters skipped, and how many words are worked on together.
+_WEIGHTS = np.array([1.0, DECAY, DECAY**2, 0.0], dtype=np.float32)
+CHUNK = 4096
 ROUNDS = 2
 PENALTY = 1e-3
 # What toxic documents weigh in the fit, all together; near what they are among all documents, so that 0.7 is sure.
@@ -51,10 +54,10 @@ def plain(token: str) -> str:
     return _PUNCTUATION.sub("", token)
 
 
-def feature_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word number, feature, weight) of every gapped triple of characters; words of similar length are
-    worked on together, with marks at both ends."""
-    owners, features, weights = [], [], []
+def feature_rows(words: list[str]) -> np.ndarray:
+    """Every gapped triple of characters of at most ``CHUNK`` words, packed into one number as word, feature and
+    characters skipped; words of similar length are worked on together, with marks at both ends."""
+    packed = []
     sizes = np.array([len(w) for w in words], dtype=np.int64)
     classes = np.where(sizes <= 32, -(-sizes // 4) * 4, 2 ** np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64))
     for width in np.unique(classes):
@@ -76,22 +79,19 @@ def feature_rows(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 mixed = (first * np.uint32(0x9E3779B1) ^ second) * np.uint32(0x85EBCA77) ^ third
                 mixed = mixed * np.uint32(0xC2B2AE3D)
                 row, column = np.nonzero(third)
-                owners.append(some[row])
-                features.append((mixed >> np.uint32(32 - SPACE_BITS))[row, column])
-                weights.append(np.full(len(row), DECAY**skipped, dtype=np.float32))
-    if not owners:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
-    return np.concatenate(owners), np.concatenate(features).astype(np.int64), np.concatenate(weights)
+                feature = (mixed >> np.uint32(32 - SPACE_BITS))[row, column]
+                key = (some[row].astype(np.uint32) << np.uint32(SPACE_BITS)) | feature
+                packed.append((key << np.uint32(2)) | np.uint32(skipped))
+    return np.concatenate(packed) if packed else np.zeros(0, np.uint32)
 
 
 def embedded(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The same with one row per word and feature, scaled to length 1 per word and sorted by word."""
-    owner, feature, weight = feature_rows(words)
-    if not len(owner):
-        return owner, feature, weight
-    key = (owner << SPACE_BITS) | feature
-    order = np.argsort(key, kind="stable")
-    key, weight = key[order], weight[order]
+    packed = np.sort(feature_rows(words))
+    if not len(packed):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.float32)
+    weight = _WEIGHTS[packed & np.uint32(3)]
+    key = (packed >> np.uint32(2)).astype(np.int64)
     starts = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
     weight, key = np.add.reduceat(weight, starts), key[starts]
     owner = key >> SPACE_BITS
@@ -100,29 +100,28 @@ def embedded(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 class Landmarks:
-    """The landmark words in the feature space, as a dense table."""
+    """The landmark words by feature: which landmarks have it, with what weight."""
 
     def __init__(self, words: list[str]) -> None:
         self.words = words
         owner, feature, weight = embedded(words)
-        self.row = np.zeros(1 << SPACE_BITS, dtype=np.int32)
-        used = np.unique(feature)
-        self.row[used] = np.arange(1, len(used) + 1)
-        self.table = np.zeros((len(used) + 1, len(words)), dtype=np.float32)
-        self.table[self.row[feature], owner] = weight
+        order = np.argsort(feature, kind="stable")
+        self.first = np.searchsorted(feature[order], np.arange((1 << SPACE_BITS) + 1))
+        self.landmark, self.weight = owner[order], weight[order]
 
     def kernel(self, words: list[str]) -> np.ndarray:
         """One row per word: its kernel with each landmark."""
         out = np.zeros((len(words), len(self.words)), dtype=np.float32)
-        for at in range(0, len(words), 4096):
-            owner, feature, weight = embedded(words[at : at + 4096])
-            row = self.row[feature]
-            hit = row > 0
-            owner, row, weight = owner[hit], row[hit], weight[hit]
-            if not len(owner):
-                continue
-            starts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            out[at + owner[starts]] = np.add.reduceat(self.table[row] * weight[:, None], starts, axis=0)
+        for at in range(0, len(words), CHUNK):
+            part = out[at : at + CHUNK]
+            owner, feature, weight = embedded(words[at : at + CHUNK])
+            first = self.first[feature]
+            count = self.first[feature + 1] - first
+            # One entry for each feature of a word and each landmark that has it.
+            entry = np.repeat(first - (np.cumsum(count) - count), count) + np.arange(count.sum())
+            cell = np.repeat(owner * part.shape[1], count) + self.landmark[entry]
+            value = np.repeat(weight, count) * self.weight[entry]
+            part += np.bincount(cell, weights=value, minlength=part.size).reshape(part.shape)
         return np.minimum(out, 1.0) ** POWER
 
     def whitening(self) -> np.ndarray:
