@@ -12,8 +12,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardmarts import schemas
-from hazardmarts.sources import snapshots
+from hazardmarts.sources import points, snapshots, tables
 from workload import twin
+from workload.landed import ALL_RAW, flat, folder
 from workload.registry import query
 from workload.twin_sql import over
 
@@ -78,3 +79,40 @@ def nested_flatten(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     documents = _documents(rows, "hourly", "ts", schemas.FORECAST_HOURLY_MEASURES, offset="+08:00")
     return snapshots.flatten_forecast_hourly(documents)
+
+
+def _forecast_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents whose points have both sections, the days and the hours of the same fetch."""
+    keys = ["run_date", "grid_id", "fetched_at"]
+    days = twin.forecast_daily(spark, sf_dir, F.col("event_id"), F.col("hour"), F.col("quarters"))
+    hour = F.when(F.pmod("event_id", F.lit(20)) != 7, F.col("quarters") / 16)
+    daily = [F.date_format("date", "yyyy-MM-dd").alias("time"), *[F.col(m).cast("string").alias(m) for m in schemas.FORECAST_DAILY_MEASURES]]
+    hourly = [F.date_format("hour", "yyyy-MM-dd'T'HH:mm").alias("time"), hour.cast("string").alias("precipitation")]
+    packed = days.groupBy(*keys, _thousand("event_id")).agg(
+        F.collect_list(F.struct(F.struct(*daily).alias("d"), F.struct(*hourly).alias("h"))).alias("s")
+    )
+    section = lambda part, names: F.struct(*[F.col(f"s.{part}.{n}").alias(n) for n in names])
+    response = F.struct(
+        section("d", ("time", *schemas.FORECAST_DAILY_MEASURES)).alias("daily"),
+        section("h", ("time", *schemas.FORECAST_HOURLY_MEASURES)).alias("hourly"),
+    )
+    stamp = F.concat(F.date_format("fetched_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit("+00:00"))
+    return packed.select(
+        F.date_format("run_date", "yyyy-MM-dd").alias("run_date"), stamp.alias("fetched_at"),
+        F.array(F.struct("grid_id", response.alias("response"))).alias("points"),
+    )
+
+
+@query(ALL_RAW)
+def landed_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All raw tables from JSON lines: written, landed by the incremental stream in two runs, and read back."""
+    raw, out = folder(spark, sf_dir, "lines"), folder(spark, sf_dir, "landed")
+    flood = _documents(twin.flood_daily(spark, sf_dir, _thousand("event_id")), "daily", "date", schemas.FLOOD_MEASURES)
+    archive = _documents(twin.archive_daily(spark, sf_dir, _thousand("l_orderkey")), "daily", "date", schemas.ARCHIVE_MEASURES)
+    points.write_points(_forecast_documents(spark, sf_dir), "forecast", raw)
+    points.write_points(flood.where("run_date < '2024-01-16'"), "flood", raw)
+    points.write_points(archive.withColumn("run_date", F.concat(F.substring("run_date", 1, 4), F.lit("-01-01"))), "archive", raw)
+    points.land_points(spark, raw, out)
+    points.write_points(flood.where("run_date >= '2024-01-16'"), "flood", raw)
+    points.land_points(spark, raw, out)
+    return flat(tables.read_landed(spark, out))

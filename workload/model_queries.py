@@ -3,9 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import os
-import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,10 +14,10 @@ from hazardmarts.operators.spatial import active_points, lattice_points, with_ne
 from hazardmarts.plans import gates, table_tests, views
 from hazardmarts.plans.build import build_models
 from hazardmarts.plans.dimension import build_dimension
-from hazardmarts.session import shared_dir
 from hazardmarts.sinks import extracts, publish
 from hazardmarts.sources import tables
 from workload import twin
+from workload.landed import ALL_RAW, flat, folder
 from workload.registry import query
 from workload.twin_sql import over
 
@@ -312,42 +309,18 @@ def active_points_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sources and sinks ------------------------------------------------------------------------
 
 
-def _folder(spark: SparkSession, sf_dir: str, name: str) -> str:
-    """A new folder in the cluster's shared folder, or in the warehouse where none is set."""
-    base = shared_dir(spark, fallback=spark.conf.get("spark.sql.warehouse.dir"))
-    return f"{base}/queries/{os.path.basename(sf_dir.rstrip('/'))}/{name}-{uuid.uuid4().hex}"
-
-
-@query(over("raw_forecast", "raw_hourly", "raw_flood", "raw_archive", query="""
-SELECT 'forecast_daily' AS table_name, run_date, grid_id, CAST(date AS TIMESTAMP) AS clock, precipitation_sum AS first_value,
-       precipitation_probability_max AS second_value, precipitation_hours AS third_value, fetched_at FROM raw_forecast
-UNION ALL SELECT 'forecast_hourly', run_date, grid_id, ts, precipitation, NULL, NULL, fetched_at FROM raw_hourly
-UNION ALL SELECT 'flood_daily', run_date, grid_id, date, river_discharge, river_discharge_max, NULL, fetched_at FROM raw_flood
-UNION ALL SELECT 'archive_daily', NULL, grid_id, date, precipitation_sum, precipitation_hours, NULL, fetched_at FROM raw_archive"""))
+@query(ALL_RAW)
 def landed_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All raw tables with all their columns, written by run and read back under their declared schemas."""
-    out = _folder(spark, sf_dir, "landed")
-    names = tuple(schemas.RAW)
-    tables.land(models(spark, sf_dir, *names), out)
-    return reduce(DataFrame.unionByName, [_flat(n, df) for n, df in tables.read_landed(spark, out).items()])
-
-
-def _flat(name: str, df: DataFrame) -> DataFrame:
-    """A raw table in columns common to all of them."""
-    values = [F.col(c) for c, kind in df.dtypes if kind == "double"]
-    values += [F.lit(None).cast("double")] * (3 - len(values))
-    run = F.col("run_date") if "run_date" in df.columns else F.lit(None).cast("date")
-    return df.select(
-        F.lit(name).alias("table_name"), run.alias("run_date"), "grid_id",
-        F.col("ts" if "ts" in df.columns else "date").cast("timestamp_ntz").alias("clock"),
-        *[v.alias(n) for v, n in zip(values, ("first_value", "second_value", "third_value"), strict=True)], "fetched_at",
-    )
+    out = folder(spark, sf_dir, "landed")
+    tables.land(models(spark, sf_dir, *schemas.RAW), out)
+    return flat(tables.read_landed(spark, out))
 
 
 @query(over("dashboard", query="SELECT * FROM dashboard"))
 def published_dashboard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dashboard extract, published as CSV and read back from the current version."""
-    out = _folder(spark, sf_dir, "published")
+    out = folder(spark, sf_dir, "published")
     dashboard = model(spark, sf_dir, "mart_dashboard")
     _, columns, order = extracts.EXTRACTS["dashboard"]
     publish.publish(
