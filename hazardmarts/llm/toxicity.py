@@ -3,7 +3,7 @@
 Two words are compared by their common character subsequences of three, with up to two other
 characters between; each gap costs a factor ``DECAY``. So a word with inserted characters still resembles the
 plain one. The normalised kernel is raised to a power, which leaves a sum over the words of two sentences a
-kernel. Landmarks are words of the labelled sample: those with the highest log odds of toxic documents,
+kernel. Landmarks are words of the labelled sample: those that stand for most words of toxic documents only,
 the clean words that resemble these most, and frequent clean words. Sentences are mapped by the Nyström
 method, a linear SVM with squared hinge loss is fitted, and its weights are folded back into one value per
 word. As labels belong to documents, the most suspicious sentence stands for its document; it is chosen
@@ -35,7 +35,9 @@ from hazardmarts.llm.common import stored, text_of
 
 # Bound of the labelled documents of each label that the classifier is fitted on, chosen by hash of the id.
 MAX_LABELLED = 3000
-TOXIC_LANDMARKS, NEAR_LANDMARKS, FREQUENT_LANDMARKS = 96, 24, 8
+TOXIC_LANDMARKS, NEAR_LANDMARKS, FREQUENT_LANDMARKS = 128, 32, 8
+# Bounds of the words that landmarks are chosen from.
+CANDIDATES, CLEAN_WORDS = 2000, 20_000
 DECAY, POWER = 0.5, 3
 SPACE_BITS = 14
 # Places of the second and third character after the first, and the characters skipped.
@@ -270,21 +272,39 @@ def word_counts(sample: DataFrame) -> DataFrame:
 
 
 def choose_landmarks(counts: DataFrame, n_pos: int, n_neg: int) -> tuple[list[str], list[str]]:
-    """Toxic and clean landmark words; a fixed number of rows is collected."""
+    """Toxic and clean landmark words; a fixed number of rows is collected.
+
+    Candidates are the words with the most certain log odds of toxic documents. Their counts are smoothed by
+    the kernel, over candidates and clean words alike, as forms of one insult support each other while words that
+    only share a copied text resemble clean ones. Of what is left, words are taken in turn that
+    cover most toxic occurrences not yet covered by a similar one.
+    """
     rate_pos = (F.col("pos") + 0.5) / (n_pos + 1.0)
     rate_neg = (F.col("neg") + 0.5) / (n_neg + 1.0)
     odds = F.log(rate_pos / rate_neg)
     spread = F.sqrt(1 / (F.col("pos") + 0.5) + 1 / (F.col("neg") + 0.5))
-    found = counts.where((F.col("pos") >= 2) & (odds > 1)).orderBy(F.desc(odds / spread), "word").limit(TOXIC_LANDMARKS)
-    toxic = [r["word"] for r in found.collect()]
-    clean = counts.where((F.col("neg") >= 2) & (odds < 0.3)).orderBy(F.desc("neg"), "word").limit(4000)
-    words = [r["word"] for r in clean.collect()]
-    if not toxic:
-        return [], words[:FREQUENT_LANDMARKS]
-    near = Landmarks(toxic).kernel(words).max(axis=1) if words else np.zeros(0)
-    order = np.argsort(-near, kind="stable")[:NEAR_LANDMARKS]
-    chosen = dict.fromkeys([words[i] for i in order] + words[:FREQUENT_LANDMARKS])
-    return toxic, list(chosen)
+    found = counts.where((F.col("pos") >= 2) & (odds > 1)).orderBy(F.desc(odds / spread), "word").limit(CANDIDATES).collect()
+    clean = counts.where((F.col("neg") >= 1) & (odds < 0.3)).orderBy(F.desc("neg"), "word").limit(CLEAN_WORDS).collect()
+    frequent = [r["word"] for r in clean[:FREQUENT_LANDMARKS]]
+    if not found:
+        return [], frequent
+    words, other = [r["word"] for r in found], [r["word"] for r in clean]
+    basis = Landmarks(words)
+    alike, near = basis.kernel(words), basis.kernel(other)
+    pos, neg = (np.array([r[c] for r in found], dtype=np.float64) for c in ("pos", "neg"))
+    toxic_mass = (alike.T @ pos + 1) / (n_pos + 1)
+    clean_mass = (alike.T @ neg + near.T @ np.array([r["neg"] for r in clean], dtype=np.float64) + 1) / (n_neg + 1)
+    sure = np.flatnonzero(toxic_mass > clean_mass)
+    left, chosen = np.ones(len(sure)), []
+    for _ in range(min(TOXIC_LANDMARKS, len(sure))):
+        gain = (np.maximum(alike[np.ix_(sure, sure)] - (1 - left)[:, None], 0) * pos[sure][:, None]).sum(axis=0)
+        best = int(gain.argmax())
+        if gain[best] <= 0:
+            break
+        chosen.append(int(sure[best]))
+        left = np.minimum(left, 1 - alike[sure, sure[best]])
+    order = np.argsort(-near[:, chosen].max(axis=1), kind="stable")[:NEAR_LANDMARKS] if chosen and other else []
+    return [words[i] for i in chosen], list(dict.fromkeys([other[i] for i in order] + frequent))
 
 
 def spoilt(words: list[str]) -> list[str]:
