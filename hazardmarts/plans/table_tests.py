@@ -22,6 +22,7 @@ class ModelTests:
     """Tests declared for one model."""
 
     unique: str | None = None
+    key: tuple[str, ...] = ()  # typed columns that a text key is built of; rows are grouped by them
     not_null: tuple[str, ...] = ()
     accepted_values: tuple[tuple[str, tuple[str, ...]], ...] = ()
     accepted_range: tuple[tuple[str, float | None, float | None], ...] = ()
@@ -30,21 +31,28 @@ class ModelTests:
 
 def declared(params: Params = Params()) -> dict[str, ModelTests]:
     levels = tuple(params.levels)
-    keyed = {"unique": "row_key", "not_null": ("row_key",)}
+
+    def keyed(*key: str) -> dict:
+        return {"unique": "row_key", "key": key, "not_null": ("row_key",)}
+
     return {
         "dim_barangay": ModelTests(
             unique="pcode", not_null=("pcode", "grid_id"), accepted_range=(("score", 0.0, 100.0),)
         ),
         "stg_forecast_daily": ModelTests(
-            **keyed, accepted_range=(("precipitation_sum", 0.0, params.max_daily_mm),)
+            **keyed("run_date", "grid_id", "date"), accepted_range=(("precipitation_sum", 0.0, params.max_daily_mm),)
         ),
         "stg_forecast_hourly": ModelTests(
-            **keyed, accepted_range=(("precipitation", 0.0, params.max_hourly_mm),)
+            **keyed("run_date", "grid_id", "ts"), accepted_range=(("precipitation", 0.0, params.max_hourly_mm),)
+        ),
+        "stg_flood_daily": ModelTests(
+            **keyed("run_date", "grid_id", "date"), accepted_range=(("river_discharge", 0.0, None),)
+        ),
+        "stg_archive_daily": ModelTests(
+            unique="row_key", key=("grid_id", "date"), not_null=("row_key", "precipitation_sum")
         ),
-        "stg_flood_daily": ModelTests(**keyed, accepted_range=(("river_discharge", 0.0, None),)),
-        "stg_archive_daily": ModelTests(unique="row_key", not_null=("row_key", "precipitation_sum")),
         "fct_rain_barangay_daily": ModelTests(
-            **keyed,
+            **keyed("pcode", "date"),
             relationships=(("pcode", "dim_barangay", "pcode"),),
             accepted_values=(("source", ("observed", "forecast")),),
             accepted_range=(("rain_3d_mm", 0.0, None),),
@@ -110,13 +118,14 @@ def _counts(fails: list[tuple[str, str, Column]]) -> list[Column]:
 
 def _one_pass(model: str, df: DataFrame, tests: ModelTests) -> DataFrame:
     """Row-level tests as conditional counts; with a unique column they are first counted per key,
-    so one aggregation on the key serves them all."""
+    so one aggregation on the key serves them all. A text key is unique if the columns it is built of are."""
     fails = _row_tests(tests)
     outcomes = {(test, c): F.count_if(failing) for test, c, failing in fails}
     if key := tests.unique:
-        df = df.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"), *_counts(fails))
+        group = tests.key or (key,)
+        df = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"), *_counts(fails))
         outcomes = {(test, c): F.sum(f"_f{i}") for i, (test, c, _) in enumerate(fails)}
-        outcomes["unique", key] = F.count_if((F.col("_rows") > 1) & F.col(key).isNotNull())
+        outcomes["unique", key] = F.count_if((F.col("_rows") > 1) & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group]))
     return _rows(model, df, outcomes)
 
 
