@@ -6,7 +6,8 @@ bands are chosen for a target recall at that threshold. The steps:
 1. Every row gets the identity of its n-gram set (a 128-bit hash) and its band hashes. Rows with
    equal sets are one *set* from here on, with the number of its copies; copies are never paired.
 2. Sets are dealt by band hash. Bands with one set are dropped after a count with map-side aggregation.
-   A bucket of many sets is cut into tiles of ``TILE`` x ``TILE`` sets, spread over tasks.
+   A bucket of many sets, or of large ones, is cut into tiles of at most about ``TILE`` x ``TILE`` sets and
+   ``TILE_GRAMS`` n-grams, spread over tasks.
 3. Within a tile, the pairs that agree in this band and in none before it are this tile's. Only sets
    with such a pair travel on, with their full n-gram sets, to be compared exactly.
 4. A tile returns one row per set: the sum of copies it links to, and one edge to the root of its part of
@@ -36,6 +37,7 @@ from hazardmarts.llm.arrays import WordIds, mix64, rolling, runs
 from hazardmarts.llm.common import stored, text_of
 
 TILE = 256
+TILE_GRAMS = 4 << 20
 MAX_HASHES = 64
 
 
@@ -137,9 +139,9 @@ def gram_sets(texts: DataFrame, n: int) -> DataFrame:
 
 def tiles(sets: DataFrame, tile: int) -> DataFrame:
     """(key, ta, tb, chunk, band, set_id) for every bucket of two or more sets, cut into tiles."""
-    dealt = sets.select("set_id", F.posexplode("bands").alias("band", "key"))
-    shared = dealt.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("n")).where("n > 1")
-    cut = F.ceil(F.col("n") / tile).cast("int")
+    dealt = sets.select("set_id", "size", F.posexplode("bands").alias("band", "key"))
+    shared = dealt.groupBy(F.col("key").alias("k")).agg(F.count("*").alias("n"), F.sum("size").alias("grams")).where("n > 1")
+    cut = F.least("n", F.greatest(F.ceil(F.col("n") / tile), F.ceil(F.col("grams") / TILE_GRAMS))).cast("int")
     placed = dealt.join(shared, F.col("key") == F.col("k")).select(
         "set_id", "band", "key", cut.alias("cuts"), F.pmod(F.xxhash64("set_id"), cut).cast("int").alias("chunk")
     )
@@ -317,7 +319,7 @@ def link_classes(
     sets = stored(
         marks.where("size > 0").groupBy("set_id").agg(
             F.min(F.struct("text_id", "doc_id")).alias("rep"), F.min("doc_id").alias("least_id"),
-            F.count("*").alias("copies"), F.first("bands").alias("bands"),
+            F.count("*").alias("copies"), F.first("size").alias("size"), F.first("bands").alias("bands"),
         ),
         "sets",
     )
