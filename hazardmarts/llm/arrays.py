@@ -6,23 +6,6 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
-
-
-class WordIds(dict):
-    """64-bit hash per word, computed once per word while the cache holds; its size is bounded."""
-
-    limit = 300_000
-
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(self) >= self.limit:
-            self.clear()
-        self[word] = value
-        return value
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), dtype=np.uint64, count=len(words))
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -50,6 +33,9 @@ def rolling(ids: np.ndarray, n: int) -> np.ndarray:
 _BASE = 0x2545F4914F6CDD1D
 _INVERSE = pow(_BASE, -1, 1 << 64)
 PART_BYTES = 1 << 20
+# ASCII capitals to lower case, and ASCII white space.
+LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
+SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -106,6 +92,12 @@ class WordHashes:
             yield int(low), int(high - low), *self.of(texts.slice(low, high - low))
 
 
+    def each(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """The hashes of the words of every text, one array per text."""
+        for _, count, values, number in self.parts(texts):
+            yield from np.split(values, np.searchsorted(number, np.arange(1, count)))
+
+
 def runs(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Tables of the rows of one key each, from batches sorted by the keys. A run may cross batches;
     only one run is held beside the batch."""

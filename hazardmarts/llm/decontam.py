@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hazardmarts.llm.arrays import WordHashes, rolling
+from hazardmarts.llm.arrays import LOWER, WordHashes, rolling
 from hazardmarts.llm.common import text_of
 
 SEED, STRIDE = 4, 3
@@ -37,7 +37,6 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 
 # ASCII but letters and digits lies between words.
 _APART = np.array([b < 128 and not (chr(b).isalnum()) for b in range(256)])
-_FOLD = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 # Size of the table that tells most n-grams of the corpus from those of the items, as a power of two.
 TABLE_BITS = 20
 
@@ -83,7 +82,7 @@ class Items:
 
     def __init__(self, rows: list[tuple[int | None, bytes]]) -> None:
         with np.errstate(over="ignore"):
-            hashes, number = WordHashes(_FOLD, _APART).of(pa.array([r[1] for r in rows], pa.binary()))
+            hashes, number = WordHashes(LOWER, _APART).of(pa.array([r[1] for r in rows], pa.binary()))
             self.ids = [r[0] for r in rows]
             self.words = np.split(hashes, np.searchsorted(number, np.arange(1, len(rows)))) if rows else []
             self.grams = [rolling(w, SEED) for w in self.words]
@@ -140,7 +139,7 @@ def gram_counts(docs: DataFrame, items: Items) -> np.ndarray:
     schema = pa.schema([("gram", pa.int64()), ("n", pa.int64())])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found, hashes = shared.value, WordHashes(_FOLD, _APART)
+        found, hashes = shared.value, WordHashes(LOWER, _APART)
         total = np.zeros(len(found.known), dtype=np.int64)
         with np.errstate(over="ignore"):
             for batch in batches:
@@ -216,7 +215,7 @@ def contaminated(
 
 def _finder(shared, threshold: float):
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (known, seeds), hashes = shared.value, WordHashes(_FOLD, _APART)
+        (known, seeds), hashes = shared.value, WordHashes(LOWER, _APART)
         held: list[tuple] = []
         with np.errstate(over="ignore"):
             for batch in batches:
@@ -233,7 +232,7 @@ def _finder(shared, threshold: float):
 
 def _cleaner(shared, threshold: float):
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (known, seeds), hashes = shared.value, WordHashes(_FOLD, _APART)
+        (known, seeds), hashes = shared.value, WordHashes(LOWER, _APART)
         with np.errstate(over="ignore"):
             for batch in batches:
                 good = np.ones(batch.num_rows, dtype=bool)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hazardmarts.llm.arrays import WordIds, mix64, rolling, runs
+from hazardmarts.llm.arrays import LOWER, SPACE, WordHashes, mix64, rolling, runs
 from hazardmarts.llm.common import stored, text_of
 
 TILE = 256
@@ -67,9 +67,9 @@ def choose_banding(threshold: float, recall: float, max_hashes: int = MAX_HASHES
     return best
 
 
-def shingles(words: WordIds, text: bytes, n: int) -> np.ndarray:
-    """The sorted distinct hashes of the n-grams of a text."""
-    return np.unique(rolling(words.of(text.lower().split()), n))
+def shingles(hashes: WordHashes, texts: pa.Array, n: int) -> Iterator[np.ndarray]:
+    """The sorted distinct hashes of the n-grams of each text."""
+    return (np.unique(rolling(words, n)) for words in hashes.each(texts))
 
 
 class Signer:
@@ -104,12 +104,11 @@ def signed(docs: DataFrame, n: int, banding: Banding) -> DataFrame:
     """Set identity and band hashes of every row of (doc_id, text_id, text)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, signer = WordIds(), Signer(banding)
+        hashes, signer = WordHashes(LOWER, SPACE), Signer(banding)
         with np.errstate(over="ignore"):
             for batch in batches:
                 ids, sizes, bands = [], [], []
-                for text in batch.column("text"):
-                    grams = shingles(words, text.as_buffer().to_pybytes(), n)
+                for grams in shingles(hashes, batch.column("text"), n):
                     sizes.append(len(grams))
                     ids.append(hashlib.blake2b(grams.tobytes(), digest_size=16).digest() if len(grams) else None)
                     bands.append(signer.bands(grams) if len(grams) else None)
@@ -126,12 +125,12 @@ def gram_sets(texts: DataFrame, n: int) -> DataFrame:
     schema = pa.schema([("set_id", pa.binary()), ("grams", pa.binary())])
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds()
+        hashes = WordHashes(LOWER, SPACE)
         with np.errstate(over="ignore"):
             for batch in batches:
                 for at in range(0, batch.num_rows, 256):
                     part = batch.slice(at, 256)
-                    grams = [shingles(words, t.as_buffer().to_pybytes(), n).tobytes() for t in part.column("text")]
+                    grams = [g.tobytes() for g in shingles(hashes, part.column("text"), n)]
                     yield pa.RecordBatch.from_arrays([part.column("set_id"), pa.array(grams, pa.binary())], schema=schema)
 
     return texts.select("set_id", F.col("text").cast("binary").alias("text")).mapInArrow(build, "set_id binary, grams binary")

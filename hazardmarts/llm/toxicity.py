@@ -37,7 +37,7 @@ from hazardmarts.llm.common import stored, text_of
 MAX_LABELLED = 3000
 TOXIC_LANDMARKS, NEAR_LANDMARKS, FREQUENT_LANDMARKS = 128, 32, 8
 # Bounds of the words that landmarks are chosen from.
-CANDIDATES, CLEAN_WORDS = 2000, 20_000
+CANDIDATES, CLEAN_WORDS = 1000, 10_000
 DECAY, POWER = 0.5, 3
 SPACE_BITS = 14
 # Places of the second and third character after the first, and the characters skipped.
@@ -114,9 +114,10 @@ class Landmarks:
     def kernel(self, words: list[str]) -> np.ndarray:
         """One row per word: its kernel with each landmark."""
         out = np.zeros((len(words), len(self.words)), dtype=np.float32)
-        for at in range(0, len(words), CHUNK):
-            part = out[at : at + CHUNK]
-            owner, feature, weight = embedded(words[at : at + CHUNK])
+        step = max(64, min(CHUNK, (1 << 18) // max(len(self.words), 1)))
+        for at in range(0, len(words), step):
+            part = out[at : at + step]
+            owner, feature, weight = embedded(words[at : at + step])
             first = self.first[feature]
             count = self.first[feature + 1] - first
             # One entry for each feature of a word and each landmark that has it.
@@ -124,7 +125,8 @@ class Landmarks:
             cell = np.repeat(owner * part.shape[1], count) + self.landmark[entry]
             value = np.repeat(weight, count) * self.weight[entry]
             part += np.bincount(cell, weights=value, minlength=part.size).reshape(part.shape)
-        return np.minimum(out, 1.0) ** POWER
+        np.minimum(out, 1.0, out=out)
+        return np.power(out, POWER, out=out)
 
     def whitening(self) -> np.ndarray:
         """The inverse square root of the landmarks' own kernel."""
@@ -151,7 +153,7 @@ class Model:
 class Tokens(dict):
     """A number per raw token, with its plain form; new ones are valued together."""
 
-    limit = 400_000
+    limit = 150_000
 
     def __init__(self, value) -> None:
         super().__init__()
@@ -290,10 +292,14 @@ def choose_landmarks(counts: DataFrame, n_pos: int, n_neg: int) -> tuple[list[st
         return [], frequent
     words, other = [r["word"] for r in found], [r["word"] for r in clean]
     basis = Landmarks(words)
-    alike, near = basis.kernel(words), basis.kernel(other)
+    alike = basis.kernel(words)
     pos, neg = (np.array([r[c] for r in found], dtype=np.float64) for c in ("pos", "neg"))
     toxic_mass = (alike.T @ pos + 1) / (n_pos + 1)
-    clean_mass = (alike.T @ neg + near.T @ np.array([r["neg"] for r in clean], dtype=np.float64) + 1) / (n_neg + 1)
+    clean_mass = alike.T @ neg + 1
+    for at in range(0, len(clean), 500):  # in parts, since the whole table of kernels is not needed at once
+        part = clean[at : at + 500]
+        clean_mass += basis.kernel([r["word"] for r in part]).T @ np.array([r["neg"] for r in part], dtype=np.float64)
+    clean_mass /= n_neg + 1
     sure = np.flatnonzero(toxic_mass > clean_mass)
     left, chosen = np.ones(len(sure)), []
     for _ in range(min(TOXIC_LANDMARKS, len(sure))):
@@ -303,8 +309,10 @@ def choose_landmarks(counts: DataFrame, n_pos: int, n_neg: int) -> tuple[list[st
             break
         chosen.append(int(sure[best]))
         left = np.minimum(left, 1 - alike[sure, sure[best]])
-    order = np.argsort(-near[:, chosen].max(axis=1), kind="stable")[:NEAR_LANDMARKS] if chosen and other else []
-    return [words[i] for i in chosen], list(dict.fromkeys([other[i] for i in order] + frequent))
+    toxic = [words[i] for i in chosen]
+    near = Landmarks(toxic).kernel(other).max(axis=1) if toxic and other else np.zeros(0)
+    order = np.argsort(-near, kind="stable")[:NEAR_LANDMARKS]
+    return toxic, list(dict.fromkeys([other[i] for i in order] + frequent))
 
 
 def spoilt(words: list[str]) -> list[str]:
