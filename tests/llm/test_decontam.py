@@ -109,3 +109,33 @@ def test_query_finds_every_whole_item(spark):
     got = {(r.doc_id, r.item_id): r.score for r in queries.op5_benchmark_decontamination(spark, sf).collect()}
     assert whole and whole <= got.keys()
     assert all(got[p] == 1.0 for p in whole)
+
+
+def every_nth_replaced(words, n):
+    return [f"other{i}" if i % n == n - 1 else w for i, w in enumerate(words)]
+
+
+def check_against_full_alignment(spark, docs, items):
+    """The very pairs that a full alignment finds, and their scores."""
+    found = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    got = {(r.doc_id, r.item_id): r.score for r in found.collect()}
+    want = {}
+    for d, text in docs:
+        for k, item in items:
+            share = plain_align(item.split(), text.split()) / (decontam.MATCH * len(item.split()))
+            if share >= decontam.THRESHOLD:
+                want[d, k] = share
+    assert want and got.keys() == want.keys()
+    assert all(abs(got[p] - want[p]) < 1e-9 for p in want)
+    return want
+
+
+def test_regularly_edited_copies_are_found_beside_clean_ones_and_alone(spark):
+    draw = random.Random(11)
+    items = [[f"w{draw.randrange(5000)}" for _ in range(n)] for n in (16, 24, 37, 48, 59)]
+    for clean in (0, 3):
+        docs = [(n, " ".join(every_nth_replaced(items[k], n // 10))) for k in range(5) for n in (50 + k, 60 + k)]
+        docs = [(i, "before " * 30 + t + " after" * 30) for i, t in docs]
+        docs += [(1000 + 10 * c + k, " ".join(w)) for c in range(clean) for k, w in enumerate(items)]
+        want = check_against_full_alignment(spark, docs, [(k, " ".join(w)) for k, w in enumerate(items)])
+        assert {(n + k, k) for k in range(5) for n in (50, 60)} <= want.keys()
