@@ -139,3 +139,27 @@ def test_regularly_edited_copies_are_found_beside_clean_ones_and_alone(spark):
         docs += [(1000 + 10 * c + k, " ".join(w)) for c in range(clean) for k, w in enumerate(items)]
         want = check_against_full_alignment(spark, docs, [(k, " ".join(w)) for k, w in enumerate(items)])
         assert {(n + k, k) for k in range(5) for n in (50, 60)} <= want.keys()
+
+
+def test_random_edits_are_found_down_to_the_threshold(spark):
+    """A tenth to almost a third of the words edited, and every 4th or 3rd replaced: no common 4-gram, or 3-gram."""
+    draw = random.Random(17)
+    items = [[f"w{draw.randrange(5000)}" for _ in range(n)] for n in (4, 5, 16, 23, 32, 41, 50, 59)]
+    copies = [spoiled(w, draw, share) for share in (0.1, 0.15, 0.2, 0.25, 0.3, 0.45, 0.6) for w in items for _ in range(3)]
+    regular = [every_nth_replaced(w, n) for w in items for n in (4, 3)]
+    # The lowest scores: a word put in after every two words, or every word.
+    regular += [[x for i, v in enumerate(w) for x in ([v, "put", "in"][: 1 + (i % n == n - 1)])] for w in items for n in (1, 2)]
+    docs = [(i, " ".join(["before"] * 9 + w + ["after"] * 9)) for i, w in enumerate(copies + regular)]
+    want = check_against_full_alignment(spark, docs, [(k, " ".join(w)) for k, w in enumerate(items)])
+    at_every = {(len(copies) + 2 * k + n, k) for k in range(8) for n in (0, 1) if len(items[k]) % 3 == 2}
+    assert at_every <= want.keys() and min(want.values()) < 0.52
+
+
+def test_pairs_shared_by_many_items_lose_nothing(spark, monkeypatch):
+    monkeypatch.setattr(decontam, "SHARED", 2)
+    monkeypatch.setattr(decontam, "HELD", 50)
+    draw = random.Random(23)
+    common = [f"c{i}" for i in range(20)]
+    items = [common[: draw.randrange(8, 20)] + [f"w{draw.randrange(500)}" for _ in range(12)] for _ in range(8)]
+    docs = [(i, " ".join(spoiled(items[i % 8], draw, 0.3) + ["then"] + spoiled(items[i % 5], draw, 0.1))) for i in range(24)]
+    check_against_full_alignment(spark, docs, [(k, " ".join(w)) for k, w in enumerate(items)])
