@@ -163,3 +163,10 @@ def test_pairs_shared_by_many_items_lose_nothing(spark, monkeypatch):
     items = [common[: draw.randrange(8, 20)] + [f"w{draw.randrange(500)}" for _ in range(12)] for _ in range(8)]
     docs = [(i, " ".join(spoiled(items[i % 8], draw, 0.3) + ["then"] + spoiled(items[i % 5], draw, 0.1))) for i in range(24)]
     check_against_full_alignment(spark, docs, [(k, " ".join(w)) for k, w in enumerate(items)])
+
+
+def test_a_long_insertion_does_not_split_an_item(spark):
+    item = [f"p{i}" for i in range(40)]
+    copy = [*item[:10], "x", *item[11:20], *[f"put{i}" for i in range(30)], *item[20:30], "y", *item[31:]]
+    [score] = check_against_full_alignment(spark, [(1, " ".join(copy))], [(7, " ".join(item))]).values()
+    assert 0.5 <= score < 0.6
