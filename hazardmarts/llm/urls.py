@@ -30,8 +30,6 @@ from hazardmarts.llm.common import let, stored, text_of
 
 # Bound of the labelled urls that the trees are fitted on; beyond it, they are a sample by hash.
 MAX_LABELLED = 50_000
-# Bound of the suffixes with statistics of their own, the most frequent ones; others get the overall rate.
-MAX_SUFFIXES = 256
 SMOOTHING = 20.0
 TREES, DEPTH, STEP = 12, 4, 0.3
 FEATURES = (
@@ -90,8 +88,12 @@ def suffix_of(host: Column) -> Column:
     return F.substring_index(host, ".", -1)
 
 
-def features(urls: DataFrame, url: str, suffix_rate: Column) -> DataFrame:
-    """The columns of ``FEATURES`` beside ``host`` and ``path``; none of them is null."""
+def features(urls: DataFrame, url: str, rates: DataFrame, prior: float) -> DataFrame:
+    """The columns of ``FEATURES`` beside ``host`` and ``path``; none of them is null. Suffixes without
+    labelled urls get the overall rate."""
+    # Names of features are free, since the input's columns do not have them.
+    right = rates.select(F.col("s").alias("f_labels"), F.col("rate").alias("f_suffix"))
+    urls = urls.join(right, suffix_of(F.col("host")) == F.col("f_labels"), "left")
     full, host, path = text_of(url), F.col("host"), F.col("path")
     size = F.greatest(F.length(full), F.lit(1))
     rest = F.regexp_extract(full, "(?s)^[^?]*\\?([^#]*)", 1)
@@ -109,31 +111,19 @@ def features(urls: DataFrame, url: str, suffix_rate: Column) -> DataFrame:
         "f_host_entropy": entropy(host),
         "f_fragment": F.contains(full, F.lit("#")).cast("double"),
         "f_extension": F.length(F.regexp_extract(path, "\\.([A-Za-z0-9]{1,5})$", 1)).cast("double"),
-        "f_suffix": suffix_rate,
+        "f_suffix": F.coalesce("f_suffix", F.lit(prior)),
     }
     return urls.withColumns({name: columns[name] for name in FEATURES})
 
 
-def suffix_rates(labelled: DataFrame) -> tuple[dict[str, float], float]:
-    """Smoothed share of blocked urls for the most frequent suffixes, and overall. The counts cover all
-    labelled urls; at most ``MAX_SUFFIXES`` rows are collected."""
+def suffix_rates(labelled: DataFrame) -> tuple[DataFrame, float]:
+    """Smoothed share of blocked urls for every suffix, as rows (s, rate), and overall. The counts cover all
+    labelled urls."""
     total = labelled.agg(F.avg("label").alias("rate")).first()["rate"]
     prior = 0.5 if total is None else float(total)
-    rows = (
-        labelled.groupBy(suffix_of(F.col("host")).alias("s"))
-        .agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
-        .orderBy(F.desc("n"), "s")
-        .limit(MAX_SUFFIXES)
-        .collect()
-    )
-    return {r["s"]: (r["bad"] + SMOOTHING * prior) / (r["n"] + SMOOTHING) for r in rows}, prior
-
-
-def _rate_column(rates: dict[str, float], prior: float) -> Column:
-    if not rates:
-        return F.lit(prior)
-    known = F.create_map(*[F.lit(x) for pair in sorted(rates.items()) for x in pair])
-    return F.coalesce(F.try_element_at(known, suffix_of(F.col("host"))), F.lit(prior))
+    counts = labelled.groupBy(suffix_of(F.col("host")).alias("s")).agg(F.count("*").alias("n"), F.sum("label").alias("bad"))
+    rate = (F.col("bad") + F.lit(SMOOTHING * prior)) / (F.col("n") + F.lit(SMOOTHING))
+    return stored(counts.select("s", rate.alias("rate")), "url-suffixes"), prior
 
 
 def classify(urls: DataFrame, rules: Sequence[Rule], url: str = "url") -> DataFrame:
@@ -156,18 +146,18 @@ def classify(urls: DataFrame, rules: Sequence[Rule], url: str = "url") -> DataFr
         scored = ruled.withColumn("block_score", F.lit(constant))
     else:
         rates, prior = suffix_rates(labelled)
-        rate = _rate_column(rates, prior)
         share = min(1.0, MAX_LABELLED / sum(counts.values()))
         chosen = labelled.where(F.pmod(F.xxhash64(url), F.lit(1 << 20)) < int(share * (1 << 20)) + 1)
         vector = VectorAssembler(inputCols=list(FEATURES), outputCol="f_vector")
-        train = vector.transform(features(chosen, url, rate)).select("f_vector", "label")
+        train = vector.transform(features(chosen, url, rates, prior).orderBy(*FEATURES, "label"))
+        train = train.select("f_vector", "label")
         trees = GBTClassifier(
             featuresCol="f_vector", labelCol="label", predictionCol="f_predicted", maxIter=TREES, maxDepth=DEPTH,
             stepSize=STEP, seed=1,
         )
         trees = trees.setRawPredictionCol("f_raw").setProbabilityCol("f_probability")
         fitted = trees.fit(stored(train, "url-training"))
-        judged = fitted.transform(vector.transform(features(ruled, url, rate)))
+        judged = fitted.transform(vector.transform(features(ruled, url, rates, prior)))
         scored = judged.withColumn("block_score", vector_to_array("f_probability")[1])
     learned = F.when(F.col("block_score") >= 0.5, "block").otherwise("allow")
     verdict = F.when(F.col("rule").isNotNull(), by_rule).otherwise(learned)

@@ -65,3 +65,14 @@ def test_without_labels_of_both_kinds(spark):
     assert {r.verdict for r in urls.classify(df, [urls.Rule("block", "nowhere")]).collect()} == {"allow"}
     assert {r.verdict for r in urls.classify(df, [urls.Rule("block", "net")]).collect()} == {"block"}
     assert urls.classify(df.limit(0), RULES).count() == 0
+
+
+def test_every_suffix_has_its_own_rate(spark):
+    rows = [(f"http://h.s{k}/a", float(k % 2)) for k in range(400) for _ in range(30 if k < 300 else 20)]
+    labelled = spark.createDataFrame(rows, "url string, label double").withColumn("host", urls.host_of(F.col("url"))).withColumn("path", F.lit("/a"))
+    rates, prior = urls.suffix_rates(labelled)
+    seen = labelled.unionByName(labelled.limit(1).withColumn("host", F.lit("h.other")))
+    got = {r.host: r.f_suffix for r in urls.features(seen, "url", rates, prior).select("host", "f_suffix").collect()}
+    assert len(got) == 401 and got["h.other"] == prior == 0.5
+    n = lambda k: 30 if k < 300 else 20
+    assert all(abs(got[f"h.s{k}"] - (n(k) * (k % 2) + 10) / (n(k) + 20)) < 1e-12 for k in range(400))
