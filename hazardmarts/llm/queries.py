@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardmarts.llm import chat, decontam, jaccard, licenses, lm, mixing, oracles, quality, toxicity, urls, warc
+from hazardmarts.llm import (
+    chat, decontam, filter_audit, jaccard, licenses, lm, mixing, oracles, piece_bpe, quality, toxicity, urls, variants, warc,
+)
 from hazardmarts.llm.common import fold, shared_path, table
 
 URL_RULES = (
@@ -103,12 +106,32 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"), MIX_WEIGHTS, MIX_REST)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(table(spark, sf_dir, "documents"))
+
+
+def op13_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_bpe.read_model(public_tokenizers.path("piece_bpe_32k.model"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    told = piece_bpe.decode(piece_bpe.encode(docs, model).drop("text"), model)
+    return told.select(
+        "doc_id",
+        F.size("piece_ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("piece_ids", ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_maxent_score, op2_toxicity_svm, op3_quality_cascade, op4_chat_prefix_targets,
         op5_benchmark_decontamination, op6_license_scan, op7_url_filter, op8_ngram_jaccard, op9_warc_archives,
-        op10_mix_sources,
+        op10_mix_sources, op11_filter_audit, op12_spelling_variants, op13_piece_bpe,
     )
 }
 
@@ -120,4 +143,6 @@ SQL: dict[str, str] = {
     "op6_license_scan": oracles.licences(),
     "op9_warc_archives": oracles.WARC,
     "op10_mix_sources": oracles.mixing(MIX_WEIGHTS, MIX_REST),
+    "op11_filter_audit": oracles.AUDIT,
+    "op12_spelling_variants": oracles.VARIANTS,
 }
