@@ -55,8 +55,13 @@ def until_run(df: DataFrame, run: str = "run_date", as_of: dt.date | None = None
 
 def fetched_by(df: DataFrame, run_date: dt.date, utc_offset_hours: int, fetched: str = "fetched_at") -> DataFrame:
     """Rows fetched up to the end of a local day; fetch times are naive UTC."""
+    return df.filter(F.col(fetched) < fetch_limit(run_date, utc_offset_hours))
+
+
+def fetch_limit(run_date: dt.date, utc_offset_hours: int) -> Column:
+    """The end of a local day as a naive UTC time."""
     end = dt.datetime.combine(run_date + dt.timedelta(days=1), dt.time()) - dt.timedelta(hours=utc_offset_hours)
-    return df.filter(F.col(fetched) < F.lit(end).cast("timestamp_ntz"))
+    return F.lit(end).cast("timestamp_ntz")
 
 
 def in_run(df: DataFrame, run_date: Column, run: str = "run_date") -> DataFrame:

@@ -128,7 +128,11 @@ def mart_dashboard(
         )
     )
     shown = look_back(rolled, "date", int_latest_run, params.lookback_days)
-    facts = fct_rain_barangay_daily(shown, dim_barangay, int_warnings_daily, params)
+    return shown_facts(fct_rain_barangay_daily(shown, dim_barangay, int_warnings_daily, params), int_latest_run)
+
+
+def shown_facts(facts: DataFrame, int_latest_run: DataFrame) -> DataFrame:
+    """The dashboard's columns of the facts it shows."""
     return facts.withColumn("run_date", int_latest_run.scalar()).select(*schemas.DASHBOARD_COLUMNS)
 
 
@@ -143,20 +147,31 @@ def fct_river_grid_daily(
     return days.join(served, "grid_id").select(*schemas.RIVER_COLUMNS)
 
 
+def month_totals(stg_archive_daily: DataFrame) -> DataFrame:
+    """Per calendar month the total of the spatial mean and the days it covers."""
+    daily = spatial_mean(stg_archive_daily, "date", "precipitation_sum", "rain_mm")
+    return monthly_totals(daily, "date", "rain_mm", "total_mm")
+
+
+def month_start() -> Column:
+    return F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))
+
+
 def mart_monthly_normal(stg_archive_daily: DataFrame, params: Params = Params()) -> DataFrame:
     """Monthly totals of the spatial mean beside the base years' normal of the calendar month."""
-    daily = spatial_mean(stg_archive_daily, "date", "precipitation_sum", "rain_mm")
-    monthly = monthly_totals(daily, "date", "rain_mm", "total_mm")
+    return monthly_normals(month_totals(stg_archive_daily), params)
+
+
+def monthly_normals(totals: DataFrame, params: Params = Params()) -> DataFrame:
     compared = with_climatology(
-        monthly, "total_mm", params.normal_years, {"p10_mm": 0.1, "p90_mm": 0.9}, mean="normal_mm"
+        totals, "total_mm", params.normal_years, {"p10_mm": 0.1, "p90_mm": 0.9}, mean="normal_mm"
     )
-    month_start = F.make_date(F.col("year").cast("int"), F.col("month").cast("int"), F.lit(1))
-    last_year = monthly.agg(F.max("year")).scalar()
+    last_year = totals.agg(F.max("year")).scalar()
     return compared.select(
         "year", "month",
-        month_start.alias("month_start"),
+        month_start().alias("month_start"),
         *[round_half_away(F.col(c), 2).alias(c) for c in ("total_mm", "normal_mm", "p10_mm", "p90_mm")],
         (F.col("year") == last_year).alias("is_current_year"),
         "days_covered",
-        (F.col("days_covered") == F.day(F.last_day(month_start))).alias("is_complete"),
+        (F.col("days_covered") == F.day(F.last_day(month_start()))).alias("is_complete"),
     )

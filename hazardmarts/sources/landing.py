@@ -9,10 +9,13 @@ the list is written last, so an interrupted landing is simply repeated.
 from __future__ import annotations
 
 import json
+from collections.abc import Collection
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from hazardmarts import schemas
 from hazardmarts.sources import files, snapshots
 
 MANIFEST = "landed_files.json"
@@ -56,6 +59,21 @@ def land_changes(
     return read_again
 
 
+def landed_units(spark: SparkSession, out_dir: str) -> dict[str, Units]:
+    """The landed units of every table, with the files they came from."""
+    known = files.read_text(spark, f"{out_dir}/{MANIFEST}")
+    return {table: {} for table in _TABLES} | (json.loads(known) if known else {})
+
+
+def read_units(spark: SparkSession, out_dir: str, table: str, units: Collection[str]) -> DataFrame:
+    """Rows of some units of a landed table; the scan opens their directories only."""
+    unit, schema = _TABLES[table][2], schemas.RAW[table]
+    partitioned = schema if unit in schema.fieldNames() else T.StructType([*schema, T.StructField(unit, T.StringType())])
+    rows = spark.read.schema(partitioned).parquet(f"{out_dir}/{table}")
+    chosen = F.col(unit).cast("string").isin(*sorted(units)) if units else F.lit(False)
+    return rows.where(chosen).select(*schema.fieldNames())
+
+
 def _landable(spark: SparkSession, raw_dir: str) -> dict[str, Units]:
     def per_run(kind: str) -> Units:
         units: Units = {}
