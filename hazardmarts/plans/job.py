@@ -13,15 +13,16 @@ from pyspark.sql import functions as F
 
 from hazardmarts.params import Params
 from hazardmarts.plans import gates as gate_plans
+from hazardmarts.plans import incremental
 from hazardmarts.plans.build import build_models
 from hazardmarts.plans.table_tests import run_table_tests
 from hazardmarts.sinks import extracts, publish, runlog
 from hazardmarts.sources import snapshots, tables
-from hazardmarts.sources.landing import land_changes
+from hazardmarts.sources.landing import land_changes, landed_units
 
 LOG = logging.getLogger(__name__)
 
-# Models written as tables; the other staging models stay views over the landed Parquet. The
+# Models that a replay writes as tables; the other staging models stay views over the landed Parquet. The
 # staged archive is written because ranking all its versions is the widest exchange and three
 # readers follow. Writing also cuts lineage: what was written is not recomputed when an
 # executor is lost later on.
@@ -91,9 +92,17 @@ class Job:
             raise Stop("gate_failed", report["report"])
 
     def build(self) -> None:
-        self.models = write_models(
-            self.spark, self.raw, self.dimension, f"{self.work_dir}/models", self.params, self.day
-        )
+        """The newest run brings the kept models up to date by the months it touches. A replay of an older run knows
+        less than they hold; its models are written whole, elsewhere."""
+        landed = f"{self.work_dir}/raw"
+        if self.day.isoformat() >= max(landed_units(self.spark, landed)["forecast_daily"], default=""):
+            self.models, _ = incremental.update_from_landing(
+                self.spark, landed, self.dimension, f"{self.work_dir}/models", self.params, self.day, self.full_reload
+            )
+        else:
+            self.models = write_models(
+                self.spark, self.raw, self.dimension, f"{self.work_dir}/replayed", self.params, self.day
+            )
 
     def test_tables(self) -> None:
         try:

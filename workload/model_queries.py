@@ -11,7 +11,7 @@ from hazardmarts import schemas
 from hazardmarts.functions import round_half_away
 from hazardmarts.operators.checks import duplicates
 from hazardmarts.operators.spatial import active_points, lattice_points, with_nearest_point
-from hazardmarts.plans import gates, table_tests, views
+from hazardmarts.plans import gates, incremental, table_tests, views
 from hazardmarts.plans.build import build_models
 from hazardmarts.plans.dimension import build_dimension
 from hazardmarts.sinks import extracts, publish
@@ -306,6 +306,46 @@ def active_points_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active_points(lattice_points(spark, lattice), with_nearest_point(place, lattice))
 
 
+# --- kept up to date --------------------------------------------------------------------------
+
+
+def _kept(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """All models after three updates: what was known ten days before the newest run, and five days, and then the rest."""
+    sources, root, run = twin.Sources(spark, sf_dir), folder(spark, sf_dir, "kept"), dt.date(2024, 1, 30)
+    known = dt.date(1900, 1, 1)
+    for until in (run - dt.timedelta(days=10), run - dt.timedelta(days=5), dt.date(2100, 1, 1)):
+        batch = {
+            name: sources[name].where((F.to_date(time) > F.lit(known)) & (F.to_date(time) <= F.lit(until)))
+            for name, time in (("archive_daily", "fetched_at"), ("forecast_daily", "run_date"))
+        }
+        raw = {name: sources[name] for name in schemas.RAW}
+        kept, _ = incremental.update(spark, raw, batch, sources["dim_barangay"], root, twin.PARAMS, min(until, run))
+        known = until
+    return kept
+
+
+@query(over("fact", query="SELECT * FROM fact"))
+def kept_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after batches that rewrote only the months they touch."""
+    return _kept(spark, sf_dir)["fct_rain_barangay_daily"]
+
+
+@query(over("monthly", query="SELECT * FROM monthly"))
+def kept_monthly_normal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The normals from one stored row per month, of which batches rewrote the touched ones."""
+    return _kept(spark, sf_dir)["mart_monthly_normal"]
+
+
+@query(over("archive", query="SELECT * FROM archive"))
+def merged_winners(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Observed winners merged from five batches, none of them in order of time."""
+    store = incremental.Store(spark, folder(spark, sf_dir, "winners"))
+    rows = twin.archive_daily(spark, sf_dir, F.pmod("l_orderkey", F.lit(5)).alias("part")).where("precipitation_sum is not null")
+    for part in (3, 0, 4, 2, 1):
+        store.observed.merge(rows.where(F.col("part") == part), store.keep)
+    return incremental.staged_archive(store)
+
+
 # --- sources and sinks ------------------------------------------------------------------------
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,8 +11,9 @@ from pyspark.sql import functions as F
 from hazardmarts.functions import (
     band, measure, past_or_forecast, round_half_away, row_key, utc_wall_time,
 )
-from hazardmarts.operators import backfill, checks, groups, joins, series, spatial, versions
+from hazardmarts.operators import backfill, checks, groups, joins, nearest, series, spatial, versions
 from hazardmarts.params import Lattice, Params
+from workload.landed import folder
 from workload.registry import query
 from workload.twin import table
 
@@ -336,6 +338,46 @@ def nearest_point(spark: SparkSession, sf_dir: str) -> DataFrame:
     return located.select("c_custkey", "grid_id", round_half_away(km, 6).alias("km"))
 
 
+@query("""
+WITH place AS (
+  SELECT c_custkey, (c_custkey * 7919 % 100003) / 100003e0 * 180e0 - 90e0 AS lat,
+         (c_custkey * 104729 % 99991) / 99991e0 * 400e0 - 200e0 AS lon FROM customer),
+listed AS (
+  SELECT s_suppkey, if(s_suppkey % 3 = 0, 14.5e0 + (s_suppkey * 31 % 997) / 99700e0, (s_suppkey * 6007 % 10007) / 10007e0 * 180e0 - 90e0) AS plat,
+         if(s_suppkey % 3 = 0, 121e0 + (s_suppkey // 6 * 37 % 991) / 99100e0, (s_suppkey // 2 * 7001 % 10009) / 10009e0 * 360e0 - 180e0) AS plon
+  FROM supplier)
+SELECT c_custkey, arg_min(s_suppkey, (km, s_suppkey)) AS s_suppkey, round(min(km), 6) AS km
+FROM (SELECT c_custkey, s_suppkey, 2 * 6371.0088e0 * asin(sqrt(pow(sin(radians(plat - lat) / 2), 2)
+        + cos(radians(lat)) * cos(radians(plat)) * pow(sin(radians(plon - lon) / 2), 2))) AS km
+      FROM place, listed)
+GROUP BY c_custkey""")
+def nearest_listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers all over the sphere and the nearest of irregular points, a third of them in one town; the SQL compares all pairs."""
+    key, point = F.col("c_custkey"), F.col("s_suppkey")
+    place = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        (F.pmod(key * 7919, F.lit(100003)) / 100003 * 180 - 90).alias("lat"),
+        (F.pmod(key * 104729, F.lit(99991)) / 99991 * 400 - 200).alias("lon"),
+    )
+    town = F.pmod(point, F.lit(3)) == 0
+    listed = table(spark, sf_dir, "supplier").select(
+        point.alias("point_id"),
+        F.when(town, F.pmod(point * 31, F.lit(997)) / 99700 + 14.5)
+        .otherwise(F.pmod(point * 6007, F.lit(10007)) / 10007 * 180 - 90).alias("lat"),
+        F.when(town, F.pmod(F.floor(point / 6) * 37, F.lit(991)) / 99100 + 121)
+        .otherwise(F.pmod(F.floor(point / 2) * 7001, F.lit(10009)) / 10009 * 360 - 180).alias("lon"),
+    )
+    steps = folder(spark, sf_dir, "nearest")
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        path = f"{steps}/{label}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    found = nearest.nearest_points(place, listed, keep, name="s_suppkey")
+    return found.select("c_custkey", "s_suppkey", round_half_away(F.col("km"), 6).alias("km"))
+
+
 @query("""
 WITH points AS (
   SELECT vec_id, i - 1 AS seq, 121 + (1 + abs(CAST(embedding[i] AS DOUBLE))) * cos(2 * pi() * (i - 1) / 64) AS x,
