@@ -27,6 +27,7 @@ from __future__ import annotations
 import re
 from array import array
 from collections.abc import Iterator, Sequence
+from itertools import chain
 from typing import NamedTuple
 
 import ahocorasick
@@ -122,6 +123,7 @@ class Encoder:
         self.model = sentencepiece.SentencePieceProcessor(model_proto=tables.proto)
         self.tables = tables
         self.lengths = [len(s) for s in tables.symbols]
+        self.numbers = {s: i for i, s in enumerate(tables.symbols)}
         self.scored = {s: tables.scores[i] for i, s in enumerate(tables.symbols) if len(s) > 1 and tables.merges[i] is not None}
         # A pair may also join to a piece that merging never makes alone.
         kinds = (self.model.is_byte, self.model.is_control, self.model.is_unknown)
@@ -129,14 +131,17 @@ class Encoder:
             if len(s) > 1 and tables.merges[i] is None and not any(kind(i) for kind in kinds):
                 self.scored[s] = tables.scores[i]
         self.automaton = ahocorasick.Automaton()
-        for i, s in enumerate(tables.symbols):
-            if tables.merges[i] is not None:
+        # Symbols of one character need no automaton: such a token is the last one where no longer one is.
+        self.single = {s: i for i, s in enumerate(tables.symbols) if len(s) == 1}
+        for s in self.scored:
+            if tables.merges[i := self.numbers[s]] is not None:
                 self.automaton.add_word(s, i)
         self.automaton.make_automaton()
         # A character of no piece keeps spans apart.
         used = set("".join(tables.symbols))
         self.apart = next(c for c in map(chr, range(0xD800)) if c not in used)
-        self.pairs: dict[int, bool] = {}
+        self.after: list[dict[int, bool]] = [{} for _ in tables.symbols]
+        self.pairs = 0
         self.known: dict[str, bytes] = {}
         self.spans = (lambda s: [s] if s else []) if tables.spaced else re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+").findall
 
@@ -167,58 +172,70 @@ class Encoder:
             else:
                 return True
 
+    def fits(self, left: int, right: int) -> bool:
+        """:meth:`compatible`, remembered by the right token."""
+        if self.pairs >= PAIRS:
+            for known in self.after:
+                known.clear()
+            self.pairs = 0
+        self.pairs += 1
+        found = self.after[right][left] = self.compatible(left, right)
+        return found
+
     def last_tokens(self, text: str) -> list[int]:
-        """For each prefix its last token; -1 where a character without a piece ends it."""
-        last, lengths, pairs, width = [-1] * (len(text) + 1), self.lengths, self.pairs, len(self.lengths)
+        """The last token of every prefix but the empty one; -1 where a character without a piece ends it."""
+        single, lengths, after = self.single, self.lengths, self.after
+        last, settled = [single.get(c, -1) for c in text], -1
         for end, token in self.automaton.iter(text):
-            end += 1
-            if last[end] >= 0:
+            if end == settled:
                 continue
-            before = last[end - lengths[token]]
+            start = end - lengths[token]
+            before = last[start] if start >= 0 else -1
             if before >= 0:
-                pair = before * width + token
-                fits = pairs.get(pair)
+                fits = after[token].get(before)
                 if fits is None:
-                    if len(pairs) >= PAIRS:
-                        pairs.clear()
-                    fits = pairs[pair] = self.compatible(before, token)
+                    fits = self.fits(before, token)
                 if not fits:
                     continue
             last[end] = token
+            settled = end
         return last
 
     def encode_spans(self, spans: Sequence[str]) -> Iterator[bytes]:
         """The ids of every span, as bytes, last span first: recovered from the last tokens backwards."""
         tables, lengths, size = self.tables, self.lengths, self.tables.pieces
         joined = self.apart.join(spans)
-        last, at = self.last_tokens(joined), len(joined)
+        last, at = self.last_tokens(joined), len(joined) - 1
         for span in reversed(spans):
-            start, found = at - len(span), array("i")
-            while at > start:
+            before, found = at - len(span), array("i")
+            while at > before:
                 token = last[at]
                 if 0 <= token < size:
                     found.append(token)
                     at -= lengths[token]
                     continue
-                at -= 1
                 if tables.byte_ids is not None:
                     found.extend(tables.byte_ids[b] for b in reversed(joined[at].encode()))
                 else:
                     found.append(tables.unknown)
+                at -= 1
             found.reverse()
             yield found.tobytes()
             at -= 1
 
     def ids(self, texts: Sequence[str]) -> list[np.ndarray]:
         """The ids of every text."""
-        known, cut = self.known, [self.spans(self.model.normalize(t)) for t in texts]
+        known = self.known
         if len(known) >= KEYS:
             known.clear()
-        new = list({s for spans in cut for s in spans if s not in known})
-        fresh = dict(zip(reversed(new), self.encode_spans(new)))
-        known.update((s, ids) for s, ids in fresh.items() if len(s) <= KEY_CHARS)
-        both = lambda s: known.get(s) or fresh[s]
-        found = [np.frombuffer(b"".join(map(both, spans)), np.int32) for spans in cut]
+        cut = [self.spans(self.model.normalize(t)) for t in texts]
+        # In order, so that neighbours lead through the same states of the automaton.
+        new = sorted(set(chain.from_iterable(cut)).difference(known))
+        known.update(zip(reversed(new), self.encode_spans(new)))
+        found = [np.frombuffer(b"".join(map(known.__getitem__, spans)), np.int32) for spans in cut]
+        for span in new:
+            if len(span) > KEY_CHARS:
+                del known[span]
         return found if self.tables.byte_ids is not None else [self.joined_unknown(f) for f in found]
 
     def joined_unknown(self, ids: np.ndarray) -> np.ndarray:
@@ -260,7 +277,10 @@ def decode(docs: DataFrame, proto: bytes, ids: str = "piece_ids", text: str = "d
         for batch in batches:
             for at in range(0, batch.num_rows, SLICE_ROWS):
                 piece = batch.slice(at, SLICE_ROWS)
-                texts = [processor.decode(i) if i else "" for i in piece.column(text).to_pylist()]
+                lists = piece.column(text)
+                values, bounds = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
+                # A null array has no values.
+                texts = [processor.decode(values[a:b].tolist()) if b > a else "" for a, b in zip(bounds[:-1], bounds[1:])]
                 yield pa.RecordBatch.from_arrays([*piece.columns[:-1], pa.array(texts, pa.string())], names=piece.schema.names)
 
     frame, schema = _added(docs, text, StringType(), F.col(ids))
