@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hazardmarts.operators.intervals import subtracted
+
 
 def refetch_windows(
     landed: DataFrame,
@@ -33,6 +35,29 @@ def refetch_windows(
     return windows.filter(F.col("start") <= F.col("end"))
 
 
+def fetch_holes(
+    landed: DataFrame,
+    run_date: Column,
+    first_day: dt.date,
+    lag_days: int,
+    refetch_days: int,
+    keys: Sequence[str] = (),
+    expected: DataFrame | None = None,
+) -> DataFrame:
+    """Disjoint inclusive windows that fill every hole of the landed intervals (keys, start, end).
+
+    Asked for are the days from ``first_day`` to the end that the source has published at the run date; held are the
+    landed ones but for the last ``refetch_days``, whose values may still change. ``expected`` names keys that may have
+    nothing landed at all.
+    """
+    known = landed.select(*keys).unionByName(expected.select(*keys)) if expected is not None else landed.select(*keys)
+    last = F.date_sub(run_date, lag_days)
+    spans = known.distinct() if keys else landed.sparkSession.range(1)
+    wanted = spans.select(*keys, F.lit(first_day).alias("start"), last.alias("end"))
+    settled = landed.select(*keys, "start", F.least(F.col("end"), F.date_sub(last, refetch_days + 1)).alias("end"))
+    return subtracted(wanted, settled, keys)
+
+
 def split_years(windows: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
     """Cut inclusive windows at 31 December; a window that is empty gives no rows."""
     first, last = F.col(start), F.col(end)

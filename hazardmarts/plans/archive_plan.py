@@ -7,9 +7,9 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hazardmarts.operators.backfill import refetch_windows, split_years
+from hazardmarts.operators.backfill import fetch_holes, refetch_windows, split_years
 from hazardmarts.params import Params
-from hazardmarts.sources.snapshots import archive_last_date
+from hazardmarts.sources.snapshots import archive_last_date, archive_windows
 
 
 def archive_fetch_plan(
@@ -22,3 +22,14 @@ def archive_fetch_plan(
         landed, "date", F.lit(run_date), params.archive_start, params.archive_lag_days, params.archive_refetch_days
     )
     return split_years(windows)
+
+
+def archive_hole_plan(
+    spark: SparkSession, raw_dir: str, run_date: dt.date, params: Params = Params()
+) -> DataFrame:
+    """As :func:`archive_fetch_plan`, but with a window for every hole that earlier fetches left, not only after the last day."""
+    landed = spark.createDataFrame(archive_windows(spark, raw_dir), "start date, end date")
+    holes = fetch_holes(
+        landed, F.lit(run_date), params.archive_start, params.archive_lag_days, params.archive_refetch_days
+    )
+    return split_years(holes)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -29,9 +32,38 @@ def run_gates(
         F.max("date").alias("horizon"),
         null_share("precipitation_sum").alias("share"),
         F.count_if(F.coalesce((rain < 0) | (rain > params.max_daily_mm), F.lit(False))).alias("bad_rain"),
-    ).withColumns(
-        {"need": F.date_add(run_date, params.min_horizon_days), "bad_flow": F.coalesce(bad_flow, F.lit(0))}
+    ).withColumn("bad_flow", F.coalesce(bad_flow, F.lit(0)))
+    return _judged(facts, run_date, params).unionByName(_coverage(forecast, flood, active))
+
+
+def run_gates_on_facts(
+    forecast: Mapping[str, object],
+    flood: Mapping[str, object],
+    forecast_daily: DataFrame,
+    flood_daily: DataFrame,
+    active: DataFrame,
+    run_date: dt.date,
+    params: Params = Params(),
+) -> DataFrame | None:
+    """The same four rows, three of them from facts that landing took of the run while writing it; only coverage reads the
+    run's ids. None where the facts cannot tell, because rain out of range was landed and has to be counted."""
+    lowest, highest = (0.0 if forecast[end] is None else forecast[end] for end in ("lowest", "highest"))
+    # Not a number compares as larger than any in the gate, as smaller or larger than none here.
+    if not (lowest >= 0 and highest <= params.max_daily_mm):
+        return None
+    spark, run = active.sparkSession, F.lit(run_date)
+    horizon = None if forecast["horizon"] is None else dt.date.fromisoformat(forecast["horizon"])
+    share = forecast["nulls"] / forecast["rows"] if forecast["rows"] else 1.0
+    facts = spark.createDataFrame(
+        [(horizon, share, 0, flood["negative"])], "horizon date, share double, bad_rain bigint, bad_flow bigint"
     )
+    covered = _coverage(in_run(forecast_daily, run), in_run(flood_daily, run), active)
+    return _judged(facts, run, params).unionByName(covered)
+
+
+def _judged(measured: DataFrame, run_date: Column, params: Params) -> DataFrame:
+    """Three gates from one row of measures."""
+    facts = measured.withColumn("need", F.date_add(run_date, params.min_horizon_days))
     fresh = _gate(
         1, "freshness",
         F.coalesce(F.col("horizon") >= F.col("need"), F.lit(False)),
@@ -52,8 +84,7 @@ def run_gates(
             "%d rain rows out of range, %d discharge rows negative", F.col("bad_rain"), F.col("bad_flow")
         ),
     )
-    measured = facts.select(F.inline(F.array(fresh, nulls, ranges)))
-    return measured.unionByName(_coverage(forecast, flood, active))
+    return facts.select(F.inline(F.array(fresh, nulls, ranges)))
 
 
 def missing_points(

@@ -23,9 +23,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hazardmarts import schemas
 from hazardmarts.functions import row_key
+from hazardmarts.operators import coverage
 from hazardmarts.operators.versions import fetch_limit, fetched_by, given_run
 from hazardmarts.operators.winners import Winners
 from hazardmarts.params import Params
@@ -39,6 +41,7 @@ MERGED = "merged_units.json"
 MARK = "built_with.json"
 STEPS = "steps"
 UNITS = ("archive_daily", "forecast_daily")
+BY_MONTH = ("int_rain_daily_unioned", "int_rain_rolling", "fct_rain_barangay_daily", "area_coverage")
 REACH = max(marts.ROLLING_DAYS.values()) - 1
 Months = set[dt.date]
 
@@ -166,7 +169,7 @@ def update(
     rain = monthly.read(spark, store.path("int_rain_daily_unioned"), rain.schema, around)
     models["int_rain_rolling"] = store.monthly(rolled(rain, months), "int_rain_rolling", months)
 
-    mark = {"dimension": _fingerprint(dimension), "params": repr(params)}
+    mark = {"dimension": fingerprint_rows(dimension), "params": repr(params)}
     months = months | left["warnings"] | offered["warnings"] | monthly.months_in(daily, F.col("date"))
     if store.note(MARK) != mark:
         months = months | monthly.listed(spark, store.path("int_rain_rolling"))
@@ -175,6 +178,11 @@ def update(
     models["fct_rain_barangay_daily"] = store.monthly(facts, "fct_rain_barangay_daily", months)
     touched["fct_rain_barangay_daily"] = months
 
+    # The areas of every day, from the months just written alone.
+    written = monthly.read(spark, store.path("fct_rain_barangay_daily"), facts.schema, months)
+    numbers = store.keep(coverage.numbered(dimension, "pcode"), "area-numbers")
+    models["area_coverage"] = store.monthly(coverage.summed_up(written, "date", "pcode", numbers), "area_coverage", months)
+
     first = run_date - dt.timedelta(days=params.lookback_days)
     recent = {m for m in monthly.listed(spark, store.path("fct_rain_barangay_daily")) if m >= first.replace(day=1)}
     shown = monthly.read(spark, store.path("fct_rain_barangay_daily"), facts.schema, recent).where(F.col("date") >= F.lit(first))
@@ -191,12 +199,32 @@ def update(
     return build_models(raw, params, run_date, names=names, written=models), touched
 
 
-def _fingerprint(dimension: DataFrame) -> list[str]:
-    """Number of areas and a sum of hashes of their rows, which does not depend on their order."""
-    row = dimension.agg(F.count("*"), F.sum(F.xxhash64(*dimension.columns).cast("decimal(38,0)"))).first()
+def uncovered_dates(models: Mapping[str, DataFrame], until: Column) -> DataFrame:
+    """Days of the whole fact up to a date that do not hold every area, from the kept coverage; the fact is not read."""
+    areas = models["dim_barangay"].agg(F.count_distinct("pcode")).scalar()
+    return coverage.incomplete_dates(models["area_coverage"], until, areas)
+
+
+def fingerprint_rows(table: DataFrame) -> list[str]:
+    """Number of rows and a sum of their hashes, which does not depend on their order."""
+    row = table.agg(F.count("*"), F.sum(F.xxhash64(*table.columns).cast("decimal(38,0)"))).first()
     return [str(value) for value in row]
 
 
+def opened(spark: SparkSession, root: str, types: Mapping[str, T.StructType]) -> dict[str, DataFrame]:
+    """The kept models as an earlier update left them."""
+    store = Store(spark, root)
+
+    def read(name: str, schema: T.StructType) -> DataFrame:
+        if name == "stg_archive_daily":
+            return staged_archive(store)
+        if name in BY_MONTH:
+            return monthly.read(spark, store.path(name), schema)
+        return spark.read.schema(schema).parquet(store.path(name))
+
+    return {name: read(name, schema) for name, schema in types.items()}
+
+
 def update_from_landing(
     spark: SparkSession, landed: str, dimension: DataFrame, root: str, params: Params, run_date: dt.date, full: bool = False
 ) -> tuple[dict[str, DataFrame], dict[str, Months]]:

@@ -29,11 +29,17 @@ def latest_run_date(spark: SparkSession, raw_dir: str) -> dt.date | None:
     return max(run_dates(spark, raw_dir), default=None)
 
 
-def archive_last_date(spark: SparkSession, raw_dir: str) -> dt.date | None:
-    """Latest window end among the archive files; other names are skipped."""
+def archive_windows(spark: SparkSession, raw_dir: str) -> list[tuple[dt.date, dt.date]]:
+    """First and last day of the archive files, by their names; other names are skipped."""
     names = files.children(spark, f"{raw_dir}/{ARCHIVE}", directories=False)
     stems = [n.removesuffix(".json").split("_") for n in names if n.endswith(".json") and "_" in n]
-    return max(filter(None, (iso_date(parts[1]) for parts in stems)), default=None)
+    ends = [(iso_date(parts[0]), iso_date(parts[1])) for parts in stems]
+    return sorted((start, end) for start, end in ends if start is not None and end is not None)
+
+
+def archive_last_date(spark: SparkSession, raw_dir: str) -> dt.date | None:
+    """Latest window end among the archive files."""
+    return max((end for _, end in archive_windows(spark, raw_dir)), default=None)
 
 
 def iso_date(text: str) -> dt.date | None:

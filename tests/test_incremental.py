@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hazardmarts import schemas
-from hazardmarts.operators.versions import latest_wins
+from hazardmarts.operators import checks, coverage
 from hazardmarts.operators.winners import Winners
 from hazardmarts.params import Params
 from hazardmarts.plans import incremental
@@ -163,17 +163,50 @@ def test_one_new_window_rewrites_its_months_only(spark, tmp_path):
 
     # Another dimension touches every month of the facts, and nothing below them.
     models, touched = update({}, later, _areas(spark, 50.0))
-    _same(models, later, _areas(spark, 50.0), RUN)
+    _same(models, later, _areas(spark, 50.0), RUN, ["fct_rain_barangay_daily"])
     assert not touched["int_rain_rolling"] and len(touched["fct_rain_barangay_daily"]) == 6
 
 
+def test_coverage_of_the_fact_without_reading_it(spark, tmp_path):
+    raw, areas, root = _raw(spark), _areas(spark), str(tmp_path / "m")
+    late = raw["archive_daily"].where("not (grid_id = 'p1' and date between '2031-03-05' and '2031-03-08')")
+    first = raw | {"archive_daily": late.where("date > '2031-02-10'")}
+    incremental.update(spark, first, first, areas, root, Params(), RUN)
+    batch = {"archive_daily": late.where("date <= '2031-02-10'"), "forecast_daily": raw["forecast_daily"].limit(0)}
+    models, _ = incremental.update(spark, raw, batch, areas, root, Params(), RUN)
+    until = F.lit(dt.date(2031, 6, 25))
+    found = incremental.uncovered_dates(models, until)
+    want = checks.incomplete_dates(models["fct_rain_barangay_daily"], "date", "pcode", until, models["dim_barangay"])
+    assert sorted(found.collect()) == sorted(want.collect()) != []
+    assert {dt.date(2031, 3, d) for d in (5, 6, 7, 8)} <= {r.date for r in found.collect()}
+    assert "fct_rain_barangay_daily" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bitmaps_merge_in_any_order(spark):
+    rng = random.Random(6)
+    rows = [(rng.choice([None, *(DAY + dt.timedelta(days=i) for i in range(4))]), rng.choice([None, *map(str, range(70_000))])) for _ in range(3000)]
+    df = spark.createDataFrame(rows + rows[:100], "date date, k string")
+    members = spark.range(70_000).select(F.col("id").cast("string").alias("k"))
+    # One shard of more members than a bitmap has bits.
+    numbers = coverage.numbered(members, "k", 1).cache()
+    assert numbers.select("shard", "place").distinct().count() == 70_000
+    parts = [coverage.summed_up(p, "date", "k", numbers) for p in (df.where("k > '3'"), df.where("k <= '5'"))]
+    want = {}
+    for day, k in rows:
+        if day is not None and k is not None:
+            want.setdefault(day, set()).add(k)
+    merged = coverage.members_per_date(parts[0].unionByName(parts[1])).collect()
+    assert {r.date: r.n for r in merged} == {d: len(s) for d, s in want.items()}
+    assert coverage.members_per_date(coverage.summed_up(df.limit(0), "date", "k", numbers)).count() == 0
+
+
 def test_an_update_that_stops_is_repeated(spark, tmp_path, monkeypatch):
     raw, areas, root = _raw(spark), _areas(spark), str(tmp_path / "models")
     first = raw | {"archive_daily": raw["archive_daily"].where("date < '2031-04-28' or date > '2031-05-02'")}
     incremental.update(spark, first, first, areas, root, Params(), RUN)
     batch = {"archive_daily": raw["archive_daily"], "forecast_daily": raw["forecast_daily"].limit(0)}
     replace = monthly.replace_months
-    for stop_at in ("forecast_winners", "int_rain_daily_unioned", "int_rain_rolling", "fct_rain_barangay_daily"):
+    for stop_at in ("int_rain_daily_unioned", "fct_rain_barangay_daily"):
 
         def stopping(df, path, *args, **kwargs):
             if path.endswith(stop_at):
@@ -181,20 +214,8 @@ def test_an_update_that_stops_is_repeated(spark, tmp_path, monkeypatch):
             replace(df, path, *args, **kwargs)
 
         monkeypatch.setattr(monthly, "replace_months", stopping)
-        if stop_at == "forecast_winners":
-            merged = batch | {"forecast_daily": raw["forecast_daily"].withColumn("precipitation_sum", F.lit(7.0))}
-        else:
-            merged = batch
         with pytest.raises(RuntimeError, match="lost"):
-            incremental.update(spark, raw, merged, areas, root, Params(), RUN)
+            incremental.update(spark, raw, batch, areas, root, Params(), RUN)
     monkeypatch.setattr(monthly, "replace_months", replace)
     models, _ = incremental.update(spark, raw, batch, areas, root, Params(), RUN)
-    _same(models, raw, areas, RUN)
-
-
-def test_latest_wins_agrees_with_the_staged_archive(spark, tmp_path):
-    raw, areas = _raw(spark), _areas(spark)
-    models, _ = incremental.update(spark, raw, raw, areas, str(tmp_path / "m"), Params(), RUN)
-    valid = raw["archive_daily"].where("precipitation_sum is not null")
-    want = latest_wins(valid, ["grid_id", "date"], "fetched_at").select("grid_id", "date", "precipitation_sum")
-    assert sorted(models["stg_archive_daily"].select(*want.columns).collect()) == sorted(want.collect())
+    _same(models, raw, areas, RUN, ["int_rain_rolling", "fct_rain_barangay_daily", "mart_monthly_normal"])

@@ -2,6 +2,8 @@ import csv
 import datetime as dt
 import json
 import re
+import threading
+from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
@@ -9,8 +11,9 @@ import pytest
 from hazardmarts import schemas
 from hazardmarts.params import Params
 from hazardmarts.plans import job
+from hazardmarts.plans.ledger import Ledger
 from hazardmarts.sinks import extracts, publish, runlog
-from hazardmarts.sources import snapshots, tables
+from hazardmarts.sources import files, snapshots, tables
 from tests import fixtures as fx
 
 
@@ -71,6 +74,46 @@ def test_job_publishes_the_whole_contract(spark, tmp_path):
     assert log.gates == "freshness=pass;coverage=pass;null_share=pass;ranges=pass"
 
 
+class Killed(BaseException):
+    """Ends the process: no handler of the job sees it."""
+
+
+def test_a_killed_run_goes_on_after_its_last_stage(spark, tmp_path, monkeypatch):
+    """Killed after each stage in turn: every stage is done once, with the tables and the log of a run in one piece."""
+    _good(tmp_path)
+    counted, finish = [], Ledger.finish
+    for stage in ("check_gates", "build", "test_tables", "export"):
+
+        def stopping(self, name, result, last=stage):
+            finish(self, name, result)
+            counted.append(name)
+            if name == last:
+                raise Killed
+
+        monkeypatch.setattr(Ledger, "finish", stopping)
+        with pytest.raises(Killed):
+            _job(spark, tmp_path)
+        assert not (tmp_path / "runs").exists()
+    monkeypatch.setattr(Ledger, "finish", finish)
+    assert counted == ["check_gates", "build", "test_tables", "export"]
+    assert _job(spark, tmp_path) == "ok" and not (tmp_path / "work" / "ledger.json").exists()
+    [log] = runlog.read_runs(spark, str(tmp_path / "runs")).collect()
+    assert (log.status, log.forecast_rows, log.dashboard_rows) == ("ok", 28, 111)
+    assert log.gates == "freshness=pass;coverage=pass;null_share=pass;ranges=pass"
+    in_parts = _rows(f"{publish.current(spark, str(tmp_path / 'exports'))}/dashboard.csv")
+    assert len(publish.history(spark, str(tmp_path / "exports"))) == 1
+
+    # A day later the new run and its window are merged.
+    fx.good_run(tmp_path / "raw", fx.RUN + dt.timedelta(days=1))
+    day = (fx.RUN - dt.timedelta(days=4)).isoformat()
+    fetched = f"{fx.RUN + dt.timedelta(days=1)}T01:00:00+00:00"
+    fx.write(tmp_path / "raw" / "archive" / f"{day}_{day}.json", fx.archive(fetched, [day], {g: [88.0] for g in fx.POINTS}))
+    assert _job(spark, tmp_path) == "ok"
+    kept = _rows(f"{publish.current(spark, str(tmp_path / 'exports'))}/dashboard.csv")
+    rain = {r["rain_mm"] for r in kept if r["date"] == day}
+    assert rain == {"88.0"} != {r["rain_mm"] for r in in_parts if r["date"] == day}
+
+
 def test_failing_gates_stop_the_job(spark, tmp_path):
     fx.write_all(tmp_path / "raw")
     assert _job(spark, tmp_path) == "gate_failed"
@@ -144,6 +187,50 @@ def test_publishing_is_all_or_nothing(spark, tmp_path):
     assert len(list((tmp_path / "exports" / "versions").iterdir())) == 2
 
 
+def test_two_publishers_leave_two_whole_versions_in_order(spark, tmp_path):
+    """Both have written their version before either commits, and both take the same number first."""
+    exports, ready = str(tmp_path / "exports"), threading.Barrier(4)
+
+    def write(name):
+        def fill(target):
+            Path(target).mkdir(parents=True)
+            Path(target, "a.txt").write_text(name)
+            ready.wait(timeout=60)
+
+        return fill
+
+    names = ["one", "two", "three", "four"]
+    with ThreadPoolExecutor(4) as pool:
+        done = [pool.submit(publish.publish, spark, exports, write(n), n) for n in names]
+        targets = [d.result() for d in done]
+    commits = publish.history(spark, exports)
+    assert [c.number for c in commits] == [1, 2, 3, 4]
+    assert {f"{exports}/versions/{c.version}" for c in commits} == set(targets)
+    assert publish.current(spark, exports).endswith(commits[-1].version)
+    assert {Path(t, "a.txt").read_text() for t in targets} == set(names)
+    assert [p.name for p in (tmp_path / "exports" / "commits").glob("*.new")] == []
+
+
+def test_a_taken_name_is_left_alone(spark, tmp_path):
+    path = str(tmp_path / "c" / "1.json")
+    assert files.create_once(spark, path, "first") and not files.create_once(spark, path, "second")
+    assert files.read_text(spark, path) == "first"
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: files.create_once(spark, str(tmp_path / "c" / "2.json"), f"by {i}"), range(16)))
+    assert sum(won) == 1 and files.read_text(spark, str(tmp_path / "c" / "2.json")) == f"by {won.index(True)}"
+    with pytest.raises(Exception, match="(?i)not a directory|exist"):
+        files.create_once(spark, f"{path}/below", "text")
+
+
+def test_retiring_spares_versions_without_a_commit(spark, tmp_path):
+    exports = str(tmp_path / "exports")
+    (tmp_path / "exports" / "versions" / "being-written").mkdir(parents=True)
+    for i in range(4):
+        publish.publish(spark, exports, lambda t: Path(t).mkdir(), f"v{i}", keep=1)
+    left = sorted(p.name[:2] for p in (tmp_path / "exports" / "versions").iterdir())
+    assert left == ["be", "v2", "v3"] and len(publish.history(spark, exports)) == 4
+
+
 def test_csv_text_forms(spark, tmp_path):
     df = spark.sql(
         "select 0.0005d as a, 12345678.9d as b, true as c, date '2031-03-14' as d, "

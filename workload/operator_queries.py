@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from hazardmarts.functions import (
     band, measure, past_or_forecast, round_half_away, row_key, utc_wall_time,
 )
-from hazardmarts.operators import backfill, checks, groups, joins, nearest, series, spatial, versions
+from hazardmarts.operators import backfill, checks, coverage, groups, intervals, joins, nearest, series, spatial, versions
 from hazardmarts.params import Lattice, Params
 from workload.landed import folder
 from workload.registry import query
@@ -138,6 +138,17 @@ def calendar_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return series.date_gaps(lines, "date", keys=["l_suppkey"])
 
 
+@query("""
+WITH present AS (SELECT DISTINCT l_suppkey, CAST(l_shipdate AS DATE) AS date FROM lineitem)
+SELECT l_suppkey, date + 1 AS start, following - 1 AS "end"
+FROM (SELECT *, lead(date) OVER (PARTITION BY l_suppkey ORDER BY date) AS following FROM present)
+WHERE following > date + 1""")
+def gap_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The holes of :func:`calendar_gaps`, a row each."""
+    lines = table(spark, sf_dir, "lineitem").select("l_suppkey", F.to_date("l_shipdate").alias("date"))
+    return intervals.gaps(lines, "date", ["l_suppkey"])
+
+
 @query("""
 SELECT l_suppkey, min(CAST(l_shipdate AS DATE)) AS first_date, max(CAST(l_shipdate AS DATE)) AS last_date
 FROM lineitem GROUP BY l_suppkey""")
@@ -421,6 +432,24 @@ def backfill_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("""
+WITH marks AS (
+  SELECT DISTINCT o_custkey, CAST(o_orderdate AS DATE) AS date FROM orders
+  WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1996-01-01' AND DATE '2001-08-01' - 15
+  UNION ALL SELECT c_custkey, DATE '1995-12-31' FROM customer UNION ALL SELECT c_custkey, DATE '2001-08-02' FROM customer)
+SELECT o_custkey, date + 1 AS start, following - 1 AS "end"
+FROM (SELECT *, lead(date) OVER (PARTITION BY o_custkey ORDER BY date) AS following FROM marks)
+WHERE following > date + 1""")
+def fetch_holes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows that fill every hole of each customer's days, also of customers without any."""
+    ordered = table(spark, sf_dir, "orders").select("o_custkey", F.to_date("o_orderdate").alias("date"))
+    everyone = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    return backfill.fetch_holes(
+        intervals.islands(ordered, "date", ["o_custkey"]), F.lit(RUN_DAY), dt.date(1996, 1, 1),
+        PARAMS.archive_lag_days, PARAMS.archive_refetch_days, ["o_custkey"], everyone,
+    )
+
+
 @query("""
 WITH span AS (
   SELECT o_custkey, min(CAST(o_orderdate AS DATE)) AS first, max(CAST(o_orderdate AS DATE)) AS last FROM orders GROUP BY ALL)
@@ -492,6 +521,23 @@ def coverage_having(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.incomplete_dates(events, "date", "user_id", until, expected=table(spark, sf_dir, "supplier"))
 
 
+@query("""
+SELECT CAST(ts AS DATE) AS date, count(DISTINCT user_id) AS n FROM events
+WHERE CAST(ts AS DATE) <= (SELECT max(CAST(ts AS DATE)) FROM events) - 5 GROUP BY ALL
+HAVING count(DISTINCT user_id) <> (SELECT count(*) FROM supplier)""")
+def coverage_bitmaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coverage from stored summaries of seven overlapping parts of the events."""
+    events = table(spark, sf_dir, "events").withColumn("date", F.to_date("ts"))
+    numbers, path = coverage.numbered(events, "user_id", shards=3), f"{folder(spark, sf_dir, 'coverage')}/bits"
+    part = F.pmod("event_id", F.lit(7))
+    for i in range(7):
+        rows = events.where((part == i) | (part == (i + 2) % 7))
+        coverage.summed_up(rows, "date", "user_id", numbers).write.mode("append").parquet(path)
+    until = events.agg(F.date_sub(F.max("date"), 5)).scalar()
+    wanted = table(spark, sf_dir, "supplier").agg(F.count("*")).scalar()
+    return coverage.incomplete_dates(spark.read.parquet(path), until, wanted)
+
+
 @query("""
 SELECT event_type, count(*) FILTER (WHERE value < 50) / CAST(count(*) AS DOUBLE) AS share FROM events GROUP BY event_type""",
        name="null_share")
