@@ -7,7 +7,10 @@ from tests.oracle import compare, connect
 from workload.registry import QUERIES
 
 # Their plans only read what they have written.
-WRITERS = {"landed_tables", "landed_points", "published_dashboard", "landed_counts", "declared_sources"}
+WRITERS = {
+    "landed_tables", "landed_points", "published_dashboard", "landed_counts", "declared_sources", "merged_winners", "kept_fact",
+    "kept_monthly_normal",
+}
 SMALL = "/root/testdata/sf0.001"
 
 
