@@ -20,19 +20,22 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hazardmarts.llm.common import stored
 
 MIN_REVISIT = 1000
 ROLL_BYTES = 128 << 20
+# Tasks that read at once; further archives are read one after another.
+MAX_READERS = 10_000
 PIECE = 1 << 16
 # Record and header syntax of the WARC 1.0 format.
 VERSION = b"WARC/1.0"
@@ -125,7 +128,7 @@ def _writer(folder: str, roll_bytes: int) -> Callable[[Iterator[pa.RecordBatch]]
     schema = pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())])
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder if "://" in folder else f"file://{folder}")
+        store, root = fs.FileSystem.from_uri(folder)
         out, name, records, size = None, "", 0, 0
         done: list[tuple[str, int, int]] = []
         for batch in batches:
@@ -151,11 +154,21 @@ def _writer(folder: str, roll_bytes: int) -> Callable[[Iterator[pa.RecordBatch]]
     return write
 
 
+def located(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme of the file system that Spark finds it on, as Arrow spells it; an unknown one raises here."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(path).toString()
+    whole = re.sub("^file:/+", "file:///", re.sub("^s3a?://", "s3://", whole))
+    fs.FileSystem.from_uri(whole)
+    return whole
+
+
 def write_archives(
     pages: DataFrame, folder: str, page_id: str = "page_id", url: str = "url", payload: str = "html",
     min_revisit: int = MIN_REVISIT, roll_bytes: int = ROLL_BYTES,
 ) -> DataFrame:
     """Writes the archives and returns their manifest (path, records, bytes), itself stored."""
+    folder = located(pages.sparkSession, folder)
     rows = with_revisits(pages, page_id, url, payload, min_revisit)
     return stored(rows.mapInArrow(_writer(folder, roll_bytes), MANIFEST), "warc-manifest")
 
@@ -233,7 +246,7 @@ RECORD_ARROW = pa.schema([
 
 
 def read_archive(path: str, piece: int = PIECE) -> Iterator[tuple]:
-    store, inner = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+    store, inner = fs.FileSystem.from_uri(path)
     with store.open_input_stream(inner, compression=None, buffer_size=0) as stream:
         for pieces in _members(stream, piece):
             yield read_record(pieces)
@@ -267,7 +280,9 @@ def _reader(with_payload: bool, batch_bytes: int = 4 << 20):
 
 
 def read_archives(manifest: DataFrame, with_payload: bool = True) -> DataFrame:
-    """All records of the archives in a manifest; archives are dealt out one by one."""
-    archives = manifest.select("path", "records").repartition(F.col("path"))
+    """All records of the archives in a manifest. Archives are dealt out evenly to as many tasks as there are, which a
+    number keeps adaptive execution from putting together again."""
+    tasks = min(max(manifest.count(), 1), MAX_READERS)
+    archives = manifest.select("path", "records").repartitionByRange(tasks, "path")
     return archives.mapInArrow(_reader(with_payload), RECORD)
 

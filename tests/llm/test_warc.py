@@ -5,6 +5,7 @@ import hashlib
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazardmarts.llm import warc
 
@@ -82,3 +83,18 @@ def test_cut_archive_raises(spark, tmp_path):
 def test_empty(spark, tmp_path):
     manifest = warc.write_archives(pages(spark, []), f"file://{tmp_path}/none")
     assert manifest.count() == 0 and warc.read_archives(manifest).count() == 0
+
+
+def test_archives_are_read_by_as_many_tasks(spark, tmp_path):
+    many = [(i, f"http://h/{i}", f"{i} " * 900) for i in range(40)]
+    manifest = warc.write_archives(pages(spark, many).repartition(8), str(tmp_path / "out"), roll_bytes=1)
+    archives = manifest.count()
+    assert archives == 40 and manifest.first().path.startswith("file:///")
+    tasks = warc.read_archives(manifest, with_payload=False).select(F.spark_partition_id().alias("t")).distinct().count()
+    assert tasks >= 32
+    assert warc.read_archives(manifest.limit(0)).count() == 0
+
+
+def test_a_store_that_arrow_cannot_open_is_refused(spark, tmp_path):
+    with pytest.raises(Exception, match="(?i)viewfs"):
+        warc.located(spark, "viewfs://none/out")
