@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +33,20 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Carried:
+    """A value for all tasks, broadcast as bytes that carry the code of its classes too: a broadcast object itself could only be
+    read where the package is installed. A worker process decodes it once."""
+
+    def __init__(self, spark: SparkSession, value: object) -> None:
+        self.held = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    @property
+    def value(self):
+        if not hasattr(self.held, "decoded"):
+            self.held.decoded = cloudpickle.loads(self.held.value)
+        return self.held.decoded
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once per row, wherever ``body`` repeats it."""
     return F.transform(F.array(value), body)[0]

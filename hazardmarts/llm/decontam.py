@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hazardmarts.llm.arrays import LOWER, WordHashes, mix64, rolling
-from hazardmarts.llm.common import text_of
+from hazardmarts.llm.common import Carried, text_of
 
 SHORT = 4
 THRESHOLD = 0.5
@@ -256,7 +256,7 @@ def contaminated(
         known = Items(shard, threshold)
         if not len(known.known):
             continue
-        shared = spark.sparkContext.broadcast(known)
+        shared = Carried(spark, known)
         found = rows.mapInArrow(_finder(shared, threshold), HIT_DDL)
         out = found if number == 0 else out.unionByName(found)
     return out
@@ -304,7 +304,7 @@ def clean_rows(
         if not len(known.known):
             continue
         body = lowered(text_of(names[docs.columns.index(text)]))
-        shared = docs.sparkSession.sparkContext.broadcast(known)
+        shared = Carried(docs.sparkSession, known)
         out = out.withColumn("text", body).mapInArrow(_cleaner(shared, threshold), out.schema)
     return out.select(*[F.col(n).alias(c) for n, c in zip(names, docs.columns, strict=True)])
 

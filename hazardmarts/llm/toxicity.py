@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from hazardmarts.llm.common import stored, text_of
+from hazardmarts.llm.common import Carried, stored, text_of
 
 # Bound of the labelled documents of each label that the classifier is fitted on, chosen by hash of the id.
 MAX_LABELLED = 3000
@@ -323,7 +323,7 @@ def spoilt(words: list[str]) -> list[str]:
 def sentence_vectors(sample: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray]:
     """Kernel sums with the landmarks of each sampled document's most suspicious sentence, and the labels. Toxic
     sentences are also given with a character inserted in every word, and some without words are added as clean."""
-    shared = sample.sparkSession.sparkContext.broadcast(model)
+    shared = Carried(sample.sparkSession, model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
@@ -424,7 +424,7 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
 
 def with_scores(rows: DataFrame, model: Model) -> DataFrame:
     """The rows, which have a column ``text`` without nulls, and ``toxicity``."""
-    shared = rows.sparkSession.sparkContext.broadcast(model)
+    shared = Carried(rows.sparkSession, model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
