@@ -12,6 +12,7 @@ from collections.abc import Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from hazardmarts.params import Params
 
@@ -20,9 +21,16 @@ SHIFT_DAYS = 8117
 PARAMS = Params(normal_years=(2018, 2022))
 
 
+# Schemas by path: telling a file's schema is a job of its own, and models open a table several times.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One provided table."""
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def archive_daily(spark: SparkSession, sf_dir: str, *extra: Column) -> DataFrame:
