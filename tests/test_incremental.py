@@ -2,6 +2,7 @@
 
 import datetime as dt
 import random
+import re
 from pathlib import Path
 
 import pytest
@@ -219,3 +220,28 @@ def test_an_update_that_stops_is_repeated(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(monthly, "replace_months", replace)
     models, _ = incremental.update(spark, raw, batch, areas, root, Params(), RUN)
     _same(models, raw, areas, RUN, ["int_rain_rolling", "fct_rain_barangay_daily", "mart_monthly_normal"])
+
+
+def test_winners_are_few_files_after_many_merges(spark, tmp_path):
+    winners = _winners(tmp_path / "w")
+    for seed in range(3):
+        winners.merge(spark.createDataFrame(_versions(seed, 2000, days=90), ARCHIVE).repartition(8), _kept(spark, tmp_path))
+    assert {len(files) for files in _files(tmp_path / "w").values()} == {1}
+
+
+def test_facts_leave_their_tasks_by_month_and_without_a_key(spark, tmp_path):
+    """So neither an exchange nor a sort of area-days stands before the write."""
+    raw, areas, root = _raw(spark), _areas(spark), tmp_path / "m"
+    models, _ = incremental.update(spark, raw, raw, areas, str(root), Params(), RUN)
+    assert "row_key" not in spark.read.parquet(str(root / "fct_rain_barangay_daily")).columns
+    assert models["fct_rain_barangay_daily"].where("row_key <=> concat_ws('|', pcode, date)").count() > 0
+    months = monthly.listed(spark, str(root / "int_rain_rolling"))
+    facts = incremental.facts_by_month(models["int_rain_rolling"], areas, models["int_warnings_daily"], Params(), months)
+    rows = facts.select(F.spark_partition_id().alias("task"), monthly.MONTH, "date").collect()
+    assert len(rows) == models["fct_rain_barangay_daily"].count() and all(r.part_month == r.date.replace(day=1) for r in rows)
+    by_task = {}
+    for r in rows:
+        by_task.setdefault(r.task, []).append(r.part_month)
+    assert all(seen == sorted(seen) for seen in by_task.values())
+    plan = facts.sortWithinPartitions(monthly.MONTH)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin [part_month" in plan and not re.search(r"Sort \[part_month#\d+ ASC NULLS FIRST\]", plan)
