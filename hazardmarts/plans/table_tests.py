@@ -14,7 +14,9 @@ from hazardmarts.operators.series import date_gaps
 from hazardmarts.params import Params
 
 
-DASHBOARD = "mart_dashboard"
+DASHBOARD, FACT = "mart_dashboard", "fct_rain_barangay_daily"
+# Areas whose days share a task when the keys of the fact are counted: as many rows as the calendar has days, for each.
+AREAS_PER_TASK = 1000
 
 
 @dataclass(frozen=True)
@@ -78,7 +80,10 @@ def run_table_tests(tables: Mapping[str, DataFrame], params: Params = Params())
     results = []
     for model, tests in declared(params).items():
         df = tables[model]
-        results.append(_dashboard_pass(tables, tests, params) if model == DASHBOARD else _one_pass(model, df, tests))
+        if model == DASHBOARD:
+            results.append(_dashboard_pass(tables, tests, params))
+        else:
+            results.append(_one_pass(model, df, tests, _tasks(tables) if model == FACT else None))
         results += [
             _counted(model, "relationships", c, checks.orphans(df, c, tables[parent], field))
             for c, parent, field in tests.relationships
@@ -116,13 +121,26 @@ def _counts(fails: list[tuple[str, str, Column]]) -> list[Column]:
     return [F.count_if(failing).alias(f"_f{i}") for i, (_, _, failing) in enumerate(fails)]
 
 
-def _one_pass(model: str, df: DataFrame, tests: ModelTests) -> DataFrame:
+def _tasks(tables: Mapping[str, DataFrame]) -> int:
+    """Tasks over which the keys of area-days are dealt, by the number of areas."""
+    least = int(tables["dim_barangay"].sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, -(-tables["dim_barangay"].count() // AREAS_PER_TASK))
+
+
+def _one_pass(model: str, df: DataFrame, tests: ModelTests, tasks: int | None = None) -> DataFrame:
     """Row-level tests as conditional counts; with a unique column they are first counted per key,
-    so one aggregation on the key serves them all. A text key is unique if the columns it is built of are."""
+    so one aggregation on the key serves them all. A text key is unique if the columns it is built of are.
+
+    Rows are dealt to ``tasks`` by key before any is counted: as nearly every key has one row, counting before the
+    exchange would hold all rows of a task and spare none."""
     fails = _row_tests(tests)
     outcomes = {(test, c): F.count_if(failing) for test, c, failing in fails}
     if key := tests.unique:
         group = tests.key or (key,)
+        if tasks:
+            flags = [failing.alias(f"_is{i}") for i, (_, _, failing) in enumerate(fails)]
+            df = df.select(*group, *flags).repartition(tasks, *group)
+            fails = [(test, c, F.col(f"_is{i}")) for i, (test, c, _) in enumerate(fails)]
         df = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"), *_counts(fails))
         outcomes = {(test, c): F.sum(f"_f{i}") for i, (test, c, _) in enumerate(fails)}
         outcomes["unique", key] = F.count_if((F.col("_rows") > 1) & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group]))

@@ -7,6 +7,7 @@ from hazardmarts import schemas
 from hazardmarts.params import Params
 from hazardmarts.plans import views
 from hazardmarts.plans.build import MODELS, build_models
+from hazardmarts.plans import table_tests
 from hazardmarts.plans.table_tests import declared, missing_dates, run_table_tests, uncovered_dates
 from hazardmarts.sources import snapshots
 from tests import fixtures as fx
@@ -189,3 +190,16 @@ def test_views(models):
     assert card.latest_observed_date == dt.date(2031, 3, 7) and card.forecast_through == fx.RUN
     assert card.active_grid_points == 2
     assert views.observed_vs_normal(models["mart_monthly_normal"]).count() == 0
+
+
+def test_keys_of_the_fact_are_dealt_before_they_are_counted(spark):
+    """More areas take more tasks, and no task holds all rows it reads as keys."""
+    assert table_tests._tasks({"dim_barangay": spark.range(20_500)}) == 21
+    fact = spark.sql(
+        "select 'a' || id % 40 as pcode, date'2031-01-01' + cast(id / 40 as int) as date, 'observed' as source, -1.0D as rain_3d_mm, "
+        "if(id = 3, null, 'k' || id) as row_key from range(200) union all select 'a1', date'2031-01-01', 'odd', 1.0D, 'k'"
+    )
+    report = table_tests._one_pass(table_tests.FACT, fact, declared()[table_tests.FACT], 5)
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(pcode") == 1 and "REPARTITION_BY_NUM" in plan
+    assert {r.test: r.failures for r in report.collect()} == {"not_null": 1, "accepted_values": 1, "accepted_range": 200, "unique": 1}
