@@ -54,7 +54,9 @@ def land_points(spark: SparkSession, raw_dir: str, out_dir: str, kinds: tuple[st
     for kind in kinds:
 
         def write(batch: DataFrame, number: int, readers: Mapping = TABLES[kind]) -> None:
-            documents = as_documents(batch).persist()
+            # Only lines of several tables are kept parsed between them.
+            documents = as_documents(batch)
+            documents = documents.persist() if len(readers) > 1 else documents
             try:
                 for table, flatten in readers.items():
                     rows = flatten(documents).withColumn("batch", F.lit(number))
@@ -62,7 +64,8 @@ def land_points(spark: SparkSession, raw_dir: str, out_dir: str, kinds: tuple[st
                     target = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
                     target.partitionBy(*layout).parquet(f"{out_dir}/{table}")
             finally:
-                documents.unpersist()
+                if len(readers) > 1:
+                    documents.unpersist()
 
         schema = T.StructType([*line_schema(kind).fields, T.StructField("run_date", T.DateType())])
         lines = spark.readStream.schema(schema).option("mode", "FAILFAST").json(f"{raw_dir}/{kind}")
