@@ -419,12 +419,13 @@ def score(docs: DataFrame, model: Model | None, doc_id: str = "doc_id", text: st
     rows = docs.select(F.col(doc_id).alias("doc_id"), text_of(text).alias("text"))
     if model is None:
         return rows.select("doc_id", F.lit(0.0).alias("toxicity"))
-    return with_scores(rows, model).select("doc_id", "toxicity")
+    return with_scores(rows, model, ("doc_id",))
 
 
-def with_scores(rows: DataFrame, model: Model) -> DataFrame:
-    """The rows, which have a column ``text`` without nulls, and ``toxicity``."""
-    shared = Carried(rows.sparkSession, model)
+def with_scores(rows: DataFrame, model: Model, kept: tuple[str, ...] | None = None) -> DataFrame:
+    """The rows, which have a column ``text`` without nulls, and ``toxicity``; with ``kept``, only these of their columns,
+    so that texts need not come back from the tasks' Python."""
+    shared, names = Carried(rows.sparkSession, model), list(kept or rows.columns)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = shared.value
@@ -432,10 +433,10 @@ def with_scores(rows: DataFrame, model: Model) -> DataFrame:
         for batch in batches:
             for part, texts in _texts(batch):
                 values = np.array([v for v, _ in worst_sentences(tokens, texts)])
-                columns = [*part.columns, pa.array(held.probability(values), pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, names=[*part.schema.names, "toxicity"])
+                columns = [*map(part.column, names), pa.array(held.probability(values), pa.float64())]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "toxicity"])
 
-    schema = StructType([*rows.schema.fields, StructField("toxicity", DoubleType())])
+    schema = StructType([*[rows.schema[n] for n in names], StructField("toxicity", DoubleType())])
     return rows.mapInArrow(work, schema)
 
 
