@@ -36,16 +36,24 @@ def ordered(df: DataFrame, columns: Sequence[str], order: Sequence[str]) -> Data
 
 
 def as_text(df: DataFrame) -> DataFrame:
-    """Doubles and booleans in the spelling of Python; other types are left to the CSV writer."""
+    """Doubles and booleans in the spelling of Python; other types are left to the CSV writer.
+
+    All doubles of a row are spelled by one function over an array. Written out for every column, the generated code of
+    the rows becomes longer than what the JVM compiles, and is interpreted.
+    """
+    doubles = [field.name for field in df.schema if isinstance(field.dataType, T.DoubleType)]
+    place = {name: i for i, name in enumerate(doubles)}
+    texts = "_texts_of_doubles"
+    spelled = df.withColumn(texts, F.transform(F.array(*doubles), python_float_text)) if doubles else df
     columns = []
     for field in df.schema:
         column = F.col(field.name)
-        if isinstance(field.dataType, T.DoubleType):
-            column = python_float_text(column)
+        if field.name in place:
+            column = F.col(texts)[place[field.name]]
         elif isinstance(field.dataType, T.BooleanType):
             column = F.initcap(column.cast("string"))
         columns.append(column.alias(field.name))
-    return df.select(*columns)
+    return spelled.select(*columns)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -7,6 +7,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazardmarts import schemas
 from hazardmarts.params import Params
@@ -257,3 +258,17 @@ def test_shared_folder_comes_from_the_session(spark):
     from hazardmarts import session
 
     assert session.shared_dir(spark, fallback="/nowhere") == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_text_forms_of_many_doubles_are_compiled(spark):
+    """The JVM leaves methods of more than 8000 bytes uncompiled; a dashboard has a dozen doubles."""
+    names = [f"d{i}" for i in range(14)]
+    df = spark.range(3).select(*[(F.col("id") * 10.0 ** (i - 7)).alias(n) for i, n in enumerate(names)], (F.col("id") > 0).alias("flag"))
+    texts = extracts.as_text(df)
+    codes = spark._jvm.org.apache.spark.sql.execution.debug.__getattr__("package$").__getattr__("MODULE$").codegenStringSeq(
+        texts._jdf.queryExecution().executedPlan()
+    )
+    sizes = [codes.apply(i)._3().maxMethodCodeSize() for i in range(codes.size())]
+    assert sizes and max(sizes) < 8000
+    expected = [{n: repr(r[n]) for n in names} | {"flag": str(r.flag)} for r in df.collect()]
+    assert [r.asDict() for r in texts.collect()] == expected
