@@ -127,6 +127,21 @@ def _pruned(candidates: DataFrame) -> DataFrame:
     return candidates.withColumn("bound", tighter).where(_least() <= F.col("bound") + MARGIN)
 
 
+def _first_of_nearest(leaves: DataFrame, offered: DataFrame) -> DataFrame:
+    """(lat, lon, best) for every place: the least km, rank and point_id of all points of its cells.
+
+    A place meets many points. The least distance is one number per place, kept by hash while the points go by; only the points
+    at that distance are then put in order. Ordering all pairs at once would sort them in the tasks that make them.
+    """
+    place = ["lat", "lon"]
+    km = haversine_km(F.col("lat"), F.col("lon"), F.col("to_lat"), F.col("to_lon"))
+    least = leaves.join(offered, ["level", "cell"]).groupBy(*place).agg(F.min(km).alias("least"))
+    reached = [leaves[c].eqNullSafe(least[c]) for c in place]
+    near = leaves.join(least, reached).select(leaves["*"], least["least"])
+    nearest = near.join(offered, ["level", "cell"]).where(km <= F.col("least"))
+    return nearest.groupBy(*place).agg(F.min(F.struct(km.alias("km"), "rank", "point_id")).alias("best"))
+
+
 def nearest_points(
     queries: DataFrame, points: DataFrame, keep: Keep, lat: str = "lat", lon: str = "lon", name: str = "point_id", rank: str | None = None
 ) -> DataFrame:
@@ -158,10 +173,7 @@ def nearest_points(
     holders = nodes.where(~_open()).select("level", "cell")
     held = _levels(indexed, 0).join(holders, ["level", "cell"])
     offered = held.select("level", "cell", "point_id", "rank", F.col("lat").alias("to_lat"), F.col("lon").alias("to_lon"))
-    km = haversine_km(F.col("lat"), F.col("lon"), F.col("to_lat"), F.col("to_lon"))
-    best = leaves[0].select("lat", "lon", "level", "cell").join(offered, ["level", "cell"]).groupBy("lat", "lon").agg(
-        F.min(F.struct(km.alias("km"), "rank", "point_id")).alias("best")
-    )
+    best = _first_of_nearest(leaves[0].select("lat", "lon", "level", "cell"), offered)
     answers = best.select(F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), F.col("best.point_id").alias(name), F.col("best.km").alias("km"))
     same = (queries[lat] == F.col("_lat")) & (queries[lon] == F.col("_lon"))
     return queries.join(answers, same, "left").drop("_lat", "_lon")

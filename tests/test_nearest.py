@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import uuid
 
 import pytest
@@ -61,3 +62,13 @@ def test_few_points_and_missing_coordinates(spark, tmp_path, points):
     found = _found(spark, tmp_path, [(1.0, None), (None, None), (-3.0, -176.0)], points)
     assert found[0] == found[1] == (None, None)
     assert found[2][0] == (0 if points == [(3.0, 4.0)] else None)
+
+
+def test_the_least_distance_is_kept_by_hash(spark):
+    """The many pairs of places and points are not sorted in the tasks that make them; ties still go by rank, then by id."""
+    leaves = spark.createDataFrame([(0.0, 1.0, 3, 7), (0.0, 1.0, 3, 8), (5.0, 1.0, 3, 8)], "lat double, lon double, level int, cell bigint")
+    rows = [(3, 7, 10, 2, 0.0, 2.0), (3, 8, 11, 1, 0.0, 0.0), (3, 8, 9, 1, 0.0, 0.0), (3, 7, 12, 0, 0.0, 2.1)]
+    offered = spark.createDataFrame(rows, "level int, cell bigint, point_id int, rank int, to_lat double, to_lon double")
+    best = nearest._first_of_nearest(leaves, offered)
+    assert re.search(r"HashAggregate\(.*partial_min\(\([0-9.]+ \* ASIN", best._jdf.queryExecution().executedPlan().toString())
+    assert {r.lat: (r.best.rank, r.best.point_id) for r in best.collect()} == {0.0: (1, 9), 5.0: (1, 9)}
