@@ -89,11 +89,14 @@ def fct_rain_barangay_daily(
 ) -> DataFrame:
     """Area-days: the enriched point-days fanned out to the areas of each point.
 
-    Warnings are attached at point grain, before the fan-out multiplies the rows. One point may
-    serve a large share of all areas. ``within`` names columns of both the sums and the areas that also have to agree; the
+    Warnings, and the text of the day that keys are made of, are attached at point grain, before the fan-out multiplies the
+    rows. One point may serve a large share of all areas. ``within`` names columns of both the sums and the areas that also have to agree; the
     facts have them too, and leave each task in their order.
     """
-    points = int_rain_rolling.join(int_warnings_daily, ["grid_id", "date"], "left")
+    points = int_rain_rolling.join(int_warnings_daily, ["grid_id", "date"], "left").withColumns({
+        "day_text": F.col("date").cast("string"),
+        "warning_level": F.coalesce(F.col("warning_level"), F.lit(params.calm)),
+    })
     areas = dim_barangay.select(
         *within, "grid_id", "pcode", "name", "city", "population", "score", "pct_area_mh_25",
         "est_pop_exposed_25", "lat", "lon",
@@ -102,10 +105,8 @@ def fct_rain_barangay_daily(
         *within, "date", "source", "pcode", "name", "city", "population", "score", "pct_area_mh_25",
         "est_pop_exposed_25", "grid_id", "rain_mm", "rain_prob_max", "rain_hours", *ROLLING_DAYS,
         wet_exposure(F.col("rain_3d_mm"), F.col("score")).alias("wet_exposure"),
-        "max_hourly_mm",
-        F.coalesce(F.col("warning_level"), F.lit(params.calm)).alias("warning_level"),
-        "lat", "lon",
-        row_key("pcode", "date").alias("row_key"),
+        "max_hourly_mm", "warning_level", "lat", "lon",
+        row_key("pcode", "day_text").alias("row_key"),
     )
 
 

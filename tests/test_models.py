@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from hazardmarts import schemas
 from hazardmarts.params import Params
-from hazardmarts.plans import views
+from hazardmarts.plans import marts, views
 from hazardmarts.plans.build import MODELS, build_models
 from hazardmarts.plans import table_tests
 from hazardmarts.plans.table_tests import declared, missing_dates, run_table_tests, uncovered_dates
@@ -203,3 +203,16 @@ def test_keys_of_the_fact_are_dealt_before_they_are_counted(spark):
     plan = report._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(pcode") == 1 and "REPARTITION_BY_NUM" in plan
     assert {r.test: r.failures for r in report.collect()} == {"not_null": 1, "accepted_values": 1, "accepted_range": 200, "unique": 1}
+
+
+def test_day_texts_are_made_before_the_fan_out(spark):
+    """Keys of area-days take the text of a point's day, which is not spelled again for every area."""
+    sums = spark.sql("SELECT 'g' AS grid_id, date '2024-01-02' AS date, 'observed' AS source, 1.0D AS rain_mm, 2.0D AS rain_hours, "
+                     "CAST(NULL AS DOUBLE) AS rain_prob_max, 3.0D AS rain_3d_mm, 4.0D AS rain_7d_mm")
+    areas = spark.sql("SELECT pcode, 'g' AS grid_id, 'n' AS name, 'c' AS city, 5L AS population, 50.0D AS score, 0.5D AS pct_area_mh_25, "
+                      "2L AS est_pop_exposed_25, 14.0D AS lat, 121.0D AS lon FROM VALUES ('A1'), ('A2'), (NULL) AS t(pcode)")
+    warned = spark.sql("SELECT 'g' AS grid_id, date '2024-01-03' AS date, 9.0D AS max_hourly_mm, 'red' AS warning_level")
+    facts = marts.fct_rain_barangay_daily(sums, areas, warned)
+    assert "as string" not in facts._jdf.queryExecution().optimizedPlan().toString().splitlines()[0]
+    got = {(r.pcode, r.row_key, r.warning_level, r.wet_exposure) for r in facts.collect()}
+    assert got == {("A1", "A1|2024-01-02", "none", 1.5), ("A2", "A2|2024-01-02", "none", 1.5), (None, None, "none", 1.5)}
