@@ -9,7 +9,8 @@
    to its right, so the words agree from their start through the pivot, or to its left, so they agree from the pivot to the end. In
    the part that holds the edit, one of two halves agrees too, where the halves follow from the shorter of the two parts. So
    a bucket holds few words, whatever the size of the vocabulary, and hardly grows with it.
-4. Words that meet are verified by edit distance. Pairs leave the join only when verified.
+4. Words that meet are verified by edit distance. Pairs leave the join only when verified. Tables of words and keys are joined by
+   merging and never broadcast: their files are compressed and a word has many keys, so their sizes are estimated far too low.
 5. A word's form is its near word of largest count, if that is at least ``times`` its own. Counts grow along forms, so following them
    ends; roots are found by doubling the step, a written table at a time.
 
@@ -184,7 +185,7 @@ def near_words(words: DataFrame) -> DataFrame:
     pivots, prefixes = keyed(words, order, index=True).alias("p"), keyed(words, order, index=False).alias("q")
     meets = (F.col("p.key") == F.col("q.key")) & (F.col("p.last") <= F.col("q.last"))
     near = F.levenshtein(F.col("p.word"), F.col("q.word"), 1) == 1
-    pairs = pivots.join(prefixes, meets & near).select(F.explode(F.array(_pair("p", "q"), _pair("q", "p"))).alias("x"))
+    pairs = pivots.join(prefixes.hint("merge"), meets & near).select(F.explode(F.array(_pair("p", "q"), _pair("q", "p"))).alias("x"))
     return pairs.select("x.*").distinct()
 
 
@@ -197,7 +198,7 @@ def forms(words: DataFrame, near: DataFrame, times: int) -> DataFrame:
     best = near.groupBy("word").agg(
         F.count("*").alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("m"), "near")).alias("best")
     )
-    found = words.join(best, "word", "left")
+    found = words.join(best.hint("merge"), "word", "left")
     strong = -F.col("best.m") >= times * F.col("n")
     return stored(
         found.select(
@@ -218,7 +219,7 @@ def roots(formed: DataFrame) -> DataFrame:
     steps = stored(formed.where("form is not null").select("word", F.col("form").alias("root")), "variant-roots")
     while True:
         onward = steps.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        joined = steps.join(onward, "root", "left")
+        joined = steps.join(onward.hint("merge"), "root", "left")
         steps = stored(
             joined.select("word", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")),
             "variant-roots",
@@ -237,5 +238,5 @@ def spelling_variants(
         raise ValueError("words need five characters, and forms twice the count of their words")
     words = count_words(typed_words(docs, typo_every), min_chars, min_count)
     formed = forms(words, near_words(words), times)
-    rooted = formed.join(roots(formed), "word", "left")
+    rooted = formed.join(roots(formed).hint("merge"), "word", "left")
     return rooted.select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")

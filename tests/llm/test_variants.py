@@ -4,6 +4,7 @@ import random
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from hazardmarts.llm import variants
 
@@ -82,6 +83,23 @@ def test_chains_end_at_the_commonest(spark):
     assert got == brute(counts) and len({r[1] for r in got.values()}) == 1
 
 
+def test_no_table_of_words_is_broadcast(spark, monkeypatch):
+    """Their estimated sizes are within the broadcast limit here, as they are for large vocabularies; the rows in memory are not."""
+    plans, store = [], variants.stored
+
+    def planned(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store(df, label)
+
+    monkeypatch.setattr(variants, "stored", planned)
+    words = spark.createDataFrame([("abcdefgh", 9), ("abcdefgx", 4), ("abcdefyx", 1)], "word string, n long")
+    docs = words.select(F.monotonically_increasing_id().alias("doc_id"), F.array_join(F.array_repeat("word", F.col("n").cast("int") * 3), " ").alias("text"))
+    result = variants.spelling_variants(docs, typo_every=1 << 40)
+    assert {r.word: r.root for r in result.collect()} == dict.fromkeys(("abcdefgh", "abcdefgx", "abcdefyx"), "abcdefgh")
+    plans.append(result._jdf.queryExecution().executedPlan().toString())
+    assert sum(plan.count("SortMergeJoin") for plan in plans) >= 4 and not any("Broadcast" in plan for plan in plans)
+
+
 def test_words_and_edges(spark):
     rows = [(i, "Hello, hello GRÜSSE Été abc déjà-vu", i) for i in range(200)] + [(None, "hello", 0), (1, "", 0), (2, None, 0)]
     docs = spark.createDataFrame(rows + rows[:5], "doc_id long, text string, word int")
