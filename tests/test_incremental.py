@@ -5,6 +5,7 @@ import random
 import re
 from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -222,6 +223,77 @@ def test_an_update_that_stops_is_repeated(spark, tmp_path, monkeypatch):
     _same(models, raw, areas, RUN, ["int_rain_rolling", "fct_rain_barangay_daily", "mart_monthly_normal"])
 
 
+def test_many_areas_are_not_repeated_for_every_month(spark, monkeypatch):
+    """Every area is sent once, a hot point's areas to several tasks, and facts still leave in order of months."""
+    raw, areas = _raw(spark), _areas(spark)
+    models = build_models({**raw, "dim_barangay": areas}, Params(), RUN)
+    months = monthly.months_in(models["int_rain_rolling"], F.col("date"))
+    facts = {}
+    for few in (7, 6):
+        monkeypatch.setattr(incremental, "FEW_AREAS", few)
+        made = incremental.facts_by_month(models["int_rain_rolling"], areas, models["int_warnings_daily"], Params(), months)
+        facts[few] = made.withColumn("task", F.spark_partition_id()).collect()
+    kept = [sorted(map(str, (r.asDict() | {"task": 0} for r in rows))) for rows in facts.values()]
+    assert kept[0] == kept[1] != []
+    by_task = {}
+    for r in facts[6]:
+        by_task.setdefault(r.task, []).append(r.part_month)
+    assert all(seen == sorted(seen) for seen in by_task.values())
+    # One sort by month, of the point-days, below the join; the one asked for above it is spared.
+    plan = made.sortWithinPartitions(monthly.MONTH)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Sort \[part_month", plan)) == 1 and plan.index("ShuffledHashJoin") < plan.index("Sort [part_month")
+    assert "SortMergeJoin [part_month" not in plan
+
+
+def test_days_of_a_shard_share_a_task(spark, monkeypatch):
+    """So a date has one bitmap of a shard, not one of every task."""
+    monkeypatch.setattr(coverage, "SHARD_MEMBERS", 50)
+    members = spark.range(600).select(F.concat(F.lit("A"), "id").alias("k"))
+    numbers = coverage.numbered(members, "k").cache()
+    shards = numbers.agg(F.max("shard")).first()[0] + 1
+    df = members.crossJoin(spark.range(5).select(F.date_add(F.lit(DAY), F.col("id").cast("int")).alias("date"))).repartition(7)
+    summary = coverage.summed_up(df, "date", "k", numbers)
+    assert {(r.date, r.n) for r in coverage.members_per_date(summary).collect()} == {(DAY + dt.timedelta(days=i), 600) for i in range(5)}
+    sent = []
+
+    def partials(plan):
+        if plan.nodeName() == "Exchange" and "_groupingexpression" in plan.toString().splitlines()[0]:
+            sent.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        if plan.nodeName() == "AdaptiveSparkPlan":
+            partials(plan.executedPlan())
+        elif plan.nodeName().endswith("QueryStage"):
+            partials(plan.plan())
+        children = plan.children()
+        for i in range(children.size()):
+            partials(children.apply(i))
+
+    summary.collect()
+    partials(summary._jdf.queryExecution().executedPlan())
+    assert shards == 16 and sent == [shards * 5]
+
+
+def test_texts_of_facts_have_no_bounds_in_their_files(spark, tmp_path):
+    df = spark.sql("select date'2031-01-15' as date, cast(id as string) as text, id, date'2031-01-01' as part_month from range(9)")
+    monthly.replace_months(df, str(tmp_path / "t"), {DAY}, spread=False)
+    for file in (tmp_path / "t").rglob("*.parquet"):
+        group = pq.ParquetFile(file).metadata.row_group(0)
+        bounds = {c.path_in_schema: c.statistics is not None and c.statistics.has_min_max for c in map(group.column, range(group.num_columns))}
+        assert bounds == {"date": True, "text": False, "id": True}
+
+
+def test_months_that_hold_nothing_are_not_ranked_again(spark, tmp_path, monkeypatch):
+    """Their rows win; those of stored months still have to."""
+    winners, beaten, ranked = _winners(tmp_path / "w"), Winners._beaten, []
+    monkeypatch.setattr(Winners, "_beaten", lambda self, best, months: ranked.append((best.count(), months)) or beaten(self, best, months))
+    first = _versions(7, 300, days=31)
+    assert winners.merge(spark.createDataFrame(first, ARCHIVE), _kept(spark, tmp_path)).count() == len({r[:2] for r in first})
+    second = _versions(8, 600, days=59)
+    winners.merge(spark.createDataFrame(second, ARCHIVE), _kept(spark, tmp_path))
+    assert ranked == [(len({r[:2] for r in second if r[1] < dt.date(2031, 2, 1)}), {DAY})]
+    want = winners.rank(spark.createDataFrame(first + second, ARCHIVE)).collect()
+    assert sorted(map(tuple, winners.read(spark).collect()), key=str) == sorted(map(tuple, want), key=str)
+
+
 def test_winners_are_few_files_after_many_merges(spark, tmp_path):
     winners = _winners(tmp_path / "w")
     for seed in range(3):
