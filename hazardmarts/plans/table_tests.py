@@ -74,16 +74,19 @@ def declared(params: Params = Params()) -> dict[str, ModelTests]:
 def run_table_tests(tables: Mapping[str, DataFrame], params: Params = Params()) -> DataFrame:
     """(model, test, column_name, failures, passed) for every declared test.
 
-    All tests of a model share one pass over it, the two whole-table tests of the dashboard
-    included; only relationships need plans of their own.
+    All tests of a model share one pass over it, the two whole-table tests of the dashboard and relationships
+    of the fact included; only other relationships need plans of their own.
     """
     results = []
     for model, tests in declared(params).items():
         df = tables[model]
         if model == DASHBOARD:
             results.append(_dashboard_pass(tables, tests, params))
+        elif model == FACT:
+            results.append(_one_pass(model, df, tests, _tasks(tables), tables))
+            continue
         else:
-            results.append(_one_pass(model, df, tests, _tasks(tables) if model == FACT else None))
+            results.append(_one_pass(model, df, tests))
         results += [
             _counted(model, "relationships", c, checks.orphans(df, c, tables[parent], field))
             for c, parent, field in tests.relationships
@@ -127,23 +130,35 @@ def _tasks(tables: Mapping[str, DataFrame]) -> int:
     return max(least, -(-tables["dim_barangay"].count() // AREAS_PER_TASK))
 
 
-def _one_pass(model: str, df: DataFrame, tests: ModelTests, tasks: int | None = None) -> DataFrame:
+def _one_pass(
+    model: str, df: DataFrame, tests: ModelTests, tasks: int | None = None, parents: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
     """Row-level tests as conditional counts; with a unique column they are first counted per key,
     so one aggregation on the key serves them all. A text key is unique if the columns it is built of are.
 
-    Rows are dealt to ``tasks`` by key before any is counted: as nearly every key has one row, counting before the
-    exchange would hold all rows of a task and spare none."""
+    Rows are dealt to ``tasks`` by the first column of the key before any is counted: as nearly every key has one row, counting before the
+    exchange would hold all rows of a task and spare none. With ``parents``, relationships of that column are tested in the same pass:
+    its values are all in one task, so counting them takes no further exchange of rows and the table is not made a second time."""
     fails = _row_tests(tests)
     outcomes = {(test, c): F.count_if(failing) for test, c, failing in fails}
     if key := tests.unique:
         group = tests.key or (key,)
         if tasks:
             flags = [failing.alias(f"_is{i}") for i, (_, _, failing) in enumerate(fails)]
-            df = df.select(*group, *flags).repartition(tasks, *group)
+            df = df.select(*group, *flags).repartition(tasks, group[0])
             fails = [(test, c, F.col(f"_is{i}")) for i, (test, c, _) in enumerate(fails)]
         df = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_rows"), *_counts(fails))
         outcomes = {(test, c): F.sum(f"_f{i}") for i, (test, c, _) in enumerate(fails)}
-        outcomes["unique", key] = F.count_if((F.col("_rows") > 1) & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group]))
+        repeated = (F.col("_rows") > 1) & reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in group])
+        outcomes["unique", key] = F.count_if(repeated)
+        if parents:
+            ((child, parent, field),) = tests.relationships
+            assert child == group[0]
+            df = df.groupBy(child).agg(*[F.sum(f"_f{i}").alias(f"_f{i}") for i in range(len(fails))], F.count_if(repeated).alias("_repeated"))
+            known = parents[parent].select(F.col(field).alias(child)).distinct().withColumn("_known", F.lit(True))
+            df = df.join(known, child, "left")
+            outcomes["unique", key] = F.sum("_repeated")
+            outcomes["relationships", child] = F.count_if(F.col(child).isNotNull() & F.col("_known").isNull())
     return _rows(model, df, outcomes)
 
 

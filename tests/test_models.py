@@ -205,6 +205,22 @@ def test_keys_of_the_fact_are_dealt_before_they_are_counted(spark):
     assert {r.test: r.failures for r in report.collect()} == {"not_null": 1, "accepted_values": 1, "accepted_range": 200, "unique": 1}
 
 
+def test_the_fact_is_made_once_for_all_its_tests(spark):
+    """Its relationships are counted where its keys are, so no second exchange of its rows is made."""
+    fact = spark.sql(
+        "select nullif('a' || id % 40, 'a7') as pcode, date'2031-01-01' + cast(id / 40 as int) as date, 'observed' as source, 1.0D as rain_3d_mm, "
+        "'k' || id as row_key from range(200) union all select 'a1', date'2031-01-01', 'odd', 1.0D, null"
+    )
+    areas = spark.sql("select nullif('a' || id, 'a9') as pcode from range(30) union all select 'a1'")
+    report = table_tests._one_pass(table_tests.FACT, fact, declared()[table_tests.FACT], 5, {"dim_barangay": areas})
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("REPARTITION_BY_NUM") == 1 and plan.count("Range (0, 200") == 1
+    want = {"not_null": 1, "accepted_values": 1, "accepted_range": 0, "unique": 1, "relationships": 11}
+    assert {r.test: r.failures for r in report.collect()} == want
+    empty = table_tests._one_pass(table_tests.FACT, fact.limit(0), declared()[table_tests.FACT], 5, {"dim_barangay": areas})
+    assert {r.test: r.failures for r in empty.collect()} == dict.fromkeys(want, 0)
+
+
 def test_day_texts_are_made_before_the_fan_out(spark):
     """Keys of area-days take the text of a point's day, which is not spelled again for every area."""
     sums = spark.sql("SELECT 'g' AS grid_id, date '2024-01-02' AS date, 'observed' AS source, 1.0D AS rain_mm, 2.0D AS rain_hours, "
